@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import gap_micros
+from tidemark.operators.asof import asof_join
 from tidemark.operators.counters import STANDARD_GAPS, STANDARD_TAU, Counter, decayed_counters, feature_name
+from tidemark.operators.history import delayed_history
 from tidemark.operators.hotkeys import HotKeys
 from tidemark.plans.registry import query
-from tidemark.sources.tables import interactions
+from tidemark.sources.tables import interactions, table
 
 # purchases are the targets; every other event type feeds counters
 COUNTERS = [
@@ -85,3 +88,103 @@ for _name, _key_sets in {
 query("decayed_counters_blocked", counters_oracle([["segment"], ["k"]]))(
     partial(run_counters, key_sets=[["segment"], ["k"]], policy=HotKeys(rows_per_block=100))
 )
+
+
+HISTORY_START = datetime(2024, 1, 3)
+
+
+def history_oracle(key: str, mode: str) -> str:
+    """Rank every interaction, then cut the list of visible ones to the reference length."""
+    length = {
+        "sawtooth": "CASE WHEN n <= 64 THEN n ELSE 33 + (n - 65) % 32 END",
+        "last_k": "least(n, 32)",
+    }[mode]
+    return f"""
+WITH e AS ({INTERACTIONS_SQL}),
+h AS (
+    SELECT event_id, {key} AS member, us, value > 50 AS positive,
+           count(*) OVER w AS n,
+           list(k) OVER (w ROWS BETWEEN 63 PRECEDING AND CURRENT ROW) AS recent
+    FROM e WINDOW w AS (PARTITION BY {key}, value > 50 ORDER BY us, event_id)
+),
+cut AS (
+    SELECT member, us + 3600000000 AS seen, positive, n,
+           array_to_string(recent[len(recent) - ({length}) + 1:], ' ') AS history
+    FROM h
+),
+p AS (SELECT member, seen, max(n) AS n, arg_max(history, n) AS history FROM cut WHERE positive GROUP BY ALL),
+m AS (SELECT member, seen, max(n) AS n, arg_max(history, n) AS history FROM cut WHERE NOT positive GROUP BY ALL),
+t AS (SELECT event_id, {key} AS member, us FROM e WHERE ts >= TIMESTAMP '2024-01-03')
+SELECT t.event_id, t.member, coalesce(p.history, '') AS positives_history, coalesce(m.history, '') AS negatives_history
+FROM t
+ASOF LEFT JOIN p ON t.member = p.member AND t.us >= p.seen
+ASOF LEFT JOIN m ON t.member = m.member AND t.us >= m.seen"""
+
+
+def run_history(
+    spark: SparkSession, sf_dir: str, key: str, mode: str = "sawtooth", policy: HotKeys = HotKeys()
+) -> DataFrame:
+    rows = interactions(spark, sf_dir).selectExpr("event_id", f"{key} AS member", "ts", "k", "CAST(value > 50 AS INT) AS label")
+    out = delayed_history(
+        rows,
+        member="member",
+        item="k",
+        label="label",
+        time="ts",
+        row_id="event_id",
+        start=HISTORY_START,
+        mode=mode,
+        policy=policy,
+    )
+    return out.selectExpr(
+        "event_id",
+        "member",
+        "array_join(positives_history, ' ') AS positives_history",
+        "array_join(negatives_history, ' ') AS negatives_history",
+    )
+
+
+query("user_history", history_oracle("user_id", "sawtooth"))(partial(run_history, key="user_id"))
+query("user_history_long", history_oracle("segment", "sawtooth"))(partial(run_history, key="segment"))
+query("user_history_last_k", history_oracle("segment", "last_k"))(partial(run_history, key="segment", mode="last_k"))
+query("user_history_blocked", history_oracle("segment", "sawtooth"))(
+    partial(run_history, key="segment", policy=HotKeys(rows_per_block=60))
+)
+
+
+def asof_oracle(gap_us: int, tolerance_us: int | None) -> str:
+    fresh = "TRUE" if tolerance_us is None else f"v.us >= t.us - {gap_us} - {tolerance_us}"
+    return f"""
+WITH e AS ({INTERACTIONS_SQL}),
+t AS (SELECT * FROM e WHERE event_type = 'purchase'), v AS (SELECT * FROM e WHERE event_type = 'view')
+SELECT t.event_id, t.user_id,
+       CASE WHEN {fresh} THEN v.event_id END AS view_id, CASE WHEN {fresh} THEN v.value END AS view_value
+FROM t ASOF LEFT JOIN v ON t.user_id = v.user_id AND t.us - {gap_us} >= v.us"""
+
+
+def run_asof(
+    spark: SparkSession, sf_dir: str, gap: timedelta, tolerance: timedelta | None = None, policy: HotKeys = HotKeys()
+) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    purchases = events.where("event_type = 'purchase'").select("event_id", "ts", "user_id")
+    views = events.where("event_type = 'view'").selectExpr("event_id AS view_id", "value AS view_value", "ts", "user_id")
+    return asof_join(
+        purchases,
+        views,
+        by=["user_id"],
+        left_time="ts",
+        right_time="ts",
+        columns=["view_id", "view_value"],
+        right_id="view_id",
+        gap=gap,
+        tolerance=tolerance,
+        policy=policy,
+    ).drop("ts")
+
+
+_hour, _day = timedelta(hours=1), timedelta(days=1)
+query("asof_last_event", asof_oracle(gap_micros(_hour), None))(partial(run_asof, gap=_hour))
+query("asof_tolerance", asof_oracle(gap_micros(_hour), gap_micros(_day)))(partial(run_asof, gap=_hour, tolerance=_day))
+query("asof_blocked", asof_oracle(gap_micros(_hour), None))(
+    partial(run_asof, gap=_hour, policy=HotKeys(rows_per_block=5))
+)
