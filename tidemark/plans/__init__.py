@@ -1,6 +1,6 @@
 """Every operator bound to the provided tables, next to SQL that must give the same rows."""
 
-from tidemark.plans import evaluation, sources_yield, temporal, words  # noqa: F401
+from tidemark.plans import evaluation, preparation, sources_yield, temporal, words  # noqa: F401
 from tidemark.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
