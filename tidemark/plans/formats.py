@@ -361,5 +361,5 @@ def tagged_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("text_generate")
 def text_generate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One generated line per document, counted by word."""
-    lines = readers.random_lines(spark, table(spark, sf_dir, "documents").count())
+    lines = readers.random_lines(table(spark, sf_dir, "documents"), "doc_id")
     return count_words(lines, T.space_tokens(T.csv_field(F.col("value"), 1)))

@@ -40,6 +40,7 @@ def scratch_root(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     root = tempfile.mkdtemp(prefix="tidemark-")
     spark.conf.set("spark.checkpoint.dir", root)
+    spark.sparkContext.setCheckpointDir(root)
     return root
 
 

@@ -94,15 +94,18 @@ def tagged_union(dataset: DataFrame, features: DataFrame) -> DataFrame:
     )
 
 
-def random_lines(spark: SparkSession, lines: int, words: int = 100, seed: int = 42, partitions: int | None = None) -> DataFrame:
-    """``idx,text`` lines of words of 1 to 3 random letters, each followed by a space; made where they are needed."""
+def random_lines(ids: DataFrame, column: str = "id", words: int = 100, seed: int = 42) -> DataFrame:
+    """Per id an ``id,text`` line of words of 1 to 3 random letters, each followed by a space.
+
+    Letters are hashes of the id and their place, so lines are made where the ids
+    are and a rerun repeats them. ``spark.range(n)`` serves as ids for plain load data.
+    """
     letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
     def letter(position: int) -> str:
-        # one hash per letter: repeatable whichever task makes the line
-        return f"substring('{letters}', 1 + CAST(pmod(xxhash64({seed}, id, w, {position}), 52) AS INT), 1)"
+        return f"substring('{letters}', 1 + CAST(pmod(xxhash64({seed}, `{column}`, w, {position}), 52) AS INT), 1)"
 
-    length = f"1 + pmod(xxhash64({seed}, id, w, 9), 3)"
+    length = f"1 + pmod(xxhash64({seed}, `{column}`, w, 9), 3)"
     word = f"concat(substring(concat({letter(0)}, {letter(1)}, {letter(2)}), 1, CAST({length} AS INT)), ' ')"
-    rows = spark.range(0, lines, 1, partitions)
-    return rows.selectExpr(f"concat(id, ',', array_join(transform(sequence(1, {words}), w -> {word}), '')) AS value")
+    text = f"array_join(transform(sequence(1, {words}), w -> {word}), '')"
+    return ids.selectExpr(f"concat(`{column}`, ',', {text}) AS value")
