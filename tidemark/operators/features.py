@@ -176,14 +176,19 @@ def transform_features(
     if not looked_up:
         return base
 
-    tokens = []
+    # a row travels as its tokens plus one entry that carries everything else, so it is computed once
+    rest = [c for c in base.columns if c != row_id and c not in {f.name for f in looked_up}]
+    payload = f"struct({', '.join(f'`{c}`' for c in rest)})"
+    blank = f"IF(true, NULL, {payload})"
+    entries = [
+        f"array(struct(-1 AS feature, -1 AS voc, -1 AS pos, xxhash64(`{row_id}`) AS token, {payload} AS rest))"
+    ]
     for i, f in enumerate(looked_up):
         voc = used.index(f.vocabulary)
         col = f"`{f.name}`" if f.name in sequences else f"array(`{f.name}`)"
-        tokens.append(
-            f"transform({col}, (t, p) -> struct({i} AS feature, {voc} AS voc, p AS pos, CAST(t AS BIGINT) AS token))"
-        )
-    long = base.selectExpr(f"`{row_id}`", f"inline(concat({', '.join(tokens)}))")
+        entry = f"struct({i} AS feature, {voc} AS voc, p AS pos, CAST(t AS BIGINT) AS token, {blank} AS rest)"
+        entries.append(f"transform({col}, (t, p) -> {entry})")
+    long = base.selectExpr(f"`{row_id}`", f"inline(concat({', '.join(entries)}))")
     vocabulary = None
     for v, name in enumerate(used):
         part = vocabularies[name].select(F.lit(v).alias("voc"), F.col("token").cast("bigint").alias("token"), "index")
@@ -196,9 +201,9 @@ def transform_features(
         return out
 
     indexed = long.join(vocabulary, ["voc", "token"], "left").select(
-        row_id, "feature", "pos", F.coalesce("index", unknown(F.col("token"), F.col("voc"))).alias("index")
+        row_id, "feature", "pos", "rest", F.coalesce("index", unknown(F.col("token"), F.col("voc"))).alias("index")
     )
-    cells = []
+    cells = [F.first("rest", ignorenulls=True).alias("_rest")]
     for i, f in enumerate(looked_up):
         if f.name in sequences:
             cell = f"sort_array(collect_list(CASE WHEN feature = {i} THEN struct(pos, index) END)).index"
@@ -212,5 +217,4 @@ def transform_features(
             known = vocabularies[f.vocabulary].where(F.col("token") == filler).agg(F.max("index")).scalar()
             padding = F.coalesce(known, out_of_vocabulary(filler, *sizes[f.vocabulary]))
             found = found.withColumn(f.name, pad(F.col(f.name), f.seq_len, padding))
-    plain = base.drop(*[f.name for f in looked_up])
-    return plain.join(found, row_id).select(row_id, *[f.name for f in config.features], *kept, "label")
+    return found.select("*", "_rest.*").select(row_id, *[f.name for f in config.features], *kept, "label")

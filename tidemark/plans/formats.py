@@ -108,7 +108,9 @@ h AS (
     FROM e t LEFT JOIN e o ON t.user_id = o.user_id AND o.s + 3600 <= t.s
     WHERE t.s >= 1704240000 GROUP BY t.event_id
 )
-SELECT CAST(event_id AS VARCHAR) AS event, pos AS positives, neg AS negatives FROM h WHERE pos <= 64 AND neg <= 64""",
+SELECT CAST(event_id AS VARCHAR) AS event, CASE WHEN pos <= 64 THEN pos ELSE 33 + (pos - 65) % 32 END AS positives,
+       CASE WHEN neg <= 64 THEN neg ELSE 33 + (neg - 65) % 32 END AS negatives
+FROM h""",
 )
 def history_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Interaction lines to gzip lines with both histories, read back; counts the ids of each history."""

@@ -13,8 +13,8 @@ from tidemark.operators import embeddings as E
 from tidemark.operators.features import Config, transform_features
 from tidemark.plans.registry import query
 from tidemark.plans.sources_yield import rounded
-from tidemark.plans.temporal import INTERACTIONS_SQL, run_history
-from tidemark.sources.tables import interactions, table
+from tidemark.plans.temporal import INTERACTIONS_SQL, history_oracle, run_history
+from tidemark.sources.tables import interactions, spread, table
 
 VOCAB_SIZE, OOV_BUCKETS, SEQ_LEN, DIM = 80, 3, 16, 64
 
@@ -85,7 +85,7 @@ SEQUENCE_SQL = f"""
 
 def token_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event with 1 to 23 host ids as text."""
-    return interactions(spark, sf_dir).selectExpr(
+    return spread(interactions(spark, sf_dir)).selectExpr(
         "event_id",
         "array_join(transform(sequence(1, 1 + CAST(event_id % 23 AS INT)), n -> CAST(k * n % 100 AS STRING)), ' ') AS tokens",
     )
@@ -110,27 +110,19 @@ def sequence_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pipeline_oracle() -> str:
-    zeros = ", ".join(["0"] * SEQ_LEN)
+    zeros = ", ".join(["'0'"] * SEQ_LEN)
 
-    def looked_up(ids: str) -> str:
-        return f"array_to_string(list_transform(({ids} || [{zeros}])[1:{SEQ_LEN}], lambda t: {index_sql('t')}), ' ')"
+    def looked_up(text: str) -> str:
+        tokens = f"(CASE WHEN {text} = '' THEN ['0'] ELSE string_split({text}, ' ') END || [{zeros}])[1:{SEQ_LEN}]"
+        ids = f"list_transform({tokens}, lambda t: CAST(t AS BIGINT))"
+        return f"array_to_string(list_transform({ids}, lambda t: {index_sql('t')}), ' ')"
 
-    def history(flag: str) -> str:
-        return f"""
-            SELECT t.event_id, coalesce(list(h.k ORDER BY h.n) FILTER (h.k IS NOT NULL), []) AS ids FROM t
-            LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY us, event_id) AS n
-                       FROM e WHERE {flag}) h
-            ON t.user_id = h.user_id AND h.us + 3600000000 <= t.us GROUP BY t.event_id"""
-
-    # the histories of the test users stay below the cut, so no item is dropped
     return f"""
-WITH e AS ({INTERACTIONS_SQL}), t AS (SELECT * FROM e WHERE ts >= TIMESTAMP '2024-01-03'),
-p AS ({history('value > 50')}), m AS ({history('NOT value > 50')})
-SELECT t.event_id, {index_sql('t.k')} AS host, {portable('t.user_id')} % 1000 AS member,
-       {looked_up('list_transform(p.ids, lambda i: CAST(i AS BIGINT))')} AS positives_history,
-       {looked_up('list_transform(m.ids, lambda i: CAST(i AS BIGINT))')} AS negatives_history,
-       CAST(t.value > 50 AS INTEGER) AS label
-FROM t JOIN p USING (event_id) JOIN m USING (event_id)"""
+WITH h AS ({history_oracle('user_id', 'sawtooth')}), e AS ({INTERACTIONS_SQL})
+SELECT event_id, {index_sql('k')} AS host, {portable('user_id')} % 1000 AS member,
+       {looked_up('positives_history')} AS positives_history, {looked_up('negatives_history')} AS negatives_history,
+       CAST(value > 50 AS INTEGER) AS label
+FROM e JOIN h USING (event_id)"""
 
 
 @query("feature_pipeline", _pipeline_oracle())

@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from tidemark.functions import text as T
 from tidemark.operators.wordcount import count_words, line_metrics
 from tidemark.plans.registry import query
-from tidemark.sources.tables import table
+from tidemark.sources.tables import spread, table
 
 LINES_SQL = "SELECT doc_id, unnest(string_split(text, chr(10))) AS value FROM documents"
 
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every document, as a text reader would deliver them."""
-    return table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("value"))
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return documents.select("doc_id", F.explode(F.split("text", "\n")).alias("value"))
 
 
 def words_oracle(tokens: str, source: str = LINES_SQL) -> str:
@@ -68,7 +69,8 @@ word_query(
 
 @query("wordcount_table", words_oracle("string_split(text, ' ')", "SELECT text FROM documents"))
 def wordcount_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_words(table(spark, sf_dir, "documents"), T.space_tokens(F.col("text")))
+    documents = spread(table(spark, sf_dir, "documents").select("text"))
+    return count_words(documents, T.space_tokens(F.col("text")))
 
 
 @query(
