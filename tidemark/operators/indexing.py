@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.running import Ranges, dense_index
+from tidemark.session import materialise
 
 USER_INDEX_CAP = 10_000_000  # fixed value: users numbered beyond it are left out
 
@@ -17,6 +18,6 @@ def index_interactions(
 
     Users beyond ``cap`` go first; creators are numbered over the remaining rows.
     """
-    users = dense_index(rows, user, "user_index", ranges).where(F.col("user_index") <= cap)
+    users = materialise(dense_index(rows, user, "user_index", ranges).where(F.col("user_index") <= cap), "users")
     kept = rows.join(users, user)
     return kept.join(dense_index(kept, creator, "creator_index", ranges), creator)

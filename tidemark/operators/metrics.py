@@ -25,50 +25,37 @@ def _by_score(rows: DataFrame, score: str, label: str, ranges: Ranges) -> DataFr
     return running_totals(grouped, "score", ["pos", "neg"], ranges=ranges)
 
 
+ROC_AUC = "try_divide(sum(CAST(pos AS DOUBLE) * (cum_neg - neg + neg / 2D)), CAST(sum(pos) AS DOUBLE) * sum(neg))"
+TP, FP = "(total_pos - cum_pos + pos)", "(total_neg - cum_neg + neg)"
+AVERAGE_PRECISION = f"sum(try_divide(pos, total_pos) * {TP} / ({TP} + {FP}))"
+
+
 def roc_auc(rows: DataFrame, score: str, label: str, ranges: Ranges = Ranges()) -> DataFrame:
     """One row: area under the ROC curve, positives, negatives. Null where one class is missing."""
-    won = "sum(CAST(pos AS DOUBLE) * (cum_neg - neg + neg / 2D))"
     return _by_score(rows, score, label, ranges).agg(
-        F.expr(f"try_divide({won}, CAST(sum(pos) AS DOUBLE) * sum(neg))").alias("roc_auc"),
-        F.sum("pos").alias("positives"),
-        F.sum("neg").alias("negatives"),
-    )
-
-
-def _from_top(rows: DataFrame, score: str, label: str, ranges: Ranges) -> DataFrame:
-    """Per threshold: true and false positives when everything at or above it is predicted positive."""
-    return _by_score(rows, score, label, ranges).selectExpr(
-        "score AS threshold",
-        "pos",
-        "total_pos - cum_pos + pos AS tp",
-        "total_neg - cum_neg + neg AS fp",
-        "total_pos AS positives",
-        "total_neg AS negatives",
+        F.expr(ROC_AUC).alias("roc_auc"), F.sum("pos").alias("positives"), F.sum("neg").alias("negatives")
     )
 
 
 def roc_points(rows: DataFrame, score: str, label: str, ranges: Ranges = Ranges()) -> DataFrame:
     """Every point of the ROC curve, from (0, 0) at an infinite threshold on."""
-    points = _from_top(rows, score, label, ranges).selectExpr(
-        "threshold", "try_divide(fp, negatives) AS fpr", "try_divide(tp, positives) AS tpr"
-    )
-    origin = rows.agg(
-        F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
+    points = _by_score(rows, score, label, ranges).selectExpr(
+        "score AS threshold", f"try_divide({FP}, total_neg) AS fpr", f"try_divide({TP}, total_pos) AS tpr"
     )
+    origin = rows.sparkSession.range(1).selectExpr("double('inf') AS threshold", "0D AS fpr", "0D AS tpr")
     return points.unionByName(origin)
 
 
 def pr_points(rows: DataFrame, score: str, label: str, ranges: Ranges = Ranges()) -> DataFrame:
     """Every point of the precision-recall curve."""
-    return _from_top(rows, score, label, ranges).selectExpr(
-        "threshold", "tp / (tp + fp) AS precision", "try_divide(tp, positives) AS recall"
+    return _by_score(rows, score, label, ranges).selectExpr(
+        "score AS threshold", f"{TP} / ({TP} + {FP}) AS precision", f"try_divide({TP}, total_pos) AS recall"
     )
 
 
 def average_precision(rows: DataFrame, score: str, label: str, ranges: Ranges = Ranges()) -> DataFrame:
     """One row: sum over thresholds of the recall step times the precision there."""
-    step = F.expr("sum(try_divide(pos, positives) * tp / (tp + fp))")
-    return _from_top(rows, score, label, ranges).agg(step.alias("average_precision"))
+    return _by_score(rows, score, label, ranges).agg(F.expr(AVERAGE_PRECISION).alias("average_precision"))
 
 
 def calibration(rows: DataFrame, score: str, label: str, bins: int = 10) -> DataFrame:
@@ -153,8 +140,9 @@ def training_report(rows: DataFrame, score: str, label: str, ranges: Ranges = Ra
         F.avg(score).alias("prediction_mean"),
         F.avg(F.col(label).cast("double")).alias("label_mean"),
     )
+    ranking = _by_score(rows, score, label, ranges).agg(
+        F.struct(F.expr(ROC_AUC).alias("auc"), F.expr(AVERAGE_PRECISION).alias("ap"))
+    ).scalar()
     return means.select(
-        "*",
-        roc_auc(rows, score, label, ranges).select("roc_auc").scalar().alias("roc_auc"),
-        average_precision(rows, score, label, ranges).scalar().alias("average_precision"),
+        "*", ranking.getField("auc").alias("roc_auc"), ranking.getField("ap").alias("average_precision")
     )

@@ -1,7 +1,8 @@
 """Candidate-source rank counts and yield curves.
 
-Everything is aggregated to (source, rank) before any window, so a running sum
-handles at most one row per rank a source can have in a candidate list.
+Everything is aggregated to (source, rank) first and written to the scratch
+folder: the source rows are read once, and a running sum handles at most one row
+per rank a source can have in a candidate list.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import simplify_source, strict_bool
+from tidemark.session import materialise
 
 FLAGS = ("is_liked", "is_shared", "is_profile_opened", "is_downloaded", "is_followed")
 
@@ -56,8 +58,8 @@ def running_sum(column: str, by: str, order: str) -> Column:
 
 def source_stats(counts: DataFrame) -> DataFrame:
     """Per source: deepest position, total, best and final running count per slot."""
-    per_pos = counts.groupBy("cg_rank", "pos").agg(F.sum("cnt").alias("cnt"))
-    total = counts.agg(F.sum("cnt")).scalar()
+    per_pos = materialise(counts.groupBy("cg_rank", "pos").agg(F.sum("cnt").alias("cnt")), "positions")
+    total = per_pos.agg(F.sum("cnt")).scalar()
     ratio = F.try_divide(running_sum("cnt", "cg_rank", "pos"), F.col("pos") + 1)
     return (
         per_pos.withColumn("ratio", ratio)
@@ -83,8 +85,13 @@ def without_slots(rows: DataFrame, name: str, slots: Sequence[str]) -> DataFrame
     return rows.where(F.col(name).isNull() | ~F.col(name).isin(*slots)) if slots else rows
 
 
+def per_rank(rows: DataFrame) -> DataFrame:
+    """(cg_name, cg_rank, cnt) rows summed up and written once."""
+    return materialise(rows.groupBy("cg_name", "cg_rank").agg(F.sum("cnt").alias("cnt")), "ranks")
+
+
 def overall_yield(pool: DataFrame, front: DataFrame) -> DataFrame:
-    """Per source, over (cg_name, cg_rank, cnt) rows of the pool and of front events: shares and events per slot."""
+    """Per source, from ``per_rank`` counts of the pool and of front events: shares and events per slot."""
     pools = pool.groupBy("cg_name").agg(F.sum("cnt").alias("cg_pool_cnt"))
     fronts = front.groupBy("cg_name").agg(F.sum("cnt").alias("front_events_cnt"))
     per_slot = F.try_divide("front_events_cnt", "cg_pool_cnt")
@@ -100,11 +107,13 @@ def overall_yield(pool: DataFrame, front: DataFrame) -> DataFrame:
 
 
 def yield_curve(pool: DataFrame, front: DataFrame) -> DataFrame:
-    """Per source and rank: running events against running pool slots, normalised by the best."""
-    pools = pool.groupBy("cg_name", "cg_rank").agg(F.sum("cnt").alias("cg_pool_cnt"))
-    pools = pools.withColumn("cg_pool_cumsum", running_sum("cg_pool_cnt", "cg_name", "cg_rank"))
-    fronts = front.groupBy("cg_name", "cg_rank").agg(F.sum("cnt").alias("front_events_cnt"))
-    fronts = fronts.withColumn("front_events_cumsum", running_sum("front_events_cnt", "cg_name", "cg_rank"))
+    """Per source and rank, from ``per_rank`` counts: running events against running pool slots, normalised by the best."""
+    pools = pool.withColumnRenamed("cnt", "cg_pool_cnt").withColumn(
+        "cg_pool_cumsum", running_sum("cg_pool_cnt", "cg_name", "cg_rank")
+    )
+    fronts = front.withColumnRenamed("cnt", "front_events_cnt").withColumn(
+        "front_events_cumsum", running_sum("front_events_cnt", "cg_name", "cg_rank")
+    )
     both = fronts.join(pools, ["cg_name", "cg_rank"]).withColumn(
         "front_event_per_cg_slot", F.try_divide("front_events_cumsum", "cg_pool_cumsum")
     )
@@ -132,7 +141,7 @@ def yield_summary(pool: DataFrame, front: DataFrame) -> DataFrame:
         .groupBy("cg_name")
         .agg(F.max_by("front_event_per_cg_slot_normalized", "cg_rank").alias("last_front_event_per_cg_slot_normalized"))
     )
-    both = overall_yield(pool, front).join(last, "cg_name")
+    both = materialise(overall_yield(pool, front).join(last, "cg_name"), "yields")
     best = both.agg(F.max("last_front_event_per_cg_slot_normalized")).scalar()
     return both.withColumn(
         "last_front_event_per_cg_slot_normalized", F.try_divide("last_front_event_per_cg_slot_normalized", best)

@@ -1,10 +1,13 @@
 """Running totals over a global order, and what rests on them: exact quantiles and dense indexes.
 
-An unpartitioned window would put everything into one task. Here the ordered
-column is cut into ranges of about equal row count, each range is summed, and
-every range starts from a carry row holding the totals of the ranges before it.
-The range bounds come from a hash sample of bounded expected size; they balance
-the work and do not affect results.
+The input is one row per ordered value, already aggregated from the source rows.
+It is written to the scratch folder once, so the source is read once however
+often the rows are used below. A table of up to ``rows_per_range`` rows goes
+through one plain window. A larger one would overload a single task: it is cut
+into ranges of about equal row count, each range is summed, and every range
+starts from a carry row holding the totals of the ranges before it. The range
+bounds come from a hash sample of bounded expected size; they balance the work
+and do not affect results.
 """
 
 from __future__ import annotations
@@ -15,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import materialise
+
 RANGE_STEPS = 12  # bisection steps, so at most 2 ** 12 ranges
 HASH_SPAN = 1 << 30
 
@@ -31,27 +36,25 @@ class Ranges:
         return 1 << RANGE_STEPS
 
 
-def _bounds(rows: DataFrame, by: Sequence[str], order: str, ranges: Ranges) -> Column:
+def _bounds(rows: DataFrame, n: int, by: Sequence[str], order: str, ranges: Ranges) -> Column:
     """Sorted lower bounds of all ranges but the first, as a scalar subquery."""
-    n = rows.agg(F.count(F.lit(1))).scalar()
-    rate = F.lit(float(HASH_SPAN * ranges.max_ranges * ranges.sample_per_range)) / F.greatest(n, F.lit(1))
-    drawn = F.pmod(F.xxhash64(*by, order), F.lit(HASH_SPAN)) < rate
+    parts = min(ranges.max_ranges, -(-n // ranges.rows_per_range))
+    rate = min(1.0, ranges.max_ranges * ranges.sample_per_range / n)
+    drawn = F.pmod(F.xxhash64(*by, order), F.lit(HASH_SPAN)) < F.lit(rate * HASH_SPAN)
     return (
         rows.where(drawn)
-        .agg(F.array_sort(F.collect_list(order)).alias("s"), F.count(F.lit(1)).alias("m"))
-        .withColumn("parts", F.least(F.lit(ranges.max_ranges), F.ceil(n / ranges.rows_per_range)))
+        .agg(F.array_sort(F.collect_list(order)).alias("s"))
         .selectExpr(
-            "CASE WHEN parts > 1 AND m >= parts THEN "
-            "transform(sequence(1L, parts - 1), i -> element_at(s, CAST(m * i DIV parts AS INT))) "
-            "ELSE slice(s, 1, 0) END AS bounds"
+            f"transform(sequence(1, {parts - 1}), i -> get(s, CAST(CAST(size(s) AS BIGINT) * i DIV {parts} AS INT)))"
+            " AS bounds"
         )
         .scalar()
     )
 
 
-def _with_range(rows: DataFrame, by: Sequence[str], order: str, ranges: Ranges) -> DataFrame:
+def _with_range(rows: DataFrame, order: str, bounds: Column) -> DataFrame:
     """``rows`` plus ``_range``: how many bounds are at or below ``order``, found by bisection."""
-    found = rows.withColumn("_bounds", _bounds(rows, by, order, ranges)).withColumn("_range", F.lit(0))
+    found = rows.withColumn("_bounds", bounds).withColumn("_range", F.lit(0))
     for step in (1 << k for k in reversed(range(RANGE_STEPS))):
         further = f"_range + CASE WHEN get(_bounds, _range + {step - 1}) <= `{order}` THEN {step} ELSE 0 END"
         found = found.withColumn("_range", F.expr(further))
@@ -63,27 +66,34 @@ def running_totals(
 ) -> DataFrame:
     """``rows`` plus, for each of ``sums`` and per ``by`` group, ``cum_<c>`` and ``total_<c>``.
 
-    ``cum_<c>`` is the total up to and including ``order``, ``total_<c>`` the whole group's.
-    Meant for rows already aggregated to one per (``by``, ``order``) value, so that
-    a value shared by many source rows is one row here.
+    ``cum_<c>`` is the total up to and including ``order``, ``total_<c>`` the whole
+    group's. ``rows`` holds one row per (``by``, ``order``) value.
     """
-    ranged = _with_range(rows, by, order, ranges)
-    group = list(by)
-    partition = f"PARTITION BY {', '.join(group)} " if group else ""
-    before = f"OVER ({partition}ORDER BY _range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    rows = materialise(rows, "totals")
+    n = rows.count()
+    group = f"PARTITION BY {', '.join(by)} " if by else ""
+    if n <= ranges.rows_per_range:
+        upto = f"OVER ({group}ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        return rows.selectExpr(
+            "*",
+            *[f"sum({c}) {upto} AS cum_{c}" for c in sums],
+            *[f"sum({c}) OVER ({group}) AS total_{c}" for c in sums],
+        )
+    ranged = _with_range(rows, order, _bounds(rows, n, by, order, ranges))
+    before = f"OVER ({group}ORDER BY _range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     carried = (
-        ranged.groupBy(*group, "_range")
+        ranged.groupBy(*by, "_range")
         .agg(*[F.sum(c).alias(c) for c in sums])
         .selectExpr(
-            *group,
+            *by,
             "_range",
             "true AS _carry",
             *[f"sum({c}) {before} AS {c}" for c in sums],
-            *[f"sum({c}) OVER ({partition}) AS total_{c}" for c in sums],
+            *[f"sum({c}) OVER ({group}) AS total_{c}" for c in sums],
         )
     )
     so_far = (
-        f"OVER (PARTITION BY {', '.join([*group, '_range'])} ORDER BY _carry IS NULL, {order} "
+        f"OVER (PARTITION BY {', '.join([*by, '_range'])} ORDER BY _carry IS NULL, {order} "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     )
     return (

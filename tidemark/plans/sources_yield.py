@@ -133,7 +133,7 @@ def yield_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     )
     pool = rows.where("cg_name <> 'Brand#5'").drop("l_returnflag")
     front = rows.where("l_returnflag = 'R' AND cg_name <> 'Brand#7'").drop("l_returnflag")
-    return pool, front
+    return ranks.per_rank(pool), ranks.per_rank(front)
 
 
 OVERALL_SQL = """
