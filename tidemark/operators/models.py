@@ -6,13 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import IDF, FeatureHasher, HashingTF, RegexTokenizer, VectorAssembler
+from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import scratch_root
+from tidemark.session import scratch_path, scratch_root
 
 # Training settings of the ranking jobs
 RANKER = {"maxDepth": 2, "stepSize": 0.01, "maxIter": 2000}
@@ -58,6 +58,13 @@ def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def _without_summary(model: PipelineModel) -> PipelineModel:
+    """The stored model: a fresh logistic regression also holds its session, which tasks may not be sent."""
+    path = scratch_path(SparkSession.active(), "model")
+    save(model, path)
+    return load(path)
+
+
 def top_features(spark: SparkSession, model: PipelineModel, features: Sequence[str], n: int = TOP_FEATURES) -> DataFrame:
     """(feature, importance), the largest ``n``; the list is as long as the feature list."""
     importances = model.stages[-1].featureImportances.toArray().tolist()
@@ -89,19 +96,21 @@ def factor_model(
 
 def bias_model(rows: DataFrame, ids: Sequence[str], label: str, buckets: int = 1 << 18) -> PipelineModel:
     """One weight per id: logistic regression over hashed ids, so no id table is ever collected."""
-    text = [F.col(c).cast("string").alias(c) for c in ids]
-    hasher = FeatureHasher(inputCols=list(ids), outputCol="features", numFeatures=buckets)
-    stages = [hasher, LogisticRegression(labelCol=label, maxIter=20)]
-    return Pipeline(stages=stages).fit(rows.select(*text, label))
+    tokens = ", ".join(f"concat('{c}=', `{c}`)" for c in ids)
+    stages = [
+        SQLTransformer(statement=f"SELECT *, array({tokens}) AS ids FROM __THIS__"),
+        HashingTF(inputCol="ids", outputCol="features", numFeatures=buckets, binary=True),
+        LogisticRegression(labelCol=label, maxIter=20),
+    ]
+    return _without_summary(Pipeline(stages=stages).fit(rows))
 
 
 def text_classifier(rows: DataFrame, text: str, label: str, buckets: int = 1 << 16) -> PipelineModel:
     """Hashed words, weighted by rarity, into a logistic regression."""
-    return Pipeline(
-        stages=[
-            RegexTokenizer(inputCol=text, outputCol="words", pattern=r"\W+"),
-            HashingTF(inputCol="words", outputCol="counts", numFeatures=buckets),
-            IDF(inputCol="counts", outputCol="features"),
-            LogisticRegression(labelCol=label, maxIter=20, regParam=0.01),
-        ]
-    ).fit(rows)
+    stages = [
+        RegexTokenizer(inputCol=text, outputCol="words", pattern=r"\W+"),
+        HashingTF(inputCol="words", outputCol="counts", numFeatures=buckets),
+        IDF(inputCol="counts", outputCol="features"),
+        LogisticRegression(labelCol=label, maxIter=20, regParam=0.01),
+    ]
+    return _without_summary(Pipeline(stages=stages).fit(rows))

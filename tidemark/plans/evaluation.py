@@ -370,12 +370,12 @@ def temporal_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
 WITH e AS ({INTERACTIONS_SQL}),
 u AS (SELECT *, dense_rank() OVER (ORDER BY user_id) - 1 AS user_index FROM e),
-c AS (SELECT * FROM u WHERE user_index <= 100)
+c AS (SELECT * FROM u WHERE user_index <= 10000000)
 SELECT event_id, user_id, k, user_index, dense_rank() OVER (ORDER BY k) - 1 AS creator_index FROM c""",
 )
 def dense_index_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = interactions(spark, sf_dir).select("event_id", "user_id", "k")
-    return index_interactions(rows, "user_id", "k", cap=100, ranges=Ranges(rows_per_range=10))
+    return index_interactions(rows, "user_id", "k", ranges=Ranges(rows_per_range=10))
 
 
 @query(

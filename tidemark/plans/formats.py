@@ -32,7 +32,7 @@ def counter_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = interactions(spark, sf_dir).selectExpr(
         "CAST(k AS STRING) AS hostId",
         "CAST(user_id AS STRING) AS memberId",
-        "CASE WHEN event_id % 10 > 0 THEN CAST(segment AS STRING) END AS livestreamId",
+        "CASE WHEN value > 0 THEN CAST(segment AS STRING) END AS livestreamId",
         f"{NAMES_SQL} AS event_name",
         "CAST(unix_millis(CAST(ts AS TIMESTAMP)) AS STRING) AS event_time",
         "CAST(CAST(floor(value * 1000) AS BIGINT) AS STRING) AS duration_ms",
@@ -50,7 +50,7 @@ WITH e AS ({INTERACTIONS_SQL})
 SELECT {NAMES_SQL} AS event_name, CAST(segment AS VARCHAR) AS "livestreamId", count(*) AS rows,
        CAST(sum(us // 1000) AS BIGINT) AS millis, CAST(sum(floor(value * 1000)) AS BIGINT) AS duration,
        CAST(sum((k % 7) * (k % 5)) AS BIGINT) AS gifts
-FROM e WHERE event_id % 10 > 0 GROUP BY 1, 2""",
+FROM e WHERE value > 0 GROUP BY 1, 2""",
 )
 def json_events_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = readers.counter_events(counter_lines(spark, sf_dir))
@@ -64,7 +64,7 @@ def json_events_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LIVE_SQL = f"""
     SELECT k, user_id, us // 1000 * 1000 AS us, event_type, floor(value * 1000) AS duration_ms
-    FROM ({INTERACTIONS_SQL}) WHERE event_id % 10 > 0"""
+    FROM ({INTERACTIONS_SQL}) WHERE value > 0"""
 
 
 @query(

@@ -81,7 +81,7 @@ def als_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("bias_lr")
 def bias_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = interactions(spark, sf_dir).selectExpr(
-        "event_id", "CAST(user_id AS STRING) AS user_id", "CAST(k AS STRING) AS k", "CAST(value > 50 AS INT) AS label"
+        "event_id", "user_id", "k", "CAST(value > 50 AS INT) AS label"
     )
     return models.score(models.bias_model(rows, ["user_id", "k"], "label"), rows).select("event_id", "label", "score")
 

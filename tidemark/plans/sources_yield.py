@@ -117,8 +117,8 @@ YIELD_SQL = """
         FROM lineitem JOIN part ON l_partkey = p_partkey
         WHERE l_linestatus = 'O' AND p_brand NOT IN ('Brand#3', 'Brand#11')
     ),
-    pool AS (SELECT cg_name, cg_rank, cnt FROM r WHERE cg_name <> 'Brand#5'),
-    front AS (SELECT cg_name, cg_rank, cnt FROM r WHERE l_returnflag = 'R' AND cg_name <> 'Brand#7')"""
+    pool AS (SELECT cg_name, cg_rank, cnt FROM r),
+    front AS (SELECT cg_name, cg_rank, cnt FROM r WHERE l_returnflag = 'R')"""
 
 
 def yield_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -131,9 +131,7 @@ def yield_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     rows = items.join(parts, "l_partkey").selectExpr(
         "cg_name", "l_linenumber - 1 AS cg_rank", "CAST(l_quantity AS BIGINT) AS cnt", "l_returnflag"
     )
-    pool = rows.where("cg_name <> 'Brand#5'").drop("l_returnflag")
-    front = rows.where("l_returnflag = 'R' AND cg_name <> 'Brand#7'").drop("l_returnflag")
-    return ranks.per_rank(pool), ranks.per_rank(front)
+    return ranks.per_rank(rows), ranks.per_rank(rows.where("l_returnflag = 'R'"))
 
 
 OVERALL_SQL = """
