@@ -159,6 +159,22 @@ def test_hot_key_is_cut_and_others_are_not(spark):
     assert {r["host"] for r in blocked.hot.select("host").distinct().collect()} == {"hot"}
 
 
+def test_a_burst_is_cut_too(spark):
+    """Nearly all rows of the hot key within a second of a month: blocks follow the rows, not the clock."""
+    rows = spark.range(20_000).selectExpr("'k' AS host", "IF(id < 100, id * 26000000000L, 5000000000L + id * 50) AS us")
+    blocked = split_hot_keys(rows, ["host"], "us", HotKeys(rows_per_block=1000))
+    sizes = [r["count"] for r in blocked.rows.groupBy("_block").count().collect()]
+    assert len(sizes) > 15
+    assert max(sizes) < 4000
+
+
+def test_no_hot_key_no_blocks(spark):
+    rows = frame(spark, skewed_rows()).selectExpr("host", "unix_micros(event_time) AS us")
+    blocked = split_hot_keys(rows, ["host"], "us", HotKeys())
+    assert blocked.hot is None
+    assert blocked.with_carry(None) is blocked.rows
+
+
 def test_start_drops_early_targets(spark):
     rows = skewed_rows(90)
     got = run(spark, rows, [["host"]], start=at(40_000))

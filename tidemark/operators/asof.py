@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from datetime import timedelta
 
 from pyspark.sql import DataFrame
@@ -46,19 +47,21 @@ def asof_join(
     blocked = split_hot_keys(seen.unionByName(reads, allowMissingColumns=True), keys, "_us", policy)
 
     hit = "CASE WHEN _match IS NOT NULL THEN struct(_us AS at, _tie AS tie, _match AS row) END"
-    earlier = f"OVER (PARTITION BY {', '.join(keys)} ORDER BY {BLOCK} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    per_block = blocked.hot.groupBy(*keys, BLOCK).agg(
-        F.expr(f"max_by({hit}, CASE WHEN _match IS NOT NULL THEN struct(_us, _tie) END)").alias("_hit")
-    )
-    carried = per_block.selectExpr(
-        *keys, BLOCK, f"{BEFORE_ALL} AS _us", f"last(_hit) IGNORE NULLS {earlier} AS _hit"
-    )
+    carried = blocked.hot and _carry(blocked.hot, keys, hit)
     so_far = f"OVER (PARTITION BY {', '.join(keys)}, {BLOCK} ORDER BY _us, _row IS NOT NULL, _tie ROWS UNBOUNDED PRECEDING)"
     fresh = "true" if tolerance is None else f"_last.at >= _us - {gap_micros(tolerance)}"
     return (
-        blocked.rows.withColumn("_hit", F.expr(hit))
-        .unionByName(carried, allowMissingColumns=True)
+        replace(blocked, rows=blocked.rows.withColumn("_hit", F.expr(hit)))
+        .with_carry(carried)
         .selectExpr("_row", "_us", f"last(_hit) IGNORE NULLS {so_far} AS _last")
         .where("_row IS NOT NULL")
         .selectExpr("_row.*", *[f"CASE WHEN {fresh} THEN _last.row.`{c}` END AS `{c}`" for c in columns])
     )
+
+
+def _carry(hot: DataFrame, keys: list[str], hit: str) -> DataFrame:
+    """Per block of a hot key the newest row of its earlier blocks."""
+    earlier = f"OVER (PARTITION BY {', '.join(keys)} ORDER BY {BLOCK} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    newest = f"max_by({hit}, CASE WHEN _match IS NOT NULL THEN struct(_us, _tie) END) AS _hit"
+    per_block = hot.groupBy(*keys, BLOCK).agg(F.expr(newest))
+    return per_block.selectExpr(*keys, BLOCK, f"{BEFORE_ALL} AS _us", f"last(_hit) IGNORE NULLS {earlier} AS _hit")

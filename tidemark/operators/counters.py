@@ -17,10 +17,10 @@ meet per target in a second, narrow shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import SECOND, gap_label, gap_micros, micros
@@ -125,20 +125,22 @@ def decayed_counters(
     rows = fed.unionByName(reads, allowMissingColumns=True).select("*", "_key.*").drop("_key")
 
     blocked = split_hot_keys(rows, key_cols, "_us", policy)
-    anchored = _anchor(blocked.rows, blocked.origin, counters, names, whole_seconds)
-    carried = _carry(
-        _anchor(blocked.hot, blocked.origin, counters, names, whole_seconds), key_cols, len(counters), len(names)
-    )
+    origin = blocked.origin
+
+    def anchor(part: DataFrame) -> DataFrame:
+        return _anchor(part, origin, counters, names, whole_seconds)
+
+    anchored = replace(blocked, rows=anchor(blocked.rows))
+    carried = blocked.hot and _carry(anchor(blocked.hot), key_cols, len(counters), len(names))
 
     so_far = f"OVER (PARTITION BY {', '.join(key_cols)}, {BLOCK} ORDER BY _us)"  # up to and including ties
     state = (
-        anchored.unionByName(carried, allowMissingColumns=True)
+        anchored.with_carry(carried)
         .selectExpr(
             "_target",
             "_set",
             "_gap",
             "_us",
-            "_origin",
             *[f"sum(_s{i}) {so_far} AS _s{i}" for i in range(len(counters))],
             *[f"max(_l{j}) {so_far} AS _l{j}" for j in range(len(names))],
         )
@@ -147,7 +149,7 @@ def decayed_counters(
     values = []
     for i, c in enumerate(counters):
         as_of = "_us" if decay_to_read else f"_l{names.index(c.event)}"
-        values.append(f"_s{i} * exp((_origin - {as_of}) / {gap_micros(c.tau)}D) AS _v{i}")
+        values.append(f"_s{i} * exp(({origin}L - {as_of}) / {gap_micros(c.tau)}D) AS _v{i}")
     cells = [
         f"coalesce(max(CASE WHEN _set = {s} AND _gap = {g} THEN _v{i} END), 0D)"
         f" AS `{feature_name(keys, gap, c.name, prefix)}`"
@@ -164,20 +166,18 @@ def decayed_counters(
 
 
 def _anchor(
-    rows: DataFrame, origin: Column, counters: Sequence[Counter], names: Sequence[str], whole_seconds: bool
+    rows: DataFrame, origin: int, counters: Sequence[Counter], names: Sequence[str], whole_seconds: bool
 ) -> DataFrame:
     """Events weighted from the common origin (``_s``) and their times per event name (``_l``)."""
     felt = f"(_us - pmod(_us, {SECOND}))" if whole_seconds else "_us"
 
     def weight(tau: timedelta) -> str:
-        exponent = f"({felt} - _origin) / {gap_micros(tau)}D"
+        exponent = f"({felt} - {origin}L) / {gap_micros(tau)}D"
         too_long = "raise_error('time span / tau is above 600: split the period or use a larger tau')"
         return f"exp(CASE WHEN {exponent} > {MAX_EXPONENT}D THEN CAST({too_long} AS DOUBLE) ELSE {exponent} END)"
 
-    keep = [c for c in rows.columns if not c.startswith("_x") and c != "_event"]
-    return rows.withColumn("_origin", origin).selectExpr(
-        *keep,
-        "_origin",
+    return rows.selectExpr(
+        *[c for c in rows.columns if not c.startswith("_x") and c != "_event"],
         *[f"_x{i} * {weight(c.tau)} AS _s{i}" for i, c in enumerate(counters)],
         *[f"CASE WHEN _event = '{name}' THEN {felt} END AS _l{j}" for j, name in enumerate(names)],
     )

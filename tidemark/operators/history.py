@@ -79,26 +79,33 @@ def delayed_history(
     )
     everything = interactions.unionByName(reads, allowMissingColumns=True)
     blocked = split_hot_keys(everything, ["_member"], "_us", policy)
-    carried = _carry(blocked.hot, keep)
+    carried = blocked.hot and _carry(blocked.hot, keep)
 
     per_polarity = f"PARTITION BY _member, {BLOCK}, _positive ORDER BY _kind, _us, _tie"
     in_time = f"PARTITION BY _member, {BLOCK} ORDER BY _us, _kind, _tie"
-    n = "(_before + _rank)"
-    recent = f"CASE WHEN _rank >= {keep} THEN _recent ELSE concat(_tail, _recent) END"
+    ranked = f"count(_item) OVER ({per_polarity} ROWS UNBOUNDED PRECEDING)"
+    recent = f"collect_list(_item) OVER ({per_polarity} ROWS BETWEEN {keep - 1} PRECEDING AND CURRENT ROW)"
     visible = f"last(CASE WHEN {{}} THEN _history END) IGNORE NULLS OVER ({in_time})"
-    return (
-        blocked.rows.unionByName(carried, allowMissingColumns=True)
-        .repartition("_member", BLOCK)
-        .selectExpr(
+    everything = blocked.with_carry(carried).repartition("_member", BLOCK)
+    if carried is None:
+        listed = everything.selectExpr("*", f"{ranked} AS _n", f"{recent} AS _recent")
+    else:
+        # the carry row comes first in its window
+        listed = everything.selectExpr(
             "*",
-            f"count(_item) OVER ({per_polarity} ROWS UNBOUNDED PRECEDING) AS _rank",
-            f"collect_list(_item) OVER ({per_polarity} ROWS BETWEEN {keep - 1} PRECEDING AND CURRENT ROW) AS _recent",
-            f"coalesce(max(_carried_n) OVER ({per_polarity} ROWS UNBOUNDED PRECEDING), 0L) AS _before",
-            f"coalesce(first(_carried_tail) OVER ({per_polarity} ROWS UNBOUNDED PRECEDING),"
-            f" array()) AS _tail",
+            f"{ranked} AS _rank",
+            f"{recent} AS _recent",
+            f"coalesce(first(_carried_n) OVER ({per_polarity} ROWS UNBOUNDED PRECEDING), 0L) AS _before",
+            f"coalesce(first(_carried_tail) OVER ({per_polarity} ROWS UNBOUNDED PRECEDING), array()) AS _tail",
+        ).withColumns(
+            {
+                "_n": F.expr("_before + _rank"),
+                "_recent": F.expr(f"CASE WHEN _rank >= {keep} THEN _recent ELSE concat(_tail, _recent) END"),
+            }
         )
-        .withColumn("_recent", F.expr(recent))
-        .withColumn("_history", F.expr(f"CASE WHEN _kind < {READ} THEN {_last('_recent', _length(n, max_size, mode))} END"))
+    history = _last("_recent", _length("_n", max_size, mode))
+    return (
+        listed.withColumn("_history", F.expr(f"CASE WHEN _kind < {READ} THEN {history} END"))
         .selectExpr(
             "_kind",
             "_row",

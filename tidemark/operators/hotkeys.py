@@ -2,86 +2,90 @@
 
 A window partitioned by a key alone puts the whole key into one task. Here a
 heavy-hitter sketch finds the keys that hold too many rows, and the time line of
-each of them is cut into blocks. Windows then run per (key, block), and each
-operator adds one *carry* row per block holding what the earlier blocks of the
-key add up to. All other keys stay in block 0, need no carry and cost no shuffle
-beyond the window's own.
-
-The block layout only balances work. Results do not depend on it, so sketch
-error cannot change them.
+each of them is cut into blocks of about equal row count. Windows then run per
+(key, block), and each operator adds one *carry* row per block holding what the
+earlier blocks of the key add up to. All other keys stay in block 0.
+
+The sketch, and for hot keys a sample of their times, are read before the main
+plan is built, so both halves of that plan see one fixed layout. What reaches the
+driver is bounded by ``HotKeys``, not by the data. The layout only balances work:
+results do not depend on it.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.ranges import MAX_RANGES, bisect
+
 BLOCK = "_block"
 BEFORE_ALL = -(1 << 62)  # sorts ahead of every instant
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """When a key counts as hot and how finely it is cut.
+    """A key with more than ``rows_per_block`` rows, or 1/``max_hot`` of all rows, whichever is more, is hot.
 
-    ``max_hot`` bounds the table of hot keys, whatever the data: it is what makes
-    broadcasting that table safe. A key with more than 1/``max_hot`` of all rows
-    is always found. ``finer`` cuts blocks narrower than an even spread over time
-    would need, so that bursts still fit.
+    So there are at most ``max_hot`` hot keys and twice as many blocks, whatever
+    the data: that is what makes broadcasting their table safe.
     """
 
     rows_per_block: int = 2_000_000
-    max_hot: int = 4096
-    finer: int = 4
+    max_hot: int = MAX_RANGES
+    sample_per_block: int = 16
 
     def __post_init__(self):
-        if not 1 <= self.max_hot <= 16_384:
-            raise ValueError("max_hot must lie in 1..16384: the hot-key table is broadcast")
+        if not 1 <= self.max_hot <= MAX_RANGES:
+            raise ValueError(f"max_hot must lie in 1..{MAX_RANGES}: the hot-key table is broadcast")
 
 
 @dataclass(frozen=True)
 class Blocked:
-    """``rows`` is the whole input with its block; ``hot`` the rows of hot keys only.
+    """``rows`` is the whole input with its block; ``hot`` the rows of hot keys only, None if there are none.
 
-    ``origin`` is the earliest instant of the input, as a scalar subquery.
+    ``origin`` is the earliest instant of the input.
     """
 
     rows: DataFrame
-    hot: DataFrame
-    origin: Column
+    hot: DataFrame | None
+    origin: int
+
+    def with_carry(self, carried: DataFrame | None) -> DataFrame:
+        return self.rows if carried is None else self.rows.unionByName(carried, allowMissingColumns=True)
 
 
 def split_hot_keys(rows: DataFrame, keys: list[str], us: str, policy: HotKeys) -> Blocked:
-    key_hash = F.xxhash64(*keys)
-    tracked = policy.max_hot * 4
-    profile = rows.agg(
-        F.struct(
-            F.count(F.lit(1)).alias("n"),
-            F.min(us).alias("lo"),
-            F.max(us).alias("hi"),
-            F.call_function("approx_top_k", key_hash, F.lit(policy.max_hot), F.lit(tracked)).alias("top"),
-        ).alias("p")
-    )
-    threshold = F.greatest(F.lit(policy.rows_per_block), F.col("p.n") / policy.max_hot)
-    parts = F.ceil(F.col("top.count") / F.col("threshold")) * policy.finer
-    hot_keys = (
-        profile.select("p", threshold.alias("threshold"), F.explode("p.top").alias("top"))
-        .where(F.col("top.count") > F.col("threshold"))
-        .select(
-            F.col("top.item").alias("_key_hash"),
-            F.col("p.lo").alias("_lo"),
-            F.ceil((F.col("p.hi") - F.col("p.lo") + 1) / parts).alias("_width"),
-        )
+    hashed = rows.withColumn("_key_hash", F.xxhash64(*keys))
+    seen = hashed.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(us).alias("lo"),
+        F.call_function("approx_top_k", "_key_hash", F.lit(policy.max_hot), F.lit(4 * policy.max_hot)).alias("top"),
+    ).first()
+    limit = max(policy.rows_per_block, seen["n"] / policy.max_hot)
+    parts = {item["item"]: -int(-item["count"] // limit) for item in seen["top"] if item["count"] > limit}
+    origin = seen["lo"] or 0
+    if not parts:
+        return Blocked(rows.withColumn(BLOCK, F.lit(0)), None, origin)
+
+    spark = rows.sparkSession
+    listed = spark.createDataFrame([(h,) for h in parts], "_key_hash BIGINT")
+    sampled = (
+        hashed.select("_key_hash", us)
+        .join(F.broadcast(listed), "_key_hash")
+        .where((F.rand(0) < policy.sample_per_block / limit) & F.col(us).isNotNull())
+        .groupBy("_key_hash")
+        .agg(F.array_sort(F.collect_list(us)).alias("times"))
     )
-    block = F.floor((F.col(us) - F.col("_lo")) / F.col("_width"))
-    hashed = rows.withColumn("_key_hash", key_hash)
-    helpers = ("_key_hash", "_lo", "_width")
-    tagged = (
-        hashed.join(F.broadcast(hot_keys), "_key_hash", "left")
-        .withColumn(BLOCK, F.coalesce(block, F.lit(0)))
-        .drop(*helpers)
-    )
-    hot = hashed.join(F.broadcast(hot_keys), "_key_hash").withColumn(BLOCK, block).drop(*helpers)
-    return Blocked(tagged, hot, profile.scalar().getField("lo"))
+    bounds = {h: [] for h in parts}
+    for row in sampled.collect():
+        times, n = row["times"], parts[row["_key_hash"]]
+        bounds[row["_key_hash"]] = sorted({times[len(times) * i // n] for i in range(1, n)})
+    layout = F.broadcast(spark.createDataFrame(list(bounds.items()), "_key_hash BIGINT, _bounds ARRAY<BIGINT>"))
+
+    def blocked(how: str) -> DataFrame:
+        return bisect(hashed.join(layout, "_key_hash", how), us, "_bounds", BLOCK).drop("_key_hash", "_bounds")
+
+    return Blocked(blocked("left"), blocked("inner"), origin)

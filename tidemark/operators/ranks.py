@@ -1,18 +1,18 @@
 """Candidate-source rank counts and yield curves.
 
 Everything is aggregated to (source, rank) first and written to the scratch
-folder: the source rows are read once, and a running sum handles at most one row
-per rank a source can have in a candidate list.
+folder, so the source rows are read once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import simplify_source, strict_bool
+from tidemark.operators.running import running_totals
 from tidemark.session import materialise
 
 FLAGS = ("is_liked", "is_shared", "is_profile_opened", "is_downloaded", "is_followed")
@@ -51,18 +51,12 @@ def candidate_ranks(lines: DataFrame) -> DataFrame:
     return _ranks(lines, CANDIDATE).groupBy("pos", "cg_rank").agg(F.sum("n").alias("cnt"))
 
 
-def running_sum(column: str, by: str, order: str) -> Column:
-    w = Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return F.sum(column).over(w)
-
-
 def source_stats(counts: DataFrame) -> DataFrame:
     """Per source: deepest position, total, best and final running count per slot."""
-    per_pos = materialise(counts.groupBy("cg_rank", "pos").agg(F.sum("cnt").alias("cnt")), "positions")
-    total = per_pos.agg(F.sum("cnt")).scalar()
-    ratio = F.try_divide(running_sum("cnt", "cg_rank", "pos"), F.col("pos") + 1)
-    return (
-        per_pos.withColumn("ratio", ratio)
+    per_pos = counts.groupBy("cg_rank", "pos").agg(F.sum("cnt").alias("cnt"))
+    stats = (
+        running_totals(per_pos, "pos", ["cnt"], by=["cg_rank"])
+        .withColumn("ratio", F.try_divide("cum_cnt", F.col("pos") + 1))
         .groupBy("cg_rank")
         .agg(
             F.max("pos").alias("max_pos"),
@@ -70,8 +64,9 @@ def source_stats(counts: DataFrame) -> DataFrame:
             F.max("ratio").alias("max_cumsum_ratio"),
             F.max_by("ratio", "pos").alias("last_cumsum_ratio"),
         )
-        .withColumn("normalized_cumsum_ratio", F.try_divide("last_cumsum_ratio", total))
     )
+    total = stats.agg(F.sum("total_sum")).scalar()
+    return stats.withColumn("normalized_cumsum_ratio", F.try_divide("last_cumsum_ratio", total))
 
 
 def source_totals(counts: DataFrame) -> DataFrame:
@@ -108,12 +103,13 @@ def overall_yield(pool: DataFrame, front: DataFrame) -> DataFrame:
 
 def yield_curve(pool: DataFrame, front: DataFrame) -> DataFrame:
     """Per source and rank, from ``per_rank`` counts: running events against running pool slots, normalised by the best."""
-    pools = pool.withColumnRenamed("cnt", "cg_pool_cnt").withColumn(
-        "cg_pool_cumsum", running_sum("cg_pool_cnt", "cg_name", "cg_rank")
-    )
-    fronts = front.withColumnRenamed("cnt", "front_events_cnt").withColumn(
-        "front_events_cumsum", running_sum("front_events_cnt", "cg_name", "cg_rank")
-    )
+
+    def running(counts: DataFrame, count: str, cumsum: str) -> DataFrame:
+        totals = running_totals(counts, "cg_rank", ["cnt"], by=["cg_name"], written=True)
+        return totals.selectExpr("cg_name", "cg_rank", f"cnt AS {count}", f"cum_cnt AS {cumsum}")
+
+    pools = running(pool, "cg_pool_cnt", "cg_pool_cumsum")
+    fronts = running(front, "front_events_cnt", "front_events_cumsum")
     both = fronts.join(pools, ["cg_name", "cg_rank"]).withColumn(
         "front_event_per_cg_slot", F.try_divide("front_events_cumsum", "cg_pool_cumsum")
     )

@@ -18,28 +18,24 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.ranges import MAX_RANGES, bisect
 from tidemark.session import materialise
 
-RANGE_STEPS = 12  # bisection steps, so at most 2 ** 12 ranges
 HASH_SPAN = 1 << 30
 
 
 @dataclass(frozen=True)
 class Ranges:
-    """How many rows a range should hold; beyond ``max_ranges`` of them ranges grow instead."""
+    """How many rows a range should hold; beyond ``MAX_RANGES`` of them ranges grow instead."""
 
     rows_per_range: int = 1_000_000
     sample_per_range: int = 16
 
-    @property
-    def max_ranges(self) -> int:
-        return 1 << RANGE_STEPS
-
 
 def _bounds(rows: DataFrame, n: int, by: Sequence[str], order: str, ranges: Ranges) -> Column:
     """Sorted lower bounds of all ranges but the first, as a scalar subquery."""
-    parts = min(ranges.max_ranges, -(-n // ranges.rows_per_range))
-    rate = min(1.0, ranges.max_ranges * ranges.sample_per_range / n)
+    parts = min(MAX_RANGES, -(-n // ranges.rows_per_range))
+    rate = min(1.0, MAX_RANGES * ranges.sample_per_range / n)
     drawn = F.pmod(F.xxhash64(*by, order), F.lit(HASH_SPAN)) < F.lit(rate * HASH_SPAN)
     return (
         rows.where(drawn)
@@ -52,24 +48,22 @@ def _bounds(rows: DataFrame, n: int, by: Sequence[str], order: str, ranges: Rang
     )
 
 
-def _with_range(rows: DataFrame, order: str, bounds: Column) -> DataFrame:
-    """``rows`` plus ``_range``: how many bounds are at or below ``order``, found by bisection."""
-    found = rows.withColumn("_bounds", bounds).withColumn("_range", F.lit(0))
-    for step in (1 << k for k in reversed(range(RANGE_STEPS))):
-        further = f"_range + CASE WHEN get(_bounds, _range + {step - 1}) <= `{order}` THEN {step} ELSE 0 END"
-        found = found.withColumn("_range", F.expr(further))
-    return found.drop("_bounds")
-
-
 def running_totals(
-    rows: DataFrame, order: str, sums: Sequence[str], by: Sequence[str] = (), ranges: Ranges = Ranges()
+    rows: DataFrame,
+    order: str,
+    sums: Sequence[str],
+    by: Sequence[str] = (),
+    ranges: Ranges = Ranges(),
+    written: bool = False,
 ) -> DataFrame:
     """``rows`` plus, for each of ``sums`` and per ``by`` group, ``cum_<c>`` and ``total_<c>``.
 
     ``cum_<c>`` is the total up to and including ``order``, ``total_<c>`` the whole
-    group's. ``rows`` holds one row per (``by``, ``order``) value.
+    group's. ``rows`` holds one row per (``by``, ``order``) value;
+    ``written`` says that it is a stored table already.
     """
-    rows = materialise(rows, "totals")
+    if not written:
+        rows = materialise(rows, "totals")
     n = rows.count()
     group = f"PARTITION BY {', '.join(by)} " if by else ""
     if n <= ranges.rows_per_range:
@@ -79,7 +73,8 @@ def running_totals(
             *[f"sum({c}) {upto} AS cum_{c}" for c in sums],
             *[f"sum({c}) OVER ({group}) AS total_{c}" for c in sums],
         )
-    ranged = _with_range(rows, order, _bounds(rows, n, by, order, ranges))
+    bounded = rows.withColumn("_bounds", _bounds(rows, n, by, order, ranges))
+    ranged = bisect(bounded, order, "_bounds", "_range").drop("_bounds")
     before = f"OVER ({group}ORDER BY _range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     carried = (
         ranged.groupBy(*by, "_range")

@@ -17,19 +17,30 @@ from tidemark.plans.temporal import COUNTERS, INTERACTIONS_SQL
 from tidemark.plans.words import document_lines
 from tidemark.session import scratch_path
 from tidemark.sources import writers
-from tidemark.sources.tables import interactions
+from tidemark.sources.tables import interactions, spread
 from tidemark.streaming import events as ev
 from tidemark.streaming import online
 
 ORIGIN = datetime(2024, 1, 1)
-REPLAY_FILES = 4
+MICRO_BATCHES = 4
 
 
 def replay(rows: DataFrame, name: str) -> DataFrame:
-    """``rows`` written as a few files and read back as a stream, one file per micro-batch."""
+    """``rows`` written as files and read back as a stream of a few micro-batches."""
+    path, files = written(rows, name)
+    stream = rows.sparkSession.readStream.schema(rows.schema)
+    return stream.option("maxFilesPerTrigger", files).parquet(path)
+
+
+def written(rows: DataFrame, name: str, json: bool = False) -> tuple[str, int]:
+    """A folder holding ``rows``, and how many of its files make up a micro-batch."""
+    rows = spread(rows)
     path = scratch_path(rows.sparkSession, name)
-    rows.repartition(REPLAY_FILES).write.parquet(path)
-    return rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    if json:
+        writers.text(rows, writers.json_line(), path)
+    else:
+        rows.write.parquet(path)
+    return path, max(1, rows.rdd.getNumPartitions() // MICRO_BATCHES)
 
 
 def ddl(df: DataFrame) -> str:
@@ -98,9 +109,8 @@ def stream_event_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six folders of JSON messages merged by one stream."""
     topics = {}
     for topic in ev.TOPICS:
-        folder = scratch_path(spark, topic)
-        writers.text(topic_rows(spark, sf_dir, topic).repartition(2), writers.json_line(), folder)
-        topics[topic] = ev.file_topic(spark, topic, folder, files_per_trigger=1)
+        folder, files = written(topic_rows(spark, sf_dir, topic), topic, json=True)
+        topics[topic] = ev.file_topic(spark, topic, folder, files)
     merged = with_millis(ev.merge_topics(topics))
     out = scratch_path(spark, "merged")
     online.drain(merged, out, scratch_path(spark, "merged-progress"), mode="append")
