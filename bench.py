@@ -12,9 +12,7 @@ from tidemark.session import build_session
 HEADLINE = [
     "decayed_counters_user",
     "decayed_counters_all",
-    "decayed_counters_blocked",
     "user_history",
-    "user_history_blocked",
     "asof_last_event",
     "cg_rank_counts",
     "cg_rank_stats",

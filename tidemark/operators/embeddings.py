@@ -16,6 +16,11 @@ def latest_per_id(rows: DataFrame, key: str, order: str) -> DataFrame:
     return rows.groupBy(key).agg(F.max_by(F.struct(*rows.columns), order).alias("_r")).select("_r.*")
 
 
+def first_per_id(rows: DataFrame, key: str, order: str) -> DataFrame:
+    """One row per id, the one with the smallest ``order``."""
+    return rows.groupBy(key).agg(F.min_by(F.struct(*rows.columns), order).alias("_r")).select("_r.*")
+
+
 def join_embeddings(
     rows: DataFrame, embeddings: DataFrame, *, row_key: str, key: str, vector: str, dim: int, name: str
 ) -> DataFrame:

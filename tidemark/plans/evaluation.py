@@ -238,8 +238,8 @@ def quantiles_ranged(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "label_balance",
     """
-SELECT count_if(quality = 1) AS positives, count_if(quality = 0) AS negatives,
-       count_if(quality = 0) // nullif(count_if(quality = 1), 0) AS negatives_per_positive FROM labels""",
+WITH c AS (SELECT count(*) FILTER (quality = 1) AS positives, count(*) FILTER (quality = 0) AS negatives FROM labels)
+SELECT positives, negatives, negatives // nullif(positives, 0) AS negatives_per_positive FROM c""",
 )
 def label_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.label_balance(table(spark, sf_dir, "labels"), "quality")

@@ -12,7 +12,7 @@ from tidemark.operators.counters import decayed_counters, livestream_counters
 from tidemark.operators.embeddings import embedding_export
 from tidemark.operators.features import Config, read_input, read_vocabulary
 from tidemark.operators.history import delayed_history
-from tidemark.operators.metrics import training_report
+from tidemark.operators.metrics import f1_sweep, training_report
 from tidemark.operators.ranks import yield_curve
 from tidemark.operators.wordcount import count_words
 from tidemark.plans import evaluation, preparation, sources_yield, words
@@ -20,7 +20,7 @@ from tidemark.plans.registry import ORACLES, query
 from tidemark.plans.temporal import INTERACTIONS_SQL
 from tidemark.session import scratch_path
 from tidemark.sources import readers, writers
-from tidemark.sources.tables import interactions, table
+from tidemark.sources.tables import interactions, spread, table
 
 # ---- the counter job from JSON lines to features --------------------------------------
 
@@ -29,7 +29,7 @@ NAMES_SQL = """CASE event_type WHEN 'view' THEN 'view_end' WHEN 'click' THEN 'li
 
 
 def counter_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = interactions(spark, sf_dir).selectExpr(
+    rows = spread(interactions(spark, sf_dir)).selectExpr(
         "CAST(k AS STRING) AS hostId",
         "CAST(user_id AS STRING) AS memberId",
         "CASE WHEN value > 0 THEN CAST(segment AS STRING) END AS livestreamId",
@@ -208,6 +208,26 @@ def sink_scored_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("label", "score").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query(
+    "sink_predictions",
+    f"""
+WITH s AS ({evaluation.SCORED_SQL}), t AS (SELECT i / 20.0 AS threshold FROM range(20) r(i)),
+m AS (
+    SELECT CAST(threshold AS DOUBLE) AS threshold, count_if(coarse >= threshold) AS predicted,
+           count_if(coarse >= threshold AND label = 1) AS tp, count_if(label = 1) AS p
+    FROM s, t GROUP BY threshold
+)
+SELECT threshold, round(2.0 * tp / nullif(predicted + p, 0), 9) AS f1 FROM m""",
+)
+def sink_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores written as gzip CSV, read back, and matched with the labels by row id."""
+    path = scratch_path(spark, "predictions")
+    writers.csv(evaluation.scored(spark, sf_dir).select("doc_id", "coarse"), path, header=True, gzip=True)
+    predictions = readers.csv_table(spark, path, "doc_id BIGINT, score DOUBLE")
+    labels = table(spark, sf_dir, "labels").selectExpr("doc_id", "quality AS label")
+    return sources_yield.rounded(f1_sweep(predictions.join(labels, "doc_id"), "score", "label"))
+
+
 @query(
     "sink_daily_append",
     """

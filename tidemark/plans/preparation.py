@@ -302,3 +302,32 @@ def embedding_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = table(spark, sf_dir, "embeddings").select("vec_id", *V.to_wide("embedding", "ue", DIM))
     back = wide.select("vec_id", V.from_wide("ue", DIM).alias("vector"))
     return back.select("vec_id", F.col("vector")[0].alias("ue0"), F.col("vector")[63].alias("ue63"))
+
+
+@query(
+    "first_per_user",
+    "SELECT user_id, min(event_id) AS event_id, arg_min(value, event_id) AS value FROM events GROUP BY user_id",
+)
+def first_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Duplicates dropped by id, the first row kept."""
+    rows = table(spark, sf_dir, "events").select("user_id", "event_id", "value")
+    return E.first_per_id(rows, "user_id", "event_id")
+
+
+@query(
+    "rename_and_cast",
+    """
+SELECT CAST(o_orderkey AS VARCHAR) AS "entityId", CAST(o_custkey AS INTEGER) AS "distinctId",
+       CAST(trunc(o_totalprice) AS INTEGER) AS amount FROM orders""",
+)
+def rename_and_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns renamed, cast and dropped."""
+    rows = table(spark, sf_dir, "orders").withColumnsRenamed(
+        {"o_orderkey": "entityId", "o_custkey": "distinctId", "o_totalprice": "amount"}
+    )
+    casts = {
+        "entityId": F.col("entityId").cast("string"),
+        "distinctId": F.col("distinctId").cast("int"),
+        "amount": F.col("amount").cast("int"),
+    }
+    return rows.withColumns(casts).drop("o_orderstatus", "o_orderdate", "o_orderpriority")

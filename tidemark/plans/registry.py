@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,7 +19,14 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
     def register(run: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = run
+
+        @wraps(run)
+        def in_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # the tables hold zone-less timestamps, read as UTC
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return run(spark, sf_dir)
+
+        QUERIES[name] = in_utc
         if oracle is not None:
             ORACLES[name] = oracle
         return run

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import ranks
 from tidemark.plans.registry import query
 from tidemark.plans.temporal import INTERACTIONS_SQL
-from tidemark.sources.tables import interactions, table
+from tidemark.sources.tables import interactions, spread, table
 
 # every event names two candidate sources with the position each gave the item
 SOURCES_SQL = f"""
@@ -54,7 +54,7 @@ def client_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("user_id") % 7 == 0, "TRUE").otherwise("F").alias("isFollowed"),
         (F.col("value") > 50).alias("vplay98"),
     )
-    return interactions(spark, sf_dir).select(F.to_json(line).alias("value"))
+    return spread(interactions(spark, sf_dir)).select(F.to_json(line).alias("value"))
 
 
 @query("cg_rank_counts", RANK_COUNTS_SQL)

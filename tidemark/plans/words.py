@@ -77,7 +77,7 @@ def wordcount_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     "wordcount_job_metrics",
     rf"""
 WITH l AS ({LINES_SQL})
-SELECT count_if(regexp_matches(value, '^[\s\x{{0B}}\x{{85}}\p{{Z}}]*$')) AS empty_lines,
+SELECT count(*) FILTER (regexp_matches(value, '^[\s\x{{0B}}\x{{85}}\p{{Z}}]*$')) AS empty_lines,
        CAST(sum(len(list_filter(regexp_extract_all(value, '[a-zA-Z]+(''[a-z])?'), lambda w: len(w) < 9))) AS BIGINT)
            AS small_words,
        count(value) AS lines, CAST(sum(strlen(value)) AS BIGINT) AS line_length_sum,
