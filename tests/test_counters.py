@@ -190,6 +190,20 @@ def test_too_short_decay_time_raises(spark):
         out.collect()
 
 
+def test_no_rows_at_all(spark):
+    df = frame(spark, one_key(("target", at(0)))).where("false")
+    out = decayed_counters(df, df, key_sets=[["host"]], counters=COUNTERS, gaps=GAPS)
+    assert out.collect() == []
+
+
+def test_event_names_with_quotes(spark):
+    rows = one_key(("it's", at(0)), ("target", at(7200)))
+    df = frame(spark, rows)
+    counters = [Counter("n", "it's", "1.0")]
+    out = decayed_counters(df, df.where("event_name = 'target'"), key_sets=[["host"]], counters=counters, gaps=GAPS)
+    assert out.first()["feature_host_1h0m0s_n"] == 1.0
+
+
 def test_standard_names():
     names = [feature_name(["hostId", "memberId"], timedelta(days=1), c.name) for c in livestream_counters()]
     assert names[0] == "feature_hostId_memberId_24h0m0s_timespent_decay_720h0m0s"

@@ -60,6 +60,11 @@ def livestream_counters(tau: timedelta = STANDARD_TAU) -> list[Counter]:
     ]
 
 
+def _quoted(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def feature_name(keys: Sequence[str], gap: timedelta, counter: str, prefix: str = "feature_") -> str:
     return f"{prefix}{'_'.join(keys)}_{gap_label(gap)}_{counter}"
 
@@ -109,7 +114,7 @@ def decayed_counters(
             "_us",
             "_event",
             *[
-                f"CASE WHEN _event = '{c.event}' THEN coalesce(CAST({c.value} AS DOUBLE), 0D) END AS _x{i}"
+                f"CASE WHEN _event = {_quoted(c.event)} THEN coalesce(CAST({c.value} AS DOUBLE), 0D) END AS _x{i}"
                 for i, c in enumerate(counters)
             ],
             _key_rows(key_sets, width),
@@ -179,7 +184,7 @@ def _anchor(
     return rows.selectExpr(
         *[c for c in rows.columns if not c.startswith("_x") and c != "_event"],
         *[f"_x{i} * {weight(c.tau)} AS _s{i}" for i, c in enumerate(counters)],
-        *[f"CASE WHEN _event = '{name}' THEN {felt} END AS _l{j}" for j, name in enumerate(names)],
+        *[f"CASE WHEN _event = {_quoted(name)} THEN {felt} END AS _l{j}" for j, name in enumerate(names)],
     )
 
 

@@ -23,6 +23,7 @@ from tidemark.operators.ranges import MAX_RANGES, bisect
 
 BLOCK = "_block"
 BEFORE_ALL = -(1 << 62)  # sorts ahead of every instant
+SKETCH_FAN_IN = 256
 
 
 @dataclass(frozen=True)
@@ -59,14 +60,27 @@ class Blocked:
 
 def split_hot_keys(rows: DataFrame, keys: list[str], us: str, policy: HotKeys) -> Blocked:
     hashed = rows.withColumn("_key_hash", F.xxhash64(*keys))
-    seen = hashed.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(us).alias("lo"),
-        F.call_function("approx_top_k", "_key_hash", F.lit(policy.max_hot), F.lit(4 * policy.max_hot)).alias("top"),
-    ).first()
-    limit = max(policy.rows_per_block, seen["n"] / policy.max_hot)
-    parts = {item["item"]: -int(-item["count"] // limit) for item in seen["top"] if item["count"] > limit}
-    origin = seen["lo"] or 0
+    tracked = F.lit(4 * policy.max_hot)
+    # one sketch per task would be too much for the last merge: merge in two steps
+    seen = (
+        hashed.groupBy((F.spark_partition_id() % SKETCH_FAN_IN).alias("_part"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min(us).alias("lo"),
+            F.call_function("approx_top_k_accumulate", "_key_hash", tracked).alias("sketch"),
+        )
+        .groupBy(F.lit("all"))  # no row at all for empty input
+        .agg(
+            F.sum("n").alias("n"),
+            F.min("lo").alias("lo"),
+            F.call_function("approx_top_k_combine", "sketch", tracked).alias("sketch"),
+        )
+        .select("n", "lo", F.call_function("approx_top_k_estimate", "sketch", F.lit(policy.max_hot)).alias("top"))
+        .first()
+    )
+    n, origin, top = (seen["n"], seen["lo"] or 0, seen["top"]) if seen else (0, 0, [])
+    limit = max(policy.rows_per_block, n / policy.max_hot)
+    parts = {item["item"]: -int(-item["count"] // limit) for item in top if item["count"] > limit}
     if not parts:
         return Blocked(rows.withColumn(BLOCK, F.lit(0)), None, origin)
 
