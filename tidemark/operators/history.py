@@ -70,7 +70,7 @@ def delayed_history(
         f"_us + {gap_micros(gap)} AS _us",
         f"{INTERACTION} AS _kind",
         f"`{row_id}` AS _tie",
-        f"`{label}` > 0 AS _positive",
+        f"coalesce(`{label}` > 0, false) AS _positive",
         f"`{item}` AS _item",
     )
     reads = timed if start is None else timed.where(F.col(time) >= F.lit(start))
