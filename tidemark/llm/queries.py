@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import sharding, warc
+from tidemark.llm import decontaminate, sharding, token_counts, token_files, warc
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.session import materialise, scratch_path
 from tidemark.sources.tables import table
@@ -18,9 +19,8 @@ SHARDS, SEED = 40, 20240601
 @query("op1_sharding")
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shuffled shards, read back from the written files."""
-    path = scratch_path(spark, "shards")
-    sharding.write_shards(table(spark, sf_dir, "documents"), path, SHARDS, "doc_id", "text", SEED)
-    rows = sharding.read_shards(spark, path)
+    docs, path = table(spark, sf_dir, "documents"), scratch_path(spark, "shards")
+    rows = sharding.with_slots(sharding.write_shards(docs, path, SHARDS, "doc_id", "text", SEED))
     doc_id, text = F.col("record.doc_id"), F.col("record.text")
     return rows.select(
         doc_id.alias("doc_id"),
@@ -50,3 +50,67 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     manifest = materialise(warc.write_packages(pages, scratch_path(spark, "packages")), "packages")
     return warc.read_packages(manifest, with_payload=False).drop("url")
+
+
+@query("op5_token_files")
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of all documents in range-coded files, read back."""
+    docs = table(spark, sf_dir, "documents")
+    written = token_files.write_ids(docs, scratch_path(spark, "ids"), public_tokenizers.path("byte_bpe_50k.json"))
+    manifest = materialise(written, "ids")
+    return token_files.read_ids(manifest, with_ids=False).withColumnRenamed("key", "doc_id")
+
+
+@query("op8_token_counts")
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents, as the word model counts them."""
+    docs = table(spark, sf_dir, "documents")
+    return token_counts.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"), ["doc_id"])
+
+
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+
+
+@query(
+    "op9_decontaminate",
+    f"""
+    WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+    b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+    windows AS (
+        SELECT DISTINCT item_id, least(len(w), 10) AS n,
+            array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS s
+        FROM b, unnest(range(1, greatest(len(w) - 8, 2))) AS r(i) WHERE len(w) > 0
+    ),
+    sizes AS (SELECT DISTINCT n FROM windows),
+    places AS (
+        SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS s
+        FROM d, sizes, unnest(range(1, greatest(len(w) - n + 2, 1))) AS r(i)
+    ),
+    hits AS (SELECT p.doc_id, p.i, p.n, x.item_id FROM places p JOIN windows x ON x.n = p.n AND x.s = p.s),
+    hit_words AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM hits, unnest(range(i, i + n)) AS r(k) GROUP BY doc_id),
+    items AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+    )
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+        coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN items USING (doc_id)
+    """,
+)
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents that lie in ten-word windows of benchmark items."""
+    found = decontaminate.find_windows(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"], width=10
+    )
+    return found.select(
+        "doc_id",
+        F.col("found.n_words").alias("n_words"),
+        F.size("found.hit_words").cast("long").alias("n_hit"),
+        F.size("found.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("found.items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.size("found.hit_words") > 0).alias("contaminated"),
+    )

@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROW_BYTES = 16
@@ -60,8 +60,8 @@ def write_shards(
     text: str,
     seed: int = 1,
     bucket_bytes: int = 24 << 20,
-) -> None:
-    """Write all rows of ``df`` below ``path``, one folder a shard, one file a bucket.
+) -> DataFrame:
+    """Write all rows of ``df`` below ``path``, one folder a shard, one file a bucket, and read them.
 
     Each row is one struct column ``record``, so no column name of the input can clash with
     ``shard``, ``_bucket`` and ``position``. Null keys are one key; null and empty texts are
@@ -81,14 +81,14 @@ def write_shards(
     scattered = salted.withColumn("_bucket", bucket).repartitionById(shards * parts, F.col("_bucket").cast("int"))
     schema = scattered.drop("_order").schema.add("position", "long")
     scattered.mapInArrow(_shuffled(seed), schema).write.partitionBy("shard").parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
 
 
-def read_shards(spark: SparkSession, path: str) -> DataFrame:
+def with_slots(written: DataFrame) -> DataFrame:
     """The written rows with ``shard`` and ``slot``, their gapless place in the shard.
 
     The buckets of a shard follow one another; their row counts, one row a bucket, give the offsets.
     """
-    written = spark.read.parquet(path)
     counts = written.groupBy("shard", "_bucket").count()
     before = F.sum("count").over(Window.partitionBy("shard").orderBy("_bucket")) - F.col("count")
     offsets = counts.select(F.col("shard").alias("s"), F.col("_bucket").alias("b"), before.alias("before"))
