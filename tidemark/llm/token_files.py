@@ -18,18 +18,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, rans, storage
+from tidemark.llm import bpe, rans, storage, vocabulary
+from tidemark.llm.words import gather, spans_of
+from tidemark.session import materialise
 
 SEGMENT_IDS = 1 << 22
 _SEGMENT = struct.Struct("<II")
 MANIFEST = "partition int, segment int, uri string, start long, length long, documents long, ids long"
 
 
-def pack_segment(keys: list[int | None], lengths: list[int], ids: np.ndarray) -> bytes:
+def pack_segment(keys: list[int | None], lengths: np.ndarray, ids: np.ndarray) -> bytes:
     """Keys (with a mark for nulls), lengths and ids of some documents."""
     known = np.array([k is not None for k in keys], dtype=np.uint8)
     column = np.array([0 if k is None else k for k in keys], dtype="<i8")
-    index = zlib.compress(known.tobytes() + column.tobytes() + np.array(lengths, dtype="<u8").tobytes(), 1)
+    index = zlib.compress(known.tobytes() + column.tobytes() + lengths.astype("<u8").tobytes(), 1)
     return _SEGMENT.pack(len(keys), len(index)) + index + rans.encode(ids)
 
 
@@ -42,6 +44,40 @@ def unpack_segment(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarra
     return [k if ok else None for k, ok in zip(keys, known)], lengths, rans.decode(data[_SEGMENT.size + size :])
 
 
+def unit_ids(docs: DataFrame, folder: str, tokenizer: str, text: str) -> tuple[list[tuple[int, str]], int]:
+    """The lookup table of all distinct units of the texts to their ids: its files, one a shard, and shard bits."""
+    bits = vocabulary.shard_bits(docs, text)
+
+    def payload(batch: pa.RecordBatch) -> list[bytes | None]:
+        encoder = bpe.encoder(tokenizer)
+        return [None if w is None else encoder.unit(w.decode()) for w in batch.column("word").to_pylist()]
+
+    units = vocabulary.distinct_spans(docs, text, bpe.cut_units, bits)
+    manifest = materialise(vocabulary.write_table(units, folder, payload), "units")
+    return [(r.shard, r.uri) for r in manifest.select("shard", "uri").collect()], bits
+
+
+def encode_column(column: pa.Array, units: vocabulary.Table, encoder: bpe.Encoder, end_id: int) -> Iterator[tuple]:
+    """(ids, number of ids of each text) of consecutive texts, each ending with ``end_id``."""
+    for spans in spans_of(column, bpe.cut_units):
+        keys, inverse = np.unique(spans.key, return_inverse=True)
+        found, length, values = units.find(keys, np.dtype("<u4"))
+        start, bounds = np.cumsum(length) - length, spans.bounds()
+        own = length[inverse]
+        ids = gather(values, start[inverse], own)
+        ends = np.concatenate(([0], np.cumsum(own)))[bounds]
+        lost = np.concatenate(([0], np.cumsum(~found[inverse])))[bounds]
+        slow = np.flatnonzero(np.diff(lost)).tolist()
+        if slow:
+            raw, parts = spans.raw.tobytes(), []
+            whole = dict(zip(slow, encoder.whole([raw[spans.offsets[i] : spans.offsets[i + 1]].decode() for i in slow])))
+            for i in range(spans.texts):
+                parts.append(np.frombuffer(whole[i], "<u4") if i in whole else ids[ends[i] : ends[i + 1]])
+            ids = np.concatenate(parts)
+            ends = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
+        yield np.insert(ids, ends[1:], end_id), np.diff(ends) + 1
+
+
 def write_ids(
     docs: DataFrame,
     folder: str,
@@ -55,9 +91,12 @@ def write_ids(
 
     Documents come in ascending order of the key, nulls first, equal keys in order of their texts; null
     and empty texts have only the end id. ``tokenizer`` is the path of a JSON file that every
-    executor has. Partitions hold about ``partition_bytes`` of text. Write the manifest down once:
-    a task that ran twice leaves a file that no manifest names.
+    executor has. Each distinct unit of the corpus is encoded once, beforehand, into a lookup table in
+    ``folder``; texts with units that depend on their neighbours go through the library whole.
+    Partitions hold about ``partition_bytes`` of text. Write the manifest down once: a task that ran
+    twice leaves a file that no manifest names.
     """
+    files, bits = unit_ids(docs, f"{folder}/units", tokenizer, text)
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     rows = docs.select(docs[key].cast("long").alias("key"), docs[text].alias("text"))
     place = [F.col("key").asc_nulls_first(), F.crc32(F.col("text").cast("binary"))]
@@ -65,30 +104,27 @@ def write_ids(
     ordered = ordered.sortWithinPartitions(F.col("key").asc_nulls_first(), place[1], "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = bpe.encoder(tokenizer)
-        end = np.array([end_id], dtype="<u4").tobytes()
+        encoder, units = bpe.encoder(tokenizer), vocabulary.table(files, bits)
         uri = storage.fresh(folder, ".ids")
-        keys, bodies, held, rows, at = [], [], 0, [], 0
+        keys, counts, parts, held, rows, at = [], [], [], 0, [], 0
         with storage.create(uri) as file:
 
             def flush() -> None:
-                nonlocal keys, bodies, held, at
-                ids = np.frombuffer(b"".join(bodies), dtype="<u4")
-                data = pack_segment(keys, [len(b) // 4 for b in bodies], ids)
+                nonlocal keys, counts, parts, held, at
+                data = pack_segment(keys, np.concatenate(counts), np.concatenate(parts))
                 file.write(data)
-                rows.append((TaskContext.get().partitionId(), len(rows), uri, at, len(data), len(keys), len(ids)))
-                keys, bodies, held, at = [], [], 0, at + len(data)
+                rows.append((TaskContext.get().partitionId(), len(rows), uri, at, len(data), len(keys), held))
+                keys, counts, parts, held, at = [], [], [], 0, at + len(data)
 
             for batch in batches:
-                for first in range(0, batch.num_rows, 512):
-                    part = batch.slice(first, 512)
-                    texts = [t or "" for t in part.column("text").to_pylist()]
-                    for k, ids in zip(part.column("key").to_pylist(), encoder.encode(texts)):
-                        keys.append(k)
-                        bodies.append(ids + end)
-                        held += len(ids) // 4 + 1
-                        if held >= SEGMENT_IDS:
-                            flush()
+                own, first = batch.column("key").to_pylist(), 0
+                for ids, lengths in encode_column(batch.column("text"), units, encoder, end_id):
+                    keys += own[first : first + len(lengths)]
+                    counts.append(lengths)
+                    parts.append(ids)
+                    held, first = held + len(ids), first + len(lengths)
+                    if held >= SEGMENT_IDS:
+                        flush()
             if keys:
                 flush()
         if rows:

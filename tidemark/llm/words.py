@@ -1,8 +1,8 @@
-"""Words and their 64-bit keys, taken from whole Arrow text columns with numpy."""
+"""Words and other spans of whole Arrow text columns, with 64-bit keys, by numpy."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,15 +26,17 @@ ALPHANUMERIC = byte_table([*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61,
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
+#: (bytes, offsets of the texts) to the spans' starts and ends; no span crosses a text's edge.
+Cut = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit keys (an invertible mixing function)."""
-    with np.errstate(over="ignore"):
-        x = x ^ (x >> np.uint64(32))
-        x = x * np.uint64(0xD6E8FEB86659FD93)
-        x = x ^ (x >> np.uint64(32))
-        x = x * np.uint64(0xD6E8FEB86659FD93)
-        return x ^ (x >> np.uint64(32))
+    x = x ^ (x >> np.uint64(32))
+    x = x * np.uint64(0xD6E8FEB86659FD93)
+    x = x ^ (x >> np.uint64(32))
+    x = x * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -48,20 +50,38 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets - offsets[0], raw[offsets[0] : offsets[-1]]
 
 
-class Words:
-    """The words of some consecutive texts: which text, where in its bytes, and their keys."""
+def gather(raw: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The elements of many ranges of ``raw``, one range after the other."""
+    total = int(length.sum())
+    shift = start - (np.cumsum(length) - length)
+    return raw[np.repeat(shift, length) + np.arange(total)]
+
+
+def binary_array(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The byte ranges as an Arrow array."""
+    length = end - start
+    offsets = np.zeros(len(start) + 1, dtype=np.int32)
+    np.cumsum(length, out=offsets[1:])
+    data = gather(raw, start, length)
+    return pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
 
-    __slots__ = ("first", "texts", "text", "start", "end", "key", "raw", "offsets")
+class Spans:
+    """Spans of some consecutive texts: which text, where in its bytes, and their keys."""
 
-    def __init__(self, first, texts, text, start, end, key, raw, offsets):
-        self.first, self.texts, self.text = first, texts, text
+    __slots__ = ("first", "texts", "start", "end", "key", "raw", "offsets")
+
+    def __init__(self, first, start, end, key, raw, offsets):
+        self.first, self.texts = first, len(offsets) - 1
         self.start, self.end, self.key, self.raw, self.offsets = start, end, key, raw, offsets
 
-    def counts(self) -> np.ndarray:
-        return np.bincount(self.text, minlength=self.texts)
+    def text(self) -> np.ndarray:
+        """The number of each span's text, from 0 for the first of the chunk."""
+        return np.searchsorted(self.offsets, self.start, "right") - 1
 
-    def string(self, i: int) -> bytes:
-        return self.raw[self.start[i] : self.end[i]].tobytes()
+    def bounds(self) -> np.ndarray:
+        """Where each text's spans begin among all, and the end."""
+        return np.searchsorted(self.start, self.offsets)
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -80,41 +100,46 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 _CACHED = (np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64))
 
 
-def words_of(column: pa.Array, table: np.ndarray, lower: bool = True) -> Iterator[Words]:
-    """The words of a text column, in chunks of about ``CHUNK_BYTES`` of whole texts.
+def keys_of(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit keys of byte ranges; different ranges share one with a probability of about 2**-64."""
+    powers, inverse = _powers(len(raw) + 1)
+    prefix = np.zeros(len(raw) + 1, dtype=np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers[: len(raw)], out=prefix[1:])
+    length = (end - start).astype(np.uint64)
+    return mixed((prefix[end] - prefix[start]) * inverse[start] + length * np.uint64(0xA24BAED4963EE407))
+
+
+def cut_words(table: np.ndarray) -> Cut:
+    """Maximal runs of the bytes that ``table`` marks."""
 
-    ``table`` says which bytes belong to words. Keys are those of the lower-cased (A-Z) words
-    if ``lower``. Two different words share a key with a probability of about 2**-64.
+    def cut(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = len(raw)
+        inside = np.zeros(size + 1, dtype=bool)
+        inside[:size] = table[raw]
+        opens = inside[:size].copy()
+        opens[1:] &= ~inside[: size - 1]
+        closes = inside[:size] & ~inside[1:]
+        heads = offsets[:-1][offsets[:-1] < offsets[1:]]
+        opens[heads] = inside[heads]
+        closes[heads[1:] - 1] = inside[heads[1:] - 1]
+        return np.flatnonzero(opens), np.flatnonzero(closes) + 1
+
+    return cut
+
+
+def spans_of(column: pa.Array, cut: Cut, lower: bool = False) -> Iterator[Spans]:
+    """The spans of a text column, in chunks of about ``CHUNK_BYTES`` of whole texts.
+
+    With ``lower`` the bytes A to Z are lower-cased first.
     """
     offsets, raw = text_buffer(column)
-    n = len(offsets) - 1
-    first = 0
+    n, first = len(offsets) - 1, 0
     while first < n:
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + CHUNK_BYTES, "right")) - 1)
-        last = min(last, n)
-        yield _chunk(first, offsets[first : last + 1] - offsets[first], raw[offsets[first] : offsets[last]], table, lower)
+        part = raw[offsets[first] : offsets[last]]
+        own = offsets[first : last + 1] - offsets[first]
+        if lower:
+            part = LOWER[part]
+        start, end = cut(part, own)
+        yield Spans(first, start, end, keys_of(part, start, end), part, own)
         first = last
-
-
-def _chunk(first: int, offsets: np.ndarray, raw: np.ndarray, table: np.ndarray, lower: bool) -> Words:
-    if lower:
-        raw = LOWER[raw]
-    size = len(raw)
-    inside = np.empty(size + 1, dtype=bool)
-    inside[:size] = table[raw]
-    inside[size] = False
-    opens = inside[:size].copy()
-    opens[1:] &= ~inside[: size - 1]
-    closes = inside[:size] & ~inside[1:]
-    heads = offsets[:-1][offsets[:-1] < offsets[1:]]
-    opens[heads] = inside[heads]
-    tails = heads[1:] - 1
-    closes[tails] = inside[tails]
-    start, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
-    text = np.searchsorted(offsets, start, "right") - 1
-    powers, inverse = _powers(size + 1)
-    prefix = np.zeros(size + 1, dtype=np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers[:size], out=prefix[1:])
-    length = (end - start).astype(np.uint64)
-    key = mixed((prefix[end] - prefix[start]) * inverse[start] + length * np.uint64(0xA24BAED4963EE407))
-    return Words(first, len(offsets) - 1, text, start, end, key, raw, offsets)
