@@ -20,7 +20,7 @@ from tidemark.llm import storage
 from tidemark.llm.words import Cut, binary_array, gather, spans_of
 
 #: Distinct spans that a task holds before it merges and sends them.
-HELD = 1_500_000
+HELD = 600_000
 SHARD_BYTES, MOST_SHARDS = 24 << 20, 4096
 PACKED = "shard int, data binary"
 VOCABULARY = "shard int, key long, word binary, n long"
