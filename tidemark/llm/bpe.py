@@ -15,7 +15,7 @@ import numpy as np
 from tidemark.llm.words import byte_table
 
 #: Distinct strings that a worker process remembers at a time.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 200_000
 
 #: Characters whose classes do not depend on any library's Unicode tables.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"

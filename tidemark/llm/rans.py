@@ -48,10 +48,10 @@ def encode(ids: np.ndarray) -> bytes:
     symbols = np.flatnonzero(counts)
     bits = max(12, int(len(symbols) - 1).bit_length() + 3)
     shares = frequencies(counts[symbols], bits)
-    place = np.zeros(len(counts), dtype=np.int64)
-    place[symbols] = np.arange(len(symbols))
+    place = np.zeros(len(counts), dtype=np.int32)
+    place[symbols] = np.arange(len(symbols), dtype=np.int32)
     blocks = -(-n // BLOCK)
-    dense = np.full(blocks * BLOCK, int(np.argmax(shares)), dtype=np.int64)
+    dense = np.full(blocks * BLOCK, int(np.argmax(shares)), dtype=np.int32)
     dense[:n] = place[ids]
     steps = STEPS if blocks > 1 else -(-n // LANES)
     dense = dense.reshape(blocks, STEPS, LANES)[:, :steps].transpose(1, 0, 2).reshape(steps, blocks * LANES)

@@ -22,7 +22,7 @@ from tidemark.llm import bpe, rans, storage, vocabulary
 from tidemark.llm.words import gather, spans_of
 from tidemark.session import materialise
 
-SEGMENT_IDS = 1 << 22
+SEGMENT_IDS = 1 << 21
 _SEGMENT = struct.Struct("<II")
 MANIFEST = "partition int, segment int, uri string, start long, length long, documents long, ids long"
 
@@ -52,8 +52,8 @@ def unit_ids(docs: DataFrame, folder: str, tokenizer: str, text: str) -> tuple[l
         encoder = bpe.encoder(tokenizer)
         return [None if w is None else encoder.unit(w.decode()) for w in batch.column("word").to_pylist()]
 
-    units = vocabulary.distinct_spans(docs, text, bpe.cut_units, bits)
-    manifest = materialise(vocabulary.write_table(units, folder, payload), "units")
+    units = vocabulary.packed_spans(docs, text, bpe.cut_units, bits)
+    manifest = materialise(vocabulary.write_table(units, folder, payload, vocabulary.merging(bits)), "units")
     return [(r.shard, r.uri) for r in manifest.select("shard", "uri").collect()], bits
 
 

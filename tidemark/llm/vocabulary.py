@@ -88,10 +88,10 @@ def _unpack(blob: bytes):
     return *parts, np.frombuffer(plain, "<i4", n, 16 * n).astype(np.int64), np.frombuffer(plain, np.uint8, size, 20 * n)
 
 
-def distinct_spans(docs: DataFrame, text: str, cut: Cut, bits: int, lower: bool = False) -> DataFrame:
-    """(shard, key, word, n) of all distinct spans: one partition a shard, in order of the unsigned key.
+def packed_spans(docs: DataFrame, text: str, cut: Cut, bits: int, lower: bool = False) -> DataFrame:
+    """The distinct spans of each task, packed, at the shards that hold their keys: one partition a shard.
 
-    Null and empty texts have no spans. The word is null for a key that two different words have.
+    Null and empty texts have no spans.
     """
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,6 +121,16 @@ def distinct_spans(docs: DataFrame, text: str, cut: Cut, bits: int, lower: bool
             held.merged()
             yield send()
 
+    packed = docs.select(docs[text].alias("text")).mapInArrow(local, PACKED)
+    return packed.repartitionById(1 << bits, F.col("shard"))
+
+
+def merging(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Merges what a shard was sent: rows (shard, key, word, n) in order of the unsigned key.
+
+    The word is null for a key that two different words have.
+    """
+
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Distinct()
         for batch in batches:
@@ -142,19 +152,30 @@ def distinct_spans(docs: DataFrame, text: str, cut: Cut, bits: int, lower: bool
                 ["shard", "key", "word", "n"],
             )
 
-    packed = docs.select(docs[text].alias("text")).mapInArrow(local, PACKED)
-    return packed.repartitionById(1 << bits, F.col("shard")).mapInArrow(merge, VOCABULARY)
+    return merge
+
+
+def distinct_spans(docs: DataFrame, text: str, cut: Cut, bits: int, lower: bool = False) -> DataFrame:
+    """(shard, key, word, n) of all distinct spans; the word is null for a key that two words have."""
+    return packed_spans(docs, text, cut, bits, lower).mapInArrow(merging(bits), VOCABULARY)
 
 
-def write_table(words: DataFrame, folder: str, payload: Callable[[pa.RecordBatch], list[bytes | None]]) -> DataFrame:
-    """Write one sorted file a partition of ``distinct_spans`` and return (shard, uri, n).
+def write_table(
+    rows: DataFrame,
+    folder: str,
+    payload: Callable[[pa.RecordBatch], list[bytes | None]],
+    prepare: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] = iter,
+) -> DataFrame:
+    """Write one sorted file a partition, which is one shard, and return (shard, uri, n).
 
-    ``payload`` gives each row's value; None leaves the key out. Write the manifest down before use.
+    ``prepare`` makes rows with at least (shard, key) of the partition's batches, such as ``merging`` does of
+    ``packed_spans``; ``payload`` gives each row's value, and None leaves the key out. Write the
+    manifest down before use.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, lengths, values, shard = [], [], [], None
-        for batch in batches:
+        for batch in prepare(batches):
             found = payload(batch)
             known = np.array([v is not None for v in found], dtype=bool)
             keys.append(batch.column("key").to_numpy().view(np.uint64)[known])
@@ -178,7 +199,7 @@ def write_table(words: DataFrame, folder: str, payload: Callable[[pa.RecordBatch
                 file.write(value)
         yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "uri": [uri], "n": pa.array([len(key)], pa.int64())})
 
-    return words.mapInArrow(run, "shard int, uri string, n long")
+    return rows.mapInArrow(run, "shard int, uri string, n long")
 
 
 class Table:
