@@ -18,17 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import storage
-from tidemark.llm.words import ALPHANUMERIC, LOWER
+from tidemark.llm.words import NORMAL, normal_words
 from tidemark.session import materialise
 
-#: Bytes of words become their lower-case form, all others a blank.
-_NORMAL = bytes(int(LOWER[b]) if ALPHANUMERIC[b] else 0x20 for b in range(256))
-
-
-def normal_words(text: bytes) -> list[bytes]:
-    return text.translate(_NORMAL).split()
-
-
 def windows(text: bytes, width: int) -> list[bytes]:
     """All windows of ``width`` words, or the one shorter window of a shorter text; none of no words."""
     words = normal_words(text)
@@ -73,7 +65,7 @@ def character_spans(text: bytes, marks: np.ndarray) -> list[tuple[int, int]]:
     """Character ranges of the original text (end excluded) that hold runs of marked words."""
     if not marks.any():
         return []
-    raw = np.frombuffer(text.translate(_NORMAL), dtype=np.uint8) != 0x20
+    raw = np.frombuffer(text.translate(NORMAL), dtype=np.uint8) != 0x20
     edges = np.flatnonzero(np.diff(np.concatenate(([False], raw, [False]))))
     starts, ends = edges[::2], edges[1::2]
     runs = np.flatnonzero(np.diff(np.concatenate(([False], marks, [False])).astype(np.int8)))

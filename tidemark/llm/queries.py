@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, sharding, token_counts, token_files, warc
+from tidemark.llm import decontaminate, sharding, token_counts, token_files, toxicity, warc
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.session import materialise, scratch_path
 from tidemark.sources.tables import table
@@ -114,3 +114,21 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("found.items", ",").cast("binary"), 256).alias("items_sha256"),
         (F.size("found.hit_words") > 0).alias("contaminated"),
     )
+
+
+def _remainder(divisor: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents, learnt from labels outside the held-out quarter."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train_model(docs, labels, _remainder(4) != 2)
+    scored = toxicity.add_scores(docs, model, ["doc_id"])
+    return scored.select(
+        "doc_id",
+        F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )

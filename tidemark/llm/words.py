@@ -26,6 +26,15 @@ ALPHANUMERIC = byte_table([*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61,
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
+#: Bytes of words become their lower-case form, all others a blank.
+NORMAL = bytes(int(LOWER[b]) if ALPHANUMERIC[b] else 0x20 for b in range(256))
+
+
+def normal_words(text: bytes) -> list[bytes]:
+    """Runs of digits, ASCII letters (lower-cased) and characters beyond ASCII."""
+    return text.translate(NORMAL).split()
+
+
 #: (bytes, offsets of the texts) to the spans' starts and ends; no span crosses a text's edge.
 Cut = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
