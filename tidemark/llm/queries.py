@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, sharding, token_counts, token_files, toxicity, warc
+from tidemark.llm import decontaminate, near_dups, sharding, token_counts, token_files, toxicity, warc
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.session import materialise, scratch_path
 from tidemark.sources.tables import table
@@ -132,3 +132,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
     )
+
+
+@query("op6_near_dups")
+def op6_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the class of its near duplicates."""
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"), least=0.8)
