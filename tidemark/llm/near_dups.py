@@ -25,7 +25,8 @@ from tidemark.session import materialise
 
 SHINGLE_WORDS = 5
 BANDS, BAND_ROWS = 32, 5
-REGISTERS = BANDS * BAND_ROWS
+#: Bands take the first registers; all serve to estimate similarity before it is computed.
+REGISTERS = 512
 GROWTH = 8
 _ODD = np.array([mixed(np.array([i + 1], np.uint64))[0] | np.uint64(1) for i in range(REGISTERS)], np.uint64)
 
@@ -82,10 +83,33 @@ def signatures(texts: int, own: np.ndarray, key: np.ndarray, weight: np.ndarray)
 
 def band_keys(registers: np.ndarray) -> np.ndarray:
     """(texts, BANDS) keys; the number of the band is part of its key."""
-    parts = registers.reshape(-1, BANDS, BAND_ROWS) * _ODD.reshape(BANDS, BAND_ROWS)
+    parts = registers[:, : BANDS * BAND_ROWS].reshape(-1, BANDS, BAND_ROWS) * _ODD[: BANDS * BAND_ROWS].reshape(BANDS, BAND_ROWS)
     return mixed(parts.sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
 
 
+def short_registers(registers: np.ndarray) -> np.ndarray:
+    """(texts, REGISTERS / 16) numbers that hold four bits of each register."""
+    bits = (registers >> np.uint64(60)).reshape(len(registers), -1, 16)
+    return (bits << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=2, dtype=np.uint64)
+
+
+def _alike(left: str, right: str, least: float):
+    """Whether two documents' short registers agree as often as those of similar documents do.
+
+    Registers differ in their four bits with a probability of 15/16 of the dissimilarity. Five standard
+    deviations are allowed for chance, so less than one pair in a million of similarity ``least`` fails.
+    """
+    share = (1 - least) * 15 / 16
+    most = int(REGISTERS * share + 5 * (REGISTERS * share * (1 - share)) ** 0.5)
+    ones = F.lit(0x1111111111111111)
+    differing = F.lit(0)
+    for i in range(REGISTERS // 16):
+        odd = F.col(left)[i].bitwiseXOR(F.col(right)[i])
+        odd = odd.bitwiseOR(F.shiftrightunsigned(odd, 1))
+        differing += F.bit_count(odd.bitwiseOR(F.shiftrightunsigned(odd, 2)).bitwiseAND(ones))
+    return differing <= most
+
+
 def probability_jaccard(keys_a, weights_a, keys_b, weights_b) -> float:
     """The exact similarity of two weighted sets with sorted keys."""
     _, i, j = np.intersect1d(keys_a, keys_b, assume_unique=True, return_indices=True)
@@ -104,23 +128,28 @@ def _fingerprint(text: str):
 
 
 def _sketched(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, f1, f2, bands) of every document with a key and a text."""
+    """(key, f1, f2, bands, short) of every document with a key and a text."""
     rows = docs.where(docs[key].isNotNull() & docs[text].isNotNull())
     rows = rows.select(docs[key].cast("long").alias("key"), docs[text].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [pa.array([], pa.list_(pa.int64()))]
+            found, short = [pa.array([], pa.list_(pa.int64()))], [pa.array([], pa.list_(pa.int64()))]
             for n, own, key, counts in shingles(batch.column("text")):
-                keys = band_keys(signatures(n, own, key, weights(counts))).view(np.int64)
+                registers = signatures(n, own, key, weights(counts))
+                keys, bits = band_keys(registers).view(np.int64), short_registers(registers).view(np.int64)
                 some = np.bincount(own, minlength=n) > 0
                 offsets = np.concatenate(([0], np.cumsum(some * BANDS))).astype(np.int32)
                 found.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[some].reshape(-1))))
+                width = bits.shape[1]
+                short.append(pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width), pa.array(bits.reshape(-1))))
+            columns = [batch.column(c) for c in ("key", "f1", "f2")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("f1"), batch.column("f2"), pa.concat_arrays(found)], ["key", "f1", "f2", "bands"]
+                [*columns, pa.concat_arrays(found), pa.concat_arrays(short)], ["key", "f1", "f2", "bands", "short"]
             )
 
-    return rows.select("key", *_fingerprint("text"), "text").mapInArrow(run, "key long, f1 long, f2 long, bands array<long>")
+    schema = "key long, f1 long, f2 long, bands array<long>, short array<long>"
+    return rows.select("key", *_fingerprint("text"), "text").mapInArrow(run, schema)
 
 
 def _weighed(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
@@ -195,24 +224,33 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     Equal texts are one class, also empty ones; null texts and texts whose shingles are less similar are
     classes of their own. Rows with one key are one document, and all its texts count. A row with a null
     key gets a null class and joins nothing. Pairs of similarity ``least`` share a bucket with a
-    probability above 1 - 1e-5; what shares a bucket is tested exactly, or already connected.
+    probability above 1 - 1e-5; of what shares one, all pairs are tested exactly that links do not
+    connect yet and whose registers do not rule them out.
     """
     sketched = materialise(_sketched(docs, key, text), "sketches")
-    copies = sketched.groupBy("f1", "f2").agg(F.min("key").alias("node"), F.first("bands").alias("bands"))
+    copies = sketched.groupBy("f1", "f2").agg(F.min("key").alias("node"), F.first("bands").alias("bands"), F.first("short").alias("short"))
     texts = materialise(copies, "texts")
-    banded = texts.select("node", F.explode("bands").alias("bucket"))
+    banded = texts.select("node", "short", F.explode("bands").alias("bucket"))
     crowded = banded.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("size"))
-    crowded = materialise(crowded.where("low < high"), "buckets")
-    members = materialise(banded.join(crowded, "bucket").select("bucket", "node", "low", "size"), "members")
+    crowded = materialise(crowded.where("low < high").drop("low", "high"), "buckets")
+    members = materialise(banded.join(crowded, "bucket").select("bucket", "node", "short", "size"), "members")
     weighed = materialise(_weighed(docs, key, text, members.select("node").distinct()), "shingles")
     # the texts of one document are one class
     many = sketched.groupBy("key").agg(F.count_distinct("f1", "f2").alias("n")).where("n > 1").select("key")
-    same = sketched.join(many, "key").join(texts.drop("bands"), ["f1", "f2"]).where("key != node")
+    same = sketched.join(many, "key").join(texts.drop("bands", "short"), ["f1", "f2"]).where("key != node")
     same = same.select(F.col("key").alias("a"), F.col("node").alias("b"))
+    # the text that others vary shares large buckets with them in most bands
+    weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
+    heavy = materialise(members.join(weight, "node"), "members")
+    heads = heavy.groupBy("bucket").agg(F.max(F.struct("weight", -F.col("node"))).getField("col2").alias("head"))
+    heads = heavy.join(heads.select("bucket", (-F.col("head")).alias("head")), "bucket")
     place = (F.pmod(F.xxhash64("bucket", "node"), F.lit(1 << 30)) + 1) / F.lit(float(1 << 30))
-    ranked = members.withColumn("place", F.when(F.col("node") == F.col("low"), 0.5).otherwise(place * F.col("size")))
-    # at first, each document meets the smallest of all that it shares a bucket with
-    pairs = members.where("node > low").groupBy(F.col("node").alias("b")).agg(F.min("low").alias("a")).select("a", "b")
+    heads = heads.withColumn("place", F.when(F.col("node") == F.col("head"), 0.5).otherwise(place * F.col("size")))
+    ranked = materialise(heads.select("bucket", "node", "short", "head", "size", "place"), "ranked")
+    # at first, each document meets the weightiest of all that head a bucket of its own
+    best = ranked.join(weight.select(F.col("node").alias("head"), "weight"), "head").groupBy("node")
+    best = best.agg(F.max(F.struct("weight", -F.col("head"))).getField("col2").alias("head")).select("node", (-F.col("head")).alias("head"))
+    pairs = best.where("node != head").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
     labels = components(materialise(_verified(pairs, weighed, least), "links"))
     before, now = 0, GROWTH
     while True:
@@ -220,19 +258,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
         kinds = labelled.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("h"))
         # buckets that links do not connect, and whose documents have not all been pivots
         left = labelled.where(F.col("size") > before).join(kinds.where("l < h").select("bucket"), "bucket")
-        left = materialise(left.select("bucket", "node", "label", "place"), "open")
+        left = materialise(left.select("bucket", "node", "short", "label", "place"), "open")
         if left.isEmpty():
             break
         rest = left.where(F.col("place") > before)
-        pivots = rest.where(F.col("place") <= now).select("bucket", F.col("node").alias("pivot"), F.col("label").alias("own"))
-        met = rest.join(pivots, "bucket").where((F.col("own") != F.col("label")) & (F.col("node") != F.col("pivot")))
+        pivots = rest.where(F.col("place") <= now).select("bucket", F.col("node").alias("pivot"), F.col("label").alias("own"), F.col("short").alias("other"))
+        met = rest.join(pivots, "bucket").where((F.col("own") != F.col("label")) & _alike("short", "other", least))
         pairs = met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
         tested = materialise(_verified(pairs, weighed, least), "links")
         if not tested.isEmpty():
             labels = components(tested.union(_stars(labels)))
         before, now = now, now * GROWTH
     found = labels if same.isEmpty() else components(_stars(labels).union(same))
-    named = sketched.select("key", "f1", "f2").join(texts.drop("bands"), ["f1", "f2"]).select("key", "node")
+    named = sketched.select("key", "f1", "f2").join(texts.drop("bands", "short"), ["f1", "f2"]).select("key", "node")
     classes = named.join(found, "node", "left").groupBy("key").agg(F.min(F.coalesce("label", "node")).alias("class_id"))
     ids = docs.select(docs[key].cast("long").alias("doc_id"))
     return ids.join(classes, ids.doc_id == classes.key, "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
