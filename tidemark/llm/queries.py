@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, near_dups, sharding, token_counts, token_files, toxicity, warc
+from tidemark.llm import decontaminate, near_dups, sentencepiece, sharding, token_counts, token_files, toxicity, warc
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.session import materialise, scratch_path
 from tidemark.sources.tables import table
@@ -138,3 +138,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the class of its near duplicates."""
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"), least=0.8)
+
+
+@query("op2_sentencepiece")
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents: their number, a checksum of the ids, and whether they decode to the text."""
+    return sentencepiece.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, rans, storage, vocabulary
-from tidemark.llm.words import gather, spans_of
+from tidemark.llm.words import Cut, gather, spans_of
 from tidemark.session import materialise
 
 SEGMENT_IDS = 1 << 21
@@ -57,9 +57,12 @@ def unit_ids(docs: DataFrame, folder: str, tokenizer: str, text: str) -> tuple[l
     return [(r.shard, r.uri) for r in manifest.select("shard", "uri").collect()], bits
 
 
-def encode_column(column: pa.Array, units: vocabulary.Table, encoder: bpe.Encoder, end_id: int) -> Iterator[tuple]:
-    """(ids, number of ids of each text) of consecutive texts, each ending with ``end_id``."""
-    for spans in spans_of(column, bpe.cut_units):
+def encode_column(column: pa.Array, cut: Cut, units: vocabulary.Table, whole, end_id: int | None) -> Iterator[tuple]:
+    """(ids, number of ids of each text, spans) of consecutive texts, each ending with ``end_id`` if there is one.
+
+    Texts with a span that the table lacks go to ``whole``, which gives the ids of texts as bytes.
+    """
+    for spans in spans_of(column, cut):
         keys, inverse = np.unique(spans.key, return_inverse=True)
         found, length, values = units.find(keys, np.dtype("<u4"))
         start, bounds = np.cumsum(length) - length, spans.bounds()
@@ -70,12 +73,15 @@ def encode_column(column: pa.Array, units: vocabulary.Table, encoder: bpe.Encode
         slow = np.flatnonzero(np.diff(lost)).tolist()
         if slow:
             raw, parts = spans.raw.tobytes(), []
-            whole = dict(zip(slow, encoder.whole([raw[spans.offsets[i] : spans.offsets[i + 1]].decode() for i in slow])))
+            known = dict(zip(slow, whole([raw[spans.offsets[i] : spans.offsets[i + 1]].decode() for i in slow])))
             for i in range(spans.texts):
-                parts.append(np.frombuffer(whole[i], "<u4") if i in whole else ids[ends[i] : ends[i + 1]])
+                parts.append(np.frombuffer(known[i], "<u4") if i in known else ids[ends[i] : ends[i + 1]])
             ids = np.concatenate(parts)
             ends = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
-        yield np.insert(ids, ends[1:], end_id), np.diff(ends) + 1
+        if end_id is None:
+            yield ids, np.diff(ends), spans
+        else:
+            yield np.insert(ids, ends[1:], end_id), np.diff(ends) + 1, spans
 
 
 def write_ids(
@@ -118,7 +124,7 @@ def write_ids(
 
             for batch in batches:
                 own, first = batch.column("key").to_pylist(), 0
-                for ids, lengths in encode_column(batch.column("text"), units, encoder, end_id):
+                for ids, lengths, _ in encode_column(batch.column("text"), bpe.cut_units, units, encoder.whole, end_id):
                     keys += own[first : first + len(lengths)]
                     counts.append(lengths)
                     parts.append(ids)
