@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import storage
 from tidemark.llm.words import ALPHANUMERIC, cut_words, mixed, spans_of
 from tidemark.session import materialise
 
@@ -227,6 +228,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     probability above 1 - 1e-5; of what shares one, all pairs are tested exactly that links do not
     connect yet and whose registers do not rule them out.
     """
+    storage.small_batches(docs.sparkSession)
     sketched = materialise(_sketched(docs, key, text), "sketches")
     copies = sketched.groupBy("f1", "f2").agg(F.min("key").alias("node"), F.first("bands").alias("bands"), F.first("short").alias("short"))
     texts = materialise(copies, "texts")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, near_dups, sentencepiece, sharding, token_counts, token_files, toxicity, warc
+from tidemark.llm import decontaminate, lm, near_dups, neighbours, sentencepiece, sharding, token_counts, token_files, toxicity, warc
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.session import materialise, scratch_path
 from tidemark.sources.tables import table
@@ -144,3 +144,19 @@ def op6_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents: their number, a checksum of the ids, and whether they decode to the text."""
     return sentencepiece.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op4_neighbours")
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector among all others."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+@query("op7_lm")
+def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents under a bigram model of nine tenths of them."""
+    docs = table(spark, sf_dir, "documents")
+    model = lm.learn(docs.where(~lm.held_out("doc_id")))
+    scored = lm.add_scores(docs, model).withColumn("held_out", lm.held_out("doc_id"))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -13,6 +13,14 @@ from urllib.parse import unquote, urlparse
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark.sql import SparkSession
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let Python workers get at most ``rows`` rows at a time: texts may be long, and memory is shared."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
 
 
 def resolve(uri: str) -> tuple[fs.FileSystem, str]:

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from tidemark.llm import storage
 from tidemark.llm.words import Cut, binary_array, gather, spans_of
 
 #: Distinct spans that a task holds before it merges and sends them.
-HELD = 600_000
+HELD = 400_000
 SHARD_BYTES, MOST_SHARDS = 24 << 20, 4096
 PACKED = "shard int, data binary"
 VOCABULARY = "shard int, key long, word binary, n long"
@@ -28,6 +29,7 @@ VOCABULARY = "shard int, key long, word binary, n long"
 
 def shard_bits(docs: DataFrame, text: str) -> int:
     """Bits of a shard's number: more shards for more text. They only set how the work is dealt out."""
+    storage.small_batches(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     return min(MOST_SHARDS, max(4, total // SHARD_BYTES)).bit_length()
 
@@ -166,7 +168,9 @@ def write_table(
     payload: Callable[[pa.RecordBatch], list[bytes | None]],
     prepare: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] = iter,
 ) -> DataFrame:
-    """Write one sorted file a partition, which is one shard, and return (shard, uri, n).
+    """Write one sorted file a partition, which is one shard, and return (shard, uri, n, total).
+
+    ``n`` is the number of keys; ``total`` sums the column ``n`` of the rows, if they have it.
 
     ``prepare`` makes rows with at least (shard, key) of the partition's batches, such as ``merging`` does of
     ``packed_spans``; ``payload`` gives each row's value, and None leaves the key out. Write the
@@ -174,7 +178,7 @@ def write_table(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, lengths, values, shard = [], [], [], None
+        keys, lengths, values, shard, total = [], [], [], None, 0
         for batch in prepare(batches):
             found = payload(batch)
             known = np.array([v is not None for v in found], dtype=bool)
@@ -182,6 +186,8 @@ def write_table(
             lengths.append(np.array([len(v) for v in found if v is not None], dtype=np.int64))
             values.append(b"".join(v for v in found if v is not None))
             shard = batch.column("shard")[0].as_py() if batch.num_rows else shard
+            if "n" in batch.schema.names and batch.num_rows:
+                total += pc.sum(batch.column("n")).as_py()
         if shard is None:
             return
         key, length = np.concatenate(keys), np.concatenate(lengths)
@@ -197,9 +203,9 @@ def write_table(
             file.write(np.concatenate(([0], np.cumsum(length))).astype("<u8").tobytes())
             for value in values:
                 file.write(value)
-        yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "uri": [uri], "n": pa.array([len(key)], pa.int64())})
+        yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "uri": [uri], "n": pa.array([len(key)]), "total": pa.array([total])})
 
-    return rows.mapInArrow(run, "shard int, uri string, n long")
+    return rows.mapInArrow(run, "shard int, uri string, n long, total long")
 
 
 class Table:
