@@ -74,16 +74,21 @@ class Block:
         order = np.argsort(near, kind="stable")
         reach = self.norm**2 + float(query @ query)
         held: list[tuple[float, int]] = []  # (-score, id), sorted
-        for step in range(0, len(order), 4):
-            some = order[step : step + 4]
+        taken, width = 0, 4
+        while taken < len(order):
+            some = order[taken : taken + width]
             if len(held) == k:
                 worst = reach + 2 * held[-1][0]  # squared distance of the k-th best so far
                 if near[some[0]] >= quantile * max(worst, 0.0):
                     break
+            taken, width = taken + width, 2 * width
             points = np.concatenate([self.leaves[i] for i in some])
-            scores = _products(self.vectors[points], query)
+            rough = self.vectors[points] @ query
             least = -held[-1][0] if len(held) == k else -math.inf
-            for p, s in ((points[i], scores[i]) for i in np.flatnonzero(scores >= least)):
+            if len(rough) > 2 * k:  # own_id may be among the best
+                least = max(least, np.partition(rough, len(rough) - k - 1)[len(rough) - k - 1])
+            points = points[rough >= least - 1e-9 * (1 + abs(least))] if least > -math.inf else points
+            for p, s in zip(points, _products(self.vectors[points], query)):
                 held += [(-float(s), int(i)) for i in self.ids[p] if i != own_id]
             held = sorted(held)[:k]
         return [(-s, i) for s, i in held]
@@ -109,7 +114,7 @@ def nearest(
     k: int = 20,
     projected: int = 10,
     probability: float = 0.98,
-    block_rows: int = 16_384,
+    block_rows: int = 65_536,
     query_rows: int = 1_024,
     seed: int = 11,
 ) -> DataFrame:
