@@ -232,10 +232,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     sketched = materialise(_sketched(docs, key, text), "sketches")
     copies = sketched.groupBy("f1", "f2").agg(F.min("key").alias("node"), F.first("bands").alias("bands"), F.first("short").alias("short"))
     texts = materialise(copies, "texts")
-    banded = texts.select("node", "short", F.explode("bands").alias("bucket"))
+    banded = texts.select("node", F.explode("bands").alias("bucket"))
     crowded = banded.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("size"))
     crowded = materialise(crowded.where("low < high").drop("low", "high"), "buckets")
-    members = materialise(banded.join(crowded, "bucket").select("bucket", "node", "short", "size"), "members")
+    members = materialise(banded.join(crowded, "bucket").select("bucket", "node", "size"), "members")
+    shorts = materialise(texts.select("node", "short").join(members.select("node").distinct(), "node", "left_semi"), "short")
     weighed = materialise(_weighed(docs, key, text, members.select("node").distinct()), "shingles")
     # the texts of one document are one class
     many = sketched.groupBy("key").agg(F.count_distinct("f1", "f2").alias("n")).where("n > 1").select("key")
@@ -248,7 +249,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     heads = heavy.join(heads.select("bucket", (-F.col("head")).alias("head")), "bucket")
     place = (F.pmod(F.xxhash64("bucket", "node"), F.lit(1 << 30)) + 1) / F.lit(float(1 << 30))
     heads = heads.withColumn("place", F.when(F.col("node") == F.col("head"), 0.5).otherwise(place * F.col("size")))
-    ranked = materialise(heads.select("bucket", "node", "short", "head", "size", "place"), "ranked")
+    ranked = materialise(heads.select("bucket", "node", "head", "size", "place"), "ranked")
     # at first, each document meets the weightiest of all that head a bucket of its own
     best = ranked.join(weight.select(F.col("node").alias("head"), "weight"), "head").groupBy("node")
     best = best.agg(F.max(F.struct("weight", -F.col("head"))).getField("col2").alias("head")).select("node", (-F.col("head")).alias("head"))
@@ -260,12 +261,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
         kinds = labelled.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("h"))
         # buckets that links do not connect, and whose documents have not all been pivots
         left = labelled.where(F.col("size") > before).join(kinds.where("l < h").select("bucket"), "bucket")
-        left = materialise(left.select("bucket", "node", "short", "label", "place"), "open")
+        left = materialise(left.join(shorts, "node").select("bucket", "node", "short", "label", "place"), "open")
         if left.isEmpty():
             break
         rest = left.where(F.col("place") > before)
         pivots = rest.where(F.col("place") <= now).select("bucket", F.col("node").alias("pivot"), F.col("label").alias("own"), F.col("short").alias("other"))
-        met = rest.join(pivots, "bucket").where((F.col("own") != F.col("label")) & _alike("short", "other", least))
+        once = (F.col("place") > now) | (F.col("node") < F.col("pivot"))  # of two pivots, one meets the other
+        met = rest.join(pivots, "bucket").where((F.col("own") != F.col("label")) & once & _alike("short", "other", least))
         pairs = met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
         tested = materialise(_verified(pairs, weighed, least), "links")
         if not tested.isEmpty():
