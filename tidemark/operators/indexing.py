@@ -8,16 +8,14 @@ from pyspark.sql import functions as F
 from tidemark.operators.running import Ranges, dense_index
 from tidemark.session import materialise
 
-USER_INDEX_CAP = 10_000_000  # fixed value: users numbered beyond it are left out
-
-
 def index_interactions(
-    rows: DataFrame, user: str, creator: str, cap: int = USER_INDEX_CAP, ranges: Ranges = Ranges()
+    rows: DataFrame, user: str, creator: str, cap: int | None = None, ranges: Ranges = Ranges()
 ) -> DataFrame:
     """``rows`` with ``user_index`` and ``creator_index``, both from 0 in id order.
 
-    Users beyond ``cap`` go first; creators are numbered over the remaining rows.
+    With a ``cap``, users numbered beyond it go first, and creators are numbered over the remaining rows.
     """
-    users = materialise(dense_index(rows, user, "user_index", ranges).where(F.col("user_index") <= cap), "users")
+    numbered = dense_index(rows, user, "user_index", ranges)
+    users = materialise(numbered if cap is None else numbered.where(F.col("user_index") <= cap), "users")
     kept = rows.join(users, user)
     return kept.join(dense_index(kept, creator, "creator_index", ranges), creator)

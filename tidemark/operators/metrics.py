@@ -59,7 +59,11 @@ def average_precision(rows: DataFrame, score: str, label: str, ranges: Ranges =
 
 
 def calibration(rows: DataFrame, score: str, label: str, bins: int = 10) -> DataFrame:
-    """Mean score and share of positives per uniform bin [i/bins, (i+1)/bins); 1.0 joins the last, empty bins are absent."""
+    """Mean score and share of positives per uniform bin [i/bins, (i+1)/bins); 1.0 joins the last, empty bins are absent.
+
+    Rows with a null score belong to no bin.
+    """
+    rows = rows.where(F.col(score).isNotNull())
     place = F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)).alias("bin")
     return rows.groupBy(place).agg(
         F.avg(score).alias("mean_score"),

@@ -264,8 +264,8 @@ def embedding_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "embedding_export",
-    """
-SELECT vec_id AS "userId", CAST(embedding[1] AS FLOAT) AS user_emb_0, CAST(embedding[2] AS FLOAT) AS user_emb_1,
+    f"""
+SELECT vec_id AS "userId", {", ".join(f"CAST(embedding[{i + 1}] AS FLOAT) AS user_emb_{i}" for i in range(64))},
        CAST(label AS DOUBLE) AS user_bias, CAST(TIMESTAMP '2023-03-10 13:15:50' AS VARCHAR) AS exported
 FROM embeddings""",
 )
@@ -276,7 +276,7 @@ def embedding_export(spark: SparkSession, sf_dir: str) -> DataFrame:
         key="vec_id",
         vector="embedding",
         entity="user",
-        dim=2,
+        dim=64,
         at=datetime(2023, 3, 10, 13, 15, 50),
         bias="bias",
     )

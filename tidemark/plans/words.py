@@ -36,11 +36,11 @@ def line() -> Column:
 
 
 def csv_text() -> Column:
-    """The second field of the line ``id,text``, up to the next comma."""
-    return T.csv_field(F.concat_ws(",", "doc_id", "value"), 1)
+    """The second field of the line ``id,text``: all that follows the first comma."""
+    return F.element_at(F.split(F.concat_ws(",", "doc_id", "value"), ",", 2), 2)
 
 
-_FIELD = "string_split(doc_id || ',' || value, ',')[2]"
+_FIELD = "substr(doc_id || ',' || value, strpos(doc_id || ',' || value, ',') + 1)"
 _SPACE = f"string_split({_FIELD}, ' ')"
 _NON_WORD = r"list_transform(string_split_regex(value, '\W+'), lambda w: lower(w))"
 

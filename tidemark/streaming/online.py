@@ -52,10 +52,11 @@ def counter_values(state: DataFrame, keys: Sequence[str], counters: Sequence[Cou
     return state.select(*keys, *[value(c) for c in counters])
 
 
-def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "update", timeout: int = 600) -> None:
+def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "update", timeout: int | None = None) -> None:
     """Process everything that has arrived, one folder per micro-batch.
 
-    A replayed batch overwrites its own folder, so a restart leaves no duplicates.
+    A replayed batch overwrites its own folder, so a restart leaves no duplicates. There is no limit to the
+    time it takes unless ``timeout`` sets one, in seconds.
     """
 
     def save(batch: DataFrame, number: int) -> None:
@@ -69,7 +70,9 @@ def drain(stream: DataFrame, path: str, checkpoint: str, mode: str = "update", t
         .start()
     )
     try:
-        if not query.awaitTermination(timeout):
+        if timeout is None:
+            query.awaitTermination()
+        elif not query.awaitTermination(timeout):
             raise TimeoutError(f"the stream did not finish within {timeout} seconds")
     finally:
         query.stop()
