@@ -9,6 +9,8 @@ Documents that agree in all registers of a band meet in a bucket. Links within a
 for from pivots, not between all pairs: one pivot first, then about eight times more in each
 round, and only between documents that no links connect yet. The last round of a bucket makes all
 its documents pivots, so nothing within a bucket stays untested unless links already connect it.
+From the second round on, shingles that no other open document has bound the similarity a pair can
+reach, and a pair meets in one bucket only, the smallest that both documents are in.
 """
 
 from __future__ import annotations
@@ -154,19 +156,23 @@ def _sketched(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _weighed(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
-    """(node, data) of the wanted documents: their shingles' keys and counts, sorted by key."""
+    """(node, n, mass, data) of the wanted documents: their shingles' number, weight, and keys and counts, sorted by key."""
     rows = docs.select(docs[key].cast("long").alias("node"), docs[text].alias("text")).where("text IS NOT NULL")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             blobs: list[bytes] = []
+            sizes, masses = [], []
             for n, own, key, counts in shingles(batch.column("text")):
                 edges = np.searchsorted(own, np.arange(n + 1))
+                sizes.extend(np.diff(edges).tolist())
+                masses.extend(np.bincount(own, weights(counts), n).tolist())
                 for a, b in zip(edges[:-1], edges[1:]):
                     blobs.append(key[a:b].tobytes() + counts[a:b].astype("<u4").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(blobs, pa.binary())], ["node", "data"])
+            columns = [batch.column("node"), pa.array(sizes, pa.int64()), pa.array(masses, pa.float64()), pa.array(blobs, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "n", "mass", "data"])
 
-    return rows.join(wanted, "node", "left_semi").mapInArrow(run, "node long, data binary")
+    return rows.join(wanted, "node", "left_semi").mapInArrow(run, "node long, n long, mass double, data binary")
 
 
 def _unblob(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -174,6 +180,56 @@ def _unblob(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, "<u8", n), np.frombuffer(data, "<u4", n, 8 * n)
 
 
+def _profiles(weighed: DataFrame, open_rows: DataFrame) -> DataFrame:
+    """(node, n, mass, own, own_mass, homes) of the nodes in (bucket, node) ``open_rows``.
+
+    ``own`` shingles, of weight ``own_mass``, are in no other of these nodes; ``homes`` are the node's buckets.
+    Nodes with several texts are left out.
+    """
+    nodes = open_rows.select("node").distinct()
+    wanted = weighed.join(nodes, "node", "left_semi")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, data in zip(batch.column("node").to_pylist(), batch.column("data")):
+                keys, counts = _unblob(data.as_py())
+                columns = [np.full(len(keys), node), keys.view(np.int64), weights(counts)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["node", "shingle", "weight"])
+
+    spread = wanted.select("node", "data").mapInArrow(run, "node long, shingle long, weight double")
+    alone = spread.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("high"), F.max("weight").alias("weight"))
+    alone = alone.where("node = high").groupBy("node").agg(F.count("*").alias("own"), F.sum("weight").alias("own_mass"))
+    sizes = wanted.groupBy("node").agg(F.count("*").alias("texts"), F.max("n").alias("n"), F.max("mass").alias("mass"))
+    sizes = sizes.where("texts = 1").drop("texts")
+    homes = open_rows.join(sizes.select("node"), "node", "left_semi").groupBy("node").agg(F.collect_set("bucket").alias("homes"))
+    known = sizes.join(alone, "node", "left").join(homes, "node")
+    return known.fillna({"own": 0, "own_mass": 0.0})
+
+
+_PROFILE = ["n", "mass", "own", "own_mass", "homes"]
+
+
+def _within_reach(least: float):
+    """Whether two profiled documents (``n`` and ``other_n`` and so on) can have a similarity of ``least``.
+
+    They share at most as many shingles as either has that are not its own. What a document cannot share weighs
+    at least its own shingles and one for each further shingle, and a similarity is highest where the shared
+    shingles weigh alike in both. Documents without a profile always can.
+    """
+    n, m = F.col("n"), F.col("other_n")
+    shared = F.least(n - F.col("own"), m - F.col("other_own"))
+    a = (F.col("own_mass") + n - F.col("own") - shared) / F.col("mass")
+    b = (F.col("other_own_mass") + m - F.col("other_own") - shared) / F.col("other_mass")
+    weighted = F.try_divide((1 - a) * (1 - b), F.greatest(1 - b + b * (1 - a), 1 - a + a * (1 - b)))
+    return n.isNull() | m.isNull() | (F.greatest(shared / (n + m - shared), weighted) >= least - 1e-9)
+
+
+def _meet_here():
+    """Whether the join's bucket is the smallest that both documents are in; always true without a profile."""
+    shared = F.array_min(F.array_intersect("homes", "other_homes"))
+    return F.col("homes").isNull() | F.col("other_homes").isNull() | (shared == F.col("bucket"))
+
+
 def _verified(pairs: DataFrame, weighed: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) whose probability Jaccard, or plain Jaccard, similarity is at least ``least``."""
     left = weighed.select(F.col("node").alias("a"), F.col("data").alias("left"))
@@ -255,7 +311,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     best = best.agg(F.max(F.struct("weight", -F.col("head"))).getField("col2").alias("head")).select("node", (-F.col("head")).alias("head"))
     pairs = best.where("node != head").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
     labels = components(materialise(_verified(pairs, weighed, least), "links"))
-    before, now = 0, GROWTH
+    before, now, profiles = 0, GROWTH, None
     while True:
         labelled = ranked.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         kinds = labelled.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("h"))
@@ -264,10 +320,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
         left = materialise(left.join(shorts, "node").select("bucket", "node", "short", "label", "place"), "open")
         if left.isEmpty():
             break
+        extra: list[str] = []
+        worth = F.lit(True)
+        if before:  # all buckets that are open now or later are among those of the second round
+            profiles = profiles or materialise(_profiles(weighed, left.select("bucket", "node")), "profiles")
+            left, extra, worth = left.join(profiles, "node", "left"), _PROFILE, _within_reach(least)
         rest = left.where(F.col("place") > before)
-        pivots = rest.where(F.col("place") <= now).select("bucket", F.col("node").alias("pivot"), F.col("label").alias("own"), F.col("short").alias("other"))
+        pivots = rest.where(F.col("place") <= now).select(
+            "bucket", F.col("node").alias("pivot"), *[F.col(c).alias(f"other_{c}") for c in ["label", "short", *extra]]
+        )
         once = (F.col("place") > now) | (F.col("node") < F.col("pivot"))  # of two pivots, one meets the other
-        met = rest.join(pivots, "bucket").where((F.col("own") != F.col("label")) & once & _alike("short", "other", least))
+        met = rest.join(pivots, "bucket").where((F.col("other_label") != F.col("label")) & once & worth & _alike("short", "other_short", least))
+        if extra:
+            met = met.where(_meet_here())
         pairs = met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
         tested = materialise(_verified(pairs, weighed, least), "links")
         if not tested.isEmpty():
