@@ -46,7 +46,7 @@ def recursion(rows, keys, gap, event, value, tau=TAU, decay_to_read=False, whole
                 state *= math.exp(-(felt(r["event_time"]) - last) / tau)
             state, last = state + value(r), felt(r["event_time"])
         if decay_to_read and last is not None:
-            state *= math.exp(-(target["event_time"] - gap - last) / tau)
+            state *= math.exp(-(target["event_time"] - last) / tau)
         out[target["event_id"]] = state
     return out
 

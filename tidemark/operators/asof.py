@@ -30,10 +30,10 @@ def asof_join(
 
     A right row is visible iff its time + gap <= the left time; ``tolerance``
     further asks that it be no older than that before the moment of the read. Ties
-    in time go to the larger ``right_id``.
+    in time go to the larger ``right_id``. A null key matches nothing.
     """
     keys = [f"_by{i}" for i in range(len(by))]
-    seen = right.select(
+    seen = right.dropna(subset=list(by)).select(
         *[F.col(b).alias(k) for b, k in zip(by, keys)],
         micros(right_time).alias("_us"),
         F.col(right_id).alias("_tie"),

@@ -60,7 +60,7 @@ def livestream_counters(tau: timedelta = STANDARD_TAU) -> list[Counter]:
     ]
 
 
-def _quoted(text: str) -> str:
+def quoted(text: str) -> str:
     escaped = text.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"
 
@@ -69,13 +69,20 @@ def feature_name(keys: Sequence[str], gap: timedelta, counter: str, prefix: str
     return f"{prefix}{'_'.join(keys)}_{gap_label(gap)}_{counter}"
 
 
-def _key_rows(key_sets: Sequence[Sequence[str]], width: int) -> str:
-    """SQL for one struct per key set; keys stay separate columns, never a joined string."""
+def _key_rows(key_sets: Sequence[Sequence[str]], width: int, whole: bool = False) -> str:
+    """SQL for one struct per key set; keys stay separate columns, never a joined string.
+
+    ``whole`` leaves out key sets that hold a null.
+    """
     rows = []
     for i, keys in enumerate(key_sets):
         padded = [f"CAST(`{k}` AS STRING)" for k in keys] + ["CAST(NULL AS STRING)"] * (width - len(keys))
         fields = ", ".join(f"{col} AS _k{j}" for j, col in enumerate(padded))
-        rows.append(f"struct({i} AS _set, {fields})")
+        row = f"struct({i} AS _set, {fields})"
+        known = " AND ".join(f"`{k}` IS NOT NULL" for k in keys) or "true"
+        rows.append(f"CASE WHEN {known} THEN {row} END" if whole else row)
+    if whole:
+        return f"explode(array_compact(array({', '.join(rows)}))) AS _key"
     return f"explode(array({', '.join(rows)})) AS _key"
 
 
@@ -97,9 +104,9 @@ def decayed_counters(
 ) -> DataFrame:
     """``targets`` plus one DOUBLE column per key set, gap and counter (0 where nothing is visible).
 
-    ``target_id`` must identify a target row. Targets never feed counters.
-    ``start`` drops earlier targets. ``decay_to_read`` decays on to the moment of
-    the read; ``whole_seconds`` truncates event times for the decay only.
+    ``target_id`` must identify a target row; a target without one gets null features. Targets never feed
+    counters, nor do events whose key is null. ``start`` drops earlier targets. ``decay_to_read`` decays on to
+    the target's time; ``whole_seconds`` truncates event times for the decay only.
     """
     width = max(len(keys) for keys in key_sets)
     key_cols = ["_set"] + [f"_k{j}" for j in range(width)]
@@ -114,10 +121,10 @@ def decayed_counters(
             "_us",
             "_event",
             *[
-                f"CASE WHEN _event = {_quoted(c.event)} THEN coalesce(CAST({c.value} AS DOUBLE), 0D) END AS _x{i}"
+                f"CASE WHEN _event = {quoted(c.event)} THEN coalesce(CAST({c.value} AS DOUBLE), 0D) END AS _x{i}"
                 for i, c in enumerate(counters)
             ],
-            _key_rows(key_sets, width),
+            _key_rows(key_sets, width, whole=True),
         )
     )
     delays = ", ".join(f"{gap_micros(g)}L" for g in gaps)
@@ -153,7 +160,7 @@ def decayed_counters(
     )
     values = []
     for i, c in enumerate(counters):
-        as_of = "_us" if decay_to_read else f"_l{names.index(c.event)}"
+        as_of = f"(_us + array({delays})[_gap])" if decay_to_read else f"_l{names.index(c.event)}"
         values.append(f"_s{i} * exp(({origin}L - {as_of}) / {gap_micros(c.tau)}D) AS _v{i}")
     cells = [
         f"coalesce(max(CASE WHEN _set = {s} AND _gap = {g} THEN _v{i} END), 0D)"
@@ -167,7 +174,7 @@ def decayed_counters(
         .groupBy(target_id)
         .agg(*map(F.expr, cells))
     )
-    return targets.join(features, target_id)
+    return targets.join(features, target_id, "left")
 
 
 def _anchor(
@@ -184,7 +191,7 @@ def _anchor(
     return rows.selectExpr(
         *[c for c in rows.columns if not c.startswith("_x") and c != "_event"],
         *[f"_x{i} * {weight(c.tau)} AS _s{i}" for i, c in enumerate(counters)],
-        *[f"CASE WHEN _event = {_quoted(name)} THEN {felt} END AS _l{j}" for j, name in enumerate(names)],
+        *[f"CASE WHEN _event = {quoted(name)} THEN {felt} END AS _l{j}" for j, name in enumerate(names)],
     )
 
 

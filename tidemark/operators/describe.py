@@ -13,7 +13,7 @@ QUARTILES = (0.25, 0.5, 0.75)
 
 
 def describe_by(rows: DataFrame, label: str, columns: Sequence[str], ranges: Ranges = Ranges()) -> DataFrame:
-    """One row per label and column: count, mean, std, min, quartiles, max. Nulls are left out."""
+    """One row per label and column: count, mean, std, min, quartiles, max. Null values are left out; a null label is a label."""
     long = rows.select(label, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [label], list(columns), "column", "value"
     )
@@ -28,7 +28,9 @@ def describe_by(rows: DataFrame, label: str, columns: Sequence[str], ranges: Ran
     quartiles = exact_quantiles(long, "value", QUARTILES, keys, ranges).withColumnsRenamed(
         {"q0": "p25", "q1": "p50", "q2": "p75"}
     )
-    return summary.join(quartiles, keys, "left")
+    quartiles = quartiles.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return summary.join(quartiles, same, "left").drop(*[f"_{k}" for k in keys])
 
 
 def label_balance(rows: DataFrame, label: str) -> DataFrame:

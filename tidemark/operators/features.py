@@ -157,7 +157,8 @@ def transform_features(
     All vocabulary lookups, scalar and sequence alike, share one join and one
     regrouping by row. Padding is looked up once per vocabulary, not per row, so
     the filler token does not become a hot join key. The join carries no broadcast
-    hint: a vocabulary can hold millions of ids.
+    hint: a vocabulary can hold millions of ids. A null sequence is all padding; a token
+    that a vocabulary holds more than once has its smallest index.
     """
     sizes = {f.name: (f.vocab_size, f.num_oov_buckets) for f in config.features}
     looked_up = [f for f in config.features if f.vocabulary in vocabularies]
@@ -187,11 +188,12 @@ def transform_features(
         voc = used.index(f.vocabulary)
         col = f"`{f.name}`" if f.name in sequences else f"array(`{f.name}`)"
         entry = f"struct({i} AS feature, {voc} AS voc, p AS pos, CAST(t AS BIGINT) AS token, {blank} AS rest)"
-        entries.append(f"transform({col}, (t, p) -> {entry})")
+        entries.append(f"coalesce(transform({col}, (t, p) -> {entry}), array())")
     long = base.selectExpr(f"`{row_id}`", f"inline(concat({', '.join(entries)}))")
     vocabulary = None
     for v, name in enumerate(used):
         part = vocabularies[name].select(F.lit(v).alias("voc"), F.col("token").cast("bigint").alias("token"), "index")
+        part = part.groupBy("voc", "token").agg(F.min("index").alias("index"))
         vocabulary = part if vocabulary is None else vocabulary.unionByName(part)
 
     def unknown(token: Column, voc: Column) -> Column:
@@ -214,7 +216,7 @@ def transform_features(
     for f in looked_up:
         if f.name in sequences:
             filler = _filler(f).cast("bigint")
-            known = vocabularies[f.vocabulary].where(F.col("token") == filler).agg(F.max("index")).scalar()
+            known = vocabularies[f.vocabulary].where(F.col("token") == filler).agg(F.min("index")).scalar()
             padding = F.coalesce(known, out_of_vocabulary(filler, *sizes[f.vocabulary]))
             found = found.withColumn(f.name, pad(F.col(f.name), f.seq_len, padding))
     return found.select("*", "_rest.*").select(row_id, *[f.name for f in config.features], *kept, "label")

@@ -72,20 +72,23 @@ def exact_sample(
 ) -> DataFrame:
     """``rows`` plus a flag that marks exactly ceil(fraction * size) or ``n`` rows, without replacement.
 
-    With ``by`` the count is met in every class. ``key`` identifies a row. The main
-    rows are only compared with the cut: they are neither sorted nor shuffled.
+    With ``by`` the count is met in every class. ``key`` identifies a row; rows whose key or class is null
+    are never in the sample and do not count. The main rows are only compared with the cut: they are
+    neither sorted nor shuffled.
     """
     if (fraction is None) == (n is None):
         raise ValueError("give either fraction or n")
     quota = f"ceil(total * {fraction}BD)" if n is None else str(n)
     mark = F.struct(portable_hash(F.col(key), seed).alias("_h"), F.col(key).alias("_key"))
+    whole = rows.dropna(subset=[key, *([by] if by else [])])
+
+    def chosen(cut: Column) -> Column:
+        return F.coalesce(F.col(key).isNotNull() & (mark <= cut), F.lit(False))
+
     if by is None:
-        cut = _exact_cut(rows, key, seed, quota, []).scalar()
-        return rows.withColumn(flag, F.coalesce(mark <= cut, F.lit(False)))
-    cuts = hint_if_small(_exact_cut(rows, key, seed, quota, [by]), "cuts")
-    return (
-        rows.join(cuts, by, "left").withColumn(flag, F.coalesce(mark <= F.col("_cut"), F.lit(False))).drop("_cut")
-    )
+        return rows.withColumn(flag, chosen(_exact_cut(whole, key, seed, quota, []).scalar()))
+    cuts = hint_if_small(_exact_cut(whole, key, seed, quota, [by]), "cuts")
+    return rows.join(cuts, by, "left").withColumn(flag, chosen(F.col("_cut"))).drop("_cut")
 
 
 def downsample_negatives(rows: DataFrame, label: str, key: str, n: int, seed: int = 42) -> DataFrame:
@@ -100,9 +103,9 @@ def shuffled(rows: DataFrame, key: str, seed: int = 42) -> DataFrame:
 
 
 def balanced_weights(rows: DataFrame, label: str, weight: str = "weight") -> DataFrame:
-    """``rows`` plus the weight n / (classes * size of the row's class)."""
-    sizes = rows.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    """``rows`` plus the weight n / (classes * size of the row's class); rows without a label count nowhere and get null."""
+    sizes = rows.dropna(subset=[label]).groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     weights = hint_if_small(
         sizes.selectExpr(f"`{label}`", f"sum(_n) OVER () / (count(*) OVER () * _n) AS `{weight}`"), "weights"
     )
-    return rows.join(weights, label)
+    return rows.join(weights, label, "left")

@@ -198,9 +198,9 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def describe_oracle(condition: str) -> str:
+def describe_oracle(condition: str, label: str = "label") -> str:
     return f"""
-WITH c AS (SELECT * FROM ({CUSTOMER_SQL}) WHERE {condition}), u AS (
+WITH c AS (SELECT * REPLACE ({label} AS label) FROM ({CUSTOMER_SQL}) WHERE {condition}), u AS (
     SELECT label, 'c_acctbal' AS column, c_acctbal AS value FROM c
     UNION ALL SELECT label, 'c_nationkey', CAST(c_nationkey AS DOUBLE) FROM c
 )
@@ -215,6 +215,16 @@ def label_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(D.describe_by(customers(spark, sf_dir), "label", ["c_acctbal", "c_nationkey"], NARROW), 6)
 
 
+SOME_LABELS = "CASE WHEN c_nationkey % 5 <> 0 THEN label END"
+
+
+@query("label_describe_null", describe_oracle("TRUE", SOME_LABELS))
+def label_describe_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A null label is summarised like any other."""
+    rows = customers(spark, sf_dir).withColumn("label", F.expr(SOME_LABELS))
+    return rounded(D.describe_by(rows, "label", ["c_acctbal", "c_nationkey"]), 6)
+
+
 @query("label_describe_clipped", describe_oracle("c_acctbal <= 5000 AND c_nationkey <= 20"))
 def label_describe_clipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = D.clip(customers(spark, sf_dir), {"c_acctbal": 5000, "c_nationkey": 20})
@@ -438,6 +448,20 @@ def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(S.balanced_weights(table(spark, sf_dir, "labels").select("doc_id", "quality"), "quality"))
 
 
+@query(
+    "class_weights_null",
+    """
+WITH d AS (SELECT doc_id, CASE WHEN doc_id % 5 <> 0 THEN quality END AS quality FROM labels),
+c AS (SELECT quality, count(*) AS n FROM d WHERE quality IS NOT NULL GROUP BY quality)
+SELECT doc_id, quality, round((SELECT sum(n) FROM c) / ((SELECT count(*) FROM c) * n), 9) AS weight
+FROM d LEFT JOIN c USING (quality)""",
+)
+def class_weights_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a label stay, without a weight, and do not count."""
+    rows = table(spark, sf_dir, "labels").selectExpr("doc_id", "CASE WHEN doc_id % 5 <> 0 THEN quality END AS quality")
+    return rounded(S.balanced_weights(rows, "quality"))
+
+
 @query(
     "hash_shard",
     """

@@ -152,10 +152,13 @@ query("user_history_blocked", history_oracle("segment", "sawtooth"))(
 )
 
 
-def asof_oracle(gap_us: int, tolerance_us: int | None) -> str:
+SOME_USERS = "CASE WHEN user_id % 7 <> 0 THEN user_id END"
+
+
+def asof_oracle(gap_us: int, tolerance_us: int | None, user: str = "user_id") -> str:
     fresh = "TRUE" if tolerance_us is None else f"v.us >= t.us - {gap_us} - {tolerance_us}"
     return f"""
-WITH e AS ({INTERACTIONS_SQL}),
+WITH e AS (SELECT * REPLACE ({user} AS user_id) FROM ({INTERACTIONS_SQL})),
 t AS (SELECT * FROM e WHERE event_type = 'purchase'), v AS (SELECT * FROM e WHERE event_type = 'view')
 SELECT t.event_id, t.user_id,
        CASE WHEN {fresh} THEN v.event_id END AS view_id, CASE WHEN {fresh} THEN v.value END AS view_value
@@ -163,9 +166,10 @@ FROM t ASOF LEFT JOIN v ON t.user_id = v.user_id AND t.us - {gap_us} >= v.us"""
 
 
 def run_asof(
-    spark: SparkSession, sf_dir: str, gap: timedelta, tolerance: timedelta | None = None, policy: HotKeys = HotKeys()
+    spark: SparkSession, sf_dir: str, gap: timedelta, tolerance: timedelta | None = None, policy: HotKeys = HotKeys(),
+    user: str = "user_id",
 ) -> DataFrame:
-    events = table(spark, sf_dir, "events")
+    events = table(spark, sf_dir, "events").withColumn("user_id", F.expr(user))
     purchases = events.where("event_type = 'purchase'").select("event_id", "ts", "user_id")
     views = events.where("event_type = 'view'").selectExpr("event_id AS view_id", "value AS view_value", "ts", "user_id")
     return asof_join(
@@ -185,6 +189,7 @@ def run_asof(
 _hour, _day = timedelta(hours=1), timedelta(days=1)
 query("asof_last_event", asof_oracle(gap_micros(_hour), None))(partial(run_asof, gap=_hour))
 query("asof_tolerance", asof_oracle(gap_micros(_hour), gap_micros(_day)))(partial(run_asof, gap=_hour, tolerance=_day))
+query("asof_null_keys", asof_oracle(gap_micros(_hour), None, SOME_USERS))(partial(run_asof, gap=_hour, user=SOME_USERS))
 query("asof_blocked", asof_oracle(gap_micros(_hour), None))(
     partial(run_asof, gap=_hour, policy=HotKeys(rows_per_block=5))
 )

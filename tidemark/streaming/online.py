@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import gap_micros, micros
-from tidemark.operators.counters import Counter
+from tidemark.operators.counters import Counter, quoted
 
 BATCH = "batch"
 
@@ -33,11 +33,11 @@ def online_counters(
         {"_us": micros(time), "_event": F.col(event_name), "_origin": F.unix_micros(F.lit(origin).cast("timestamp"))}
     )
     sums = [
-        f"coalesce(sum(CASE WHEN _event = '{c.event}' THEN coalesce(CAST({c.value} AS DOUBLE), 0D) "
+        f"coalesce(sum(CASE WHEN _event = {quoted(c.event)} THEN coalesce(CAST({c.value} AS DOUBLE), 0D) "
         f"* exp((_us - _origin) / {gap_micros(c.tau)}D) END), 0D) AS `sum_{c.name}`"
         for c in counters
     ]
-    lasts = [f"max(CASE WHEN _event = '{n}' THEN _us END) AS `last_{n}`" for n in names]
+    lasts = [f"max(CASE WHEN _event = {quoted(n)} THEN _us END) AS `last_{n}`" for n in names]
     return timed.groupBy(*keys).agg(*[F.expr(e) for e in sums + lasts])
 
 
