@@ -113,6 +113,30 @@ def test_probability_jaccard_against_its_definition():
         assert near_dups.probability_jaccard(*sides[0], *sides[1]) == pytest.approx(want)
 
 
+def test_bound_excludes_no_similar_pair(spark):
+    rng = random.Random(11)
+    rows, similar = [], 0
+    for _ in range(2_000):
+        common = [f"c{i}" for i in range(rng.randrange(5, 40))]
+        sides, own = [], []
+        for side in "ab":
+            alone = [f"{side}{i}" for i in range(rng.randrange(0, 12))]
+            sides.append({w: 1 + np.log(rng.choice([1, 1, 1, 2, 5])) for w in common + alone})
+            own.append(rng.sample(alone, rng.randrange(0, len(alone) + 1)))  # other documents may have the rest
+        arrays = [(np.array(sorted(s)), np.array([s[k] for k in sorted(s)])) for s in sides]
+        plain = len(common) / len(sides[0].keys() | sides[1].keys())
+        best = max(plain, near_dups.probability_jaccard(*arrays[0], *arrays[1]))
+        row = [best]
+        for s, o in zip(sides, own):
+            row += [len(s), float(sum(s.values())), len(o), float(sum(s[w] for w in o))]
+        rows.append(tuple(row))
+        similar += best >= 0.8
+    names = [f"{prefix}{c}" for prefix in ("", "other_") for c in ("n", "mass", "own", "own_mass")]
+    df = spark.createDataFrame(rows, ["best", *names])
+    kept = df.where(near_dups._within_reach(0.8))
+    assert similar > 100 and kept.where("best >= 0.8").count() == similar and kept.count() < 1_900
+
+
 def test_registers_agree_as_often_as_the_similarity():
     rng = random.Random(5)
     agree, want = [], []
