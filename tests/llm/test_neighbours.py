@@ -63,6 +63,23 @@ def test_odd_vectors_ties_and_blocks(spark):
     assert neighbours.nearest(df, df.where("false")).count() == 0
 
 
+def test_repeated_queries(spark):
+    """A query that is stored many times is asked once, and its own rows push no other out of the result."""
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(200)]
+    rows += [(20, rows[20][1])] + [(40, rows[40][1])] * 40 + [(41, rows[40][1]), (43, rows[40][1])]
+    rows += [(60, [x + 0.001 * i for x in rows[60][1]]) for i in range(1, 300)]  # one id with many vectors
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for block_rows in (64, 4_096):
+        found = neighbours.nearest(df, df.where("vec_id % 20 = 0"), k=20, probability=1 - 1e-12, block_rows=block_rows, query_rows=3)
+        got = {}
+        for r in found.collect():
+            got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+        firsts = {i: min(v for j, v in rows if j == i) for i in range(0, 200, 20)}
+        want = brute(rows, list(firsts.items()), 20)
+        assert {q: sorted(own) for q, own in got.items()} == {q: [(n, i) for n, (_, i) in enumerate(best, 1)] for q, best in want.items()}
+
+
 def test_quantile():
     assert neighbours.chi_square_quantile(0.95, 2) == pytest.approx(5.991464547)
     assert neighbours.chi_square_quantile(0.95, 10) == pytest.approx(18.30703805)

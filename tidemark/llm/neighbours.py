@@ -44,13 +44,19 @@ def projections(dimension: int, count: int, seed: int) -> np.ndarray:
 class Block:
     """A kd-tree over the projections of some distinct vectors."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, norm: float, matrix: np.ndarray, each: int):
-        # equal vectors are one point with its ``each`` smallest ids: more of them can be in no result
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, norm: float, matrix: np.ndarray, k: int):
         order = np.lexsort((ids, *vectors.T[::-1]))
         ids, vectors = ids[order], vectors[order]
         heads = np.flatnonzero(np.concatenate(([True], (vectors[1:] != vectors[:-1]).any(axis=1))))
         ends = np.append(heads[1:], len(ids))
-        self.ids = [ids[a : min(b, a + each)] for a, b in zip(heads, ends)]
+        # equal vectors are one point with its smallest ids, ``k`` times each at most and 2 ``k`` in all: if a query's
+        # own id is among them, ``k`` others are left, and more can be in no result
+        runs = np.concatenate(([True], ids[1:] != ids[:-1]))
+        runs[heads] = True
+        starts = np.flatnonzero(runs)
+        early = np.arange(len(ids)) - np.repeat(starts, np.diff(np.append(starts, len(ids)))) < k
+        self.ids = [ids[a:b][early[a:b]][: 2 * k] for a, b in zip(heads, ends)]
+        self.first, self.last = ids[heads], ids[ends - 1]
         self.vectors, self.matrix = vectors[heads], matrix
         rest = np.sqrt(np.maximum(0.0, norm**2 - (self.vectors**2).sum(axis=1)))
         points = np.column_stack([self.vectors, rest]) @ matrix
@@ -83,10 +89,11 @@ class Block:
                     break
             taken, width = taken + width, 2 * width
             points = np.concatenate([self.leaves[i] for i in some])
+            points = points[(self.first[points] != own_id) | (self.last[points] != own_id)]  # the rest are its own rows
             rough = self.vectors[points] @ query
             least = -held[-1][0] if len(held) == k else -math.inf
-            if len(rough) > 2 * k:  # own_id may be among the best
-                least = max(least, np.partition(rough, len(rough) - k - 1)[len(rough) - k - 1])
+            if len(rough) > 2 * k:
+                least = max(least, np.partition(rough, len(rough) - k)[len(rough) - k])
             points = points[rough >= least - 1e-9 * (1 + abs(least))] if least > -math.inf else points
             for p, s in zip(points, _products(self.vectors[points], query)):
                 held += [(-float(s), int(i)) for i in self.ids[p] if i != own_id]
@@ -122,13 +129,14 @@ def nearest(
 
     Null ids and vectors, zero vectors and vectors with a null or non-finite component take no part.
     Vectors of other lengths than the query's are no candidates. Rows with the query's id are no
-    candidates of it; other repeated rows are candidates each. The vectors lie in blocks of about
+    candidates of it; other repeated rows are candidates each. Repeated rows of a query are one query: of
+    different vectors with one id, the smallest, compared component by component, is asked. The vectors lie in blocks of about
     ``block_rows``, the queries in blocks of about ``query_rows``, and each pair of blocks is a task's
     work; only the best ``k`` of a block leave it. The stopping test makes each true neighbour
     found with ``probability`` at least.
     """
     storage.small_batches(vectors.sparkSession, 5_000)
-    base, asked = _usable(vectors, key, vector), _usable(queries, key, vector)
+    base, asked = _usable(vectors, key, vector), _usable(queries, key, vector).groupBy("id").agg(F.min("vector").alias("vector"))
     sizes = base.groupBy(F.size("vector").alias("d")).agg(
         F.count("*").alias("n"), F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)).alias("norm")
     )
@@ -151,7 +159,7 @@ def nearest(
             ids = table.column("id").to_numpy()
             d = table.column("dimension")[0].as_py()
             values = table.column("vector").combine_chunks().flatten().to_numpy().reshape(-1, d)
-            block = Block(ids[~asks], values[~asks], shapes[d][1], projections(d, projected, seed), k + 1)
+            block = Block(ids[~asks], values[~asks], shapes[d][1], projections(d, projected, seed), k)
             for query_id, query in zip(ids[asks].tolist(), values[asks]):
                 found += [(query_id, s, i) for s, i in block.search(query, query_id, k, quantile)]
         columns = list(zip(*found)) or [(), (), ()]
