@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -155,3 +156,45 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 499), (7, 7)], "a long, b long")
     got = {r.node: r.label for r in near_dups.components(edges).collect()}
     assert got == {**{i: 0 for i in range(201)}, 499: 499, 500: 499}
+
+
+def either(a, b):
+    """The larger of the plain and the probability Jaccard similarity of two texts' counted shingles."""
+    keys = {k: i for i, k in enumerate(sorted(a.keys() | b.keys()))}
+    sides = [sorted((keys[k], 1 + np.log(c)) for k, c in s.items()) for s in (a, b)]
+    arrays = [np.array(x) for s in sides for x in zip(*s)]
+    return max(jaccard(a.keys(), b.keys()), near_dups.probability_jaccard(*arrays))
+
+
+def test_repeated_passages(spark):
+    """Texts with the same shingles are near duplicates however often each repeats a line."""
+    rng = random.Random(13)
+    vocabulary = [f"w{i}" for i in range(5_000)]
+    rows, groups = [], []
+    for group in range(60):
+        line = " ".join(rng.choices(vocabulary, k=20))
+        words = rng.choices(vocabulary, k=60)
+        for copies in rng.sample([1, 2, 5, 50, 200], 2) if group < 50 else rng.choices([1, 1, 5, 50, 200], k=30):
+            rows.append((len(rows), varied(rng, words, 0.01 if group >= 50 else 0) + " " + " ".join([line] * copies)))
+            groups.append(group)
+    counted = []
+    for _, text in rows:
+        words = text.split()
+        counted.append(Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4)))
+    want = {i: i for i, _ in rows}
+    for i, _ in rows:
+        for j in range(i):  # texts of two groups have next to nothing in common
+            if groups[i] == groups[j] and want[i] != want[j] and either(counted[i], counted[j]) >= 0.8:
+                low, high = sorted((want[i], want[j]))
+                want = {k: low if label == high else label for k, label in want.items()}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in near_dups.near_duplicates(df).collect()} == want
+
+
+def test_both_sets_of_registers():
+    line = " ".join(f"l{i}" for i in range(20))
+    words = " ".join(f"w{i}" for i in range(60))
+    ((n, own, key, counts),) = near_dups.shingles(pa.array([f"{words} {line}", f"{words} {line} {line}", words + (" " + line) * 50]))
+    weighted, plain, repeats = near_dups._both_sets(n, own, key, counts)
+    assert repeats.tolist() == [False, True, True] and (weighted[0] == plain[0]).all()
+    assert (plain[1] == plain[2]).all() and (weighted[1] != weighted[2]).any()

@@ -5,6 +5,9 @@ into a random register, and a register keeps the shingle that arrived first. Two
 register with the probability of their probability Jaccard similarity. A shingle stops as soon as its next arrival is
 later than the latest register, so most shingles of a long text stop after one.
 
+A text that repeats shingles has a second set of registers, in which each of its shingles weighs one: these agree
+with the probability of the plain Jaccard similarity. A text without repeats has the same registers in both sets.
+
 Documents that agree in all registers of a band meet in a bucket. Links within a bucket are looked
 for from pivots, not between all pairs: one pivot first, then about eight times more in each
 round, and only between documents that no links connect yet. The last round of a bucket makes all
@@ -113,6 +116,13 @@ def _alike(left: str, right: str, least: float):
     return differing <= most
 
 
+def _each_set(short: str):
+    """An array of the one or two sets of short registers in ``short``."""
+    width = REGISTERS // 16
+    both = F.array(F.slice(short, 1, width), F.slice(short, width + 1, width))
+    return F.when(F.size(short) > width, both).otherwise(F.array(short))
+
+
 def probability_jaccard(keys_a, weights_a, keys_b, weights_b) -> float:
     """The exact similarity of two weighted sets with sorted keys."""
     _, i, j = np.intersect1d(keys_a, keys_b, assume_unique=True, return_indices=True)
@@ -130,8 +140,30 @@ def _fingerprint(text: str):
     return [F.xxhash64(F.lit(seed), text).alias(f"f{seed}") for seed in (1, 2)]
 
 
+def _both_sets(n: int, own: np.ndarray, key: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(weighted registers, plain registers, whether a text repeats a shingle); without repeats the two are the same."""
+    registers = signatures(n, own, key, weights(counts))
+    repeats = np.zeros(n, bool)
+    repeats[own[counts > 1]] = True
+    plain = registers.copy()
+    if repeats.any():
+        some = repeats[own]
+        place = np.cumsum(repeats) - 1
+        plain[repeats] = signatures(int(repeats.sum()), place[own[some]], key[some], np.ones(int(some.sum())))
+    return registers, plain, repeats
+
+
+def _lists(values: np.ndarray, wanted: np.ndarray) -> pa.ListArray:
+    """A list a row, of the ``wanted`` numbers."""
+    offsets = np.concatenate(([0], np.cumsum(wanted.sum(axis=1)))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values[wanted]))
+
+
 def _sketched(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, f1, f2, bands, short) of every document with a key and a text."""
+    """(key, f1, f2, bands, short) of every document with a key and a text.
+
+    ``bands`` and ``short`` are those of both sets of registers; what is the same in the plain set is not repeated.
+    """
     rows = docs.where(docs[key].isNotNull() & docs[text].isNotNull())
     rows = rows.select(docs[key].cast("long").alias("key"), docs[text].alias("text"))
 
@@ -139,13 +171,14 @@ def _sketched(docs: DataFrame, key: str, text: str) -> DataFrame:
         for batch in batches:
             found, short = [pa.array([], pa.list_(pa.int64()))], [pa.array([], pa.list_(pa.int64()))]
             for n, own, key, counts in shingles(batch.column("text")):
-                registers = signatures(n, own, key, weights(counts))
-                keys, bits = band_keys(registers).view(np.int64), short_registers(registers).view(np.int64)
-                some = np.bincount(own, minlength=n) > 0
-                offsets = np.concatenate(([0], np.cumsum(some * BANDS))).astype(np.int32)
-                found.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[some].reshape(-1))))
-                width = bits.shape[1]
-                short.append(pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width), pa.array(bits.reshape(-1))))
+                *sets, repeats = _both_sets(n, own, key, counts)
+                keys, more = [band_keys(registers).view(np.int64) for registers in sets]
+                some = np.repeat(np.bincount(own, minlength=n)[:, None] > 0, BANDS, axis=1)
+                found.append(_lists(np.hstack([keys, more]), np.hstack([some, some & (keys != more)])))
+                bits = np.hstack([short_registers(registers).view(np.int64) for registers in sets])
+                both = np.ones(bits.shape, bool)
+                both[~repeats, bits.shape[1] // 2 :] = False
+                short.append(_lists(bits, both))
             columns = [batch.column(c) for c in ("key", "f1", "f2")]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.concat_arrays(found), pa.concat_arrays(short)], ["key", "f1", "f2", "bands", "short"]
@@ -292,7 +325,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     crowded = banded.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("size"))
     crowded = materialise(crowded.where("low < high").drop("low", "high"), "buckets")
     members = materialise(banded.join(crowded, "bucket").select("bucket", "node", "size"), "members")
-    shorts = materialise(texts.select("node", "short").join(members.select("node").distinct(), "node", "left_semi"), "short")
+    # a document with two sets is tested with either: it has two rows in each of its buckets
+    shorts = texts.select("node", F.explode(_each_set("short")).alias("short"))
+    shorts = materialise(shorts.join(members.select("node").distinct(), "node", "left_semi"), "short")
     weighed = materialise(_weighed(docs, key, text, members.select("node").distinct()), "shingles")
     # the texts of one document are one class
     many = sketched.groupBy("key").agg(F.count_distinct("f1", "f2").alias("n")).where("n > 1").select("key")
