@@ -11,8 +11,6 @@ sys.path.insert(0, os.path.join(ROOT, "tests"))
 
 from tidemark.session import build_session  # noqa: E402
 
-SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-
 
 @pytest.fixture(scope="session")
 def spark():

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import SF_DIR
+from oracle import SF_DIR
 
 from tidemark.plans import QUERIES
 

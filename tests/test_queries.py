@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import SF_DIR
-from oracle import difference, oracle_connection
+from oracle import SF_DIR, difference, oracle_connection
 
 from tidemark.plans import ORACLES, QUERIES
 
