@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, lm, near_dups, neighbours, sentencepiece, sharding, token_counts, token_files, toxicity, warc
+from tidemark.llm import chat, decontaminate, lm, near_dups, neighbours, sentencepiece, sharding, token_counts, token_files, toxicity, warc
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.session import materialise, scratch_path
 from tidemark.sources.tables import table
@@ -160,3 +160,31 @@ def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = lm.learn(docs.where(~lm.held_out("doc_id")))
     scored = lm.add_scores(docs, model).withColumn("held_out", lm.held_out("doc_id"))
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query(
+    "op13_chat",
+    r"""
+    WITH t AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL
+        SELECT -7, unnest([0, 1]), unnest(['user', 'assistant']), '</s>[INST] ok [/INST]'
+    )
+    SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+        CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+        CAST(sum(
+            length(text) + len(regexp_extract_all(text, '[<\[]\\*(?:/?s>|/?INST\]|/?SYS\]|TURN|/TURN\])'))
+            + CASE role WHEN 'user' THEN 15 WHEN 'system' THEN 13 WHEN 'assistant' THEN 7 ELSE 16 + length(role) END
+        ) AS BIGINT) AS formatted_chars
+    FROM t GROUP BY conv_id
+    """,
+)
+def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one that says control strings, formatted, written and read back."""
+    turns = table(spark, sf_dir, "conversations")
+    said = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    whole = turns.select("conv_id", "turn", "role", "text").unionByName(planted)
+    return chat.read_back(materialise(chat.format_conversations(whole), "chat"))
