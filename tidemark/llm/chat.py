@@ -37,7 +37,7 @@ SEGMENT, CONTEXT = 64, 8
 
 #: A span counts code points of the segment's formatted text.
 SPAN = "struct<role: string, start: long, end: long, text_start: long, text_end: long, loss: boolean>"
-FORMATTED = f"segment int, n_turns int, formatted string, spans array<{SPAN}>, rewrites boolean"
+FORMATTED = f"segment int, last boolean, n_turns int, formatted string, spans array<{SPAN}>, rewrites boolean"
 
 # The strings that mark turns
 CONTROL = ("<s>", "</s>", "[INST]", "[/INST]", "[SYS]", "[/SYS]", "[TURN", "[/TURN]")
@@ -167,8 +167,8 @@ class Spans:
         return piece(turns[-1 - context : -1]) == piece(turns[:-1])
 
 
-def _segments(spans: Spans, turns: Iterator[Turn], segment: int, context: int) -> Iterator[tuple[int, int, Segment]]:
-    """(number, turns, segment) of one conversation. One that a template rewrites, or that needs all
+def _segments(spans: Spans, turns: Iterator[Turn], segment: int, context: int) -> Iterator[tuple[int, bool, int, Segment]]:
+    """(number, whether it is the last, turns, segment) of one conversation. One that a template rewrites, or that needs all
     earlier turns to be rendered right, is one segment."""
     held: list[Turn] = []
     number, before = 0, []
@@ -183,9 +183,9 @@ def _segments(spans: Spans, turns: Iterator[Turn], segment: int, context: int) -
         if done.rewrites and number == 0:
             held += list(turns)
             break
-        yield number, len(held) - 1, done
+        yield number, False, len(held) - 1, done
         number, before, held = number + 1, held[:-1][-context:], [turn]
-    yield number, len(held), spans.segment(before, held)
+    yield number, True, len(held), spans.segment(before, held)
 
 
 def format_conversations(
@@ -199,7 +199,7 @@ def format_conversations(
     segment: int = SEGMENT,
     context: int = CONTEXT,
 ) -> DataFrame:
-    """(key, segment, n_turns, formatted, spans, rewrites): the conversations' formatted texts, and where each turn lies.
+    """(key, segment, last, n_turns, formatted, spans, rewrites): the conversations' formatted texts, and where each turn lies.
 
     Turns go by ``order``, nulls first; of equal ones by role and text, and repeated rows are turns each. A null role or
     text is empty; rows without a key are one conversation, whose key is null; other columns are not read. A
@@ -225,9 +225,9 @@ def format_conversations(
         rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("key", "role", "text"))))
         out, size = [], 0
         for own, group in _runs(rows):
-            for number, n, done in _segments(spans, group, segment, context):
+            for number, last, n, done in _segments(spans, group, segment, context):
                 found = [dict(zip(("role", "start", "end", "text_start", "text_end", "loss"), (*s, s[0] in loss))) for s in done.spans]
-                out.append((own, number, n, done.formatted, found, done.rewrites))
+                out.append((own, number, last, n, done.formatted, found, done.rewrites))
                 size += len(done.formatted)
                 if size > 1 << 22:
                     yield _batch(out, arrow)
@@ -257,11 +257,12 @@ def _runs(rows: Iterator[tuple]) -> Iterator[tuple[object, Iterator[tuple]]]:
 def read_back(formatted: DataFrame, template: Callable[[], InstTemplate] = InstTemplate, key: str = "conv_id") -> DataFrame:
     """(key, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars) of formatted conversations.
 
-    The turns are read from the marks, the text that bears loss from the spans, unescaped. Segments of a
-    conversation stream through one task in order; only digests are held. Conversations that a template rewrites
-    have no turns here.
+    The turns are read from the marks, the text that bears loss from the spans, unescaped. Conversations of one segment are
+    read where they lie; the segments of others stream through a task in order, which holds only digests.
+    Conversations that a template rewrites have no turns here.
     """
-    dealt = formatted.repartition(F.col(key)).sortWithinPartitions(key, "segment")
+    alone = F.col("last") & (F.col("segment") == 0)
+    dealt = formatted.where(~alone).repartition(F.col(key)).sortWithinPartitions(key, "segment")
     kind = dict(formatted.dtypes)[key]
     schema = f"`{key}` {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
@@ -294,4 +295,4 @@ def read_back(formatted: DataFrame, template: Callable[[], InstTemplate] = InstT
             yield _batch(out, arrow)
 
     arrow = _arrow(schema)
-    return dealt.mapInArrow(run, schema)
+    return formatted.where(alone).mapInArrow(run, schema).unionByName(dealt.mapInArrow(run, schema))
