@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, lm, near_dups, neighbours, sentencepiece, sharding, token_counts, token_files, toxicity, warc
+from tidemark.llm import chat, decontaminate, lm, near_dups, neighbours, prefix_trie, sentencepiece, sharding, token_counts, token_files, toxicity, warc
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.session import materialise, scratch_path
 from tidemark.sources.tables import table
@@ -188,3 +188,71 @@ def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     whole = turns.select("conv_id", "turn", "role", "text").unionByName(planted)
     return chat.read_back(materialise(chat.format_conversations(whole), "chat"))
+
+
+_CRC32 = """
+    xor(list_reduce(
+        [CAST(4294967295 AS BIGINT)] || flatten(list_transform(
+            string_split(CAST({0} AS VARCHAR), ''), lambda c: [CAST(ord(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]
+        )),
+        lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END
+    ), 4294967295)
+"""
+
+
+@query(
+    "op11_prefix_trie",
+    f"""
+    WITH own AS (
+        SELECT conv_id, md5(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS id,
+            length(coalesce(text, '')) AS chars, turn
+        FROM conversations WHERE conv_id IS NOT NULL
+    ),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, id, chars) AS p FROM own),
+    heads AS (SELECT DISTINCT conv_id, {_CRC32.format("conv_id")} % 6 AS h FROM own),
+    rebuilt AS (
+        SELECT c.conv_id, t.p, t.id, t.chars FROM heads c JOIN placed t ON t.conv_id = c.conv_id - c.conv_id % 100 AND t.p <= c.h
+        UNION ALL
+        SELECT c.conv_id, t.p + least(c.h, coalesce(b.n, 0)) - c.h, t.id, t.chars
+        FROM heads c JOIN placed t ON t.conv_id = c.conv_id AND t.p > c.h
+        LEFT JOIN (SELECT conv_id, count(*) AS n FROM own GROUP BY conv_id) b ON b.conv_id = c.conv_id - c.conv_id % 100
+    ),
+    prefixes AS (
+        SELECT conv_id, p AS depth, chars, string_agg(id, '') OVER (PARTITION BY conv_id ORDER BY p) AS path FROM rebuilt
+        UNION ALL SELECT conv_id, 0, 0, '' FROM heads
+    ),
+    ends AS (
+        SELECT path, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+        FROM (SELECT conv_id, max_by(path, depth) AS path FROM prefixes GROUP BY conv_id) GROUP BY path
+    ),
+    nodes AS (
+        SELECT path, depth, any_value(chars) AS chars, min(conv_id) AS conv_id, count(*) AS n_convs,
+            CASE WHEN depth > 0 THEN left(path, (depth - 1) * 32) END AS parent
+        FROM prefixes GROUP BY path, depth
+    ),
+    kids AS (SELECT parent, count(*) AS n FROM nodes GROUP BY parent),
+    below AS (
+        SELECT left(x.path, r.d * 32) AS path, CAST(sum((x.n_convs - 1) * x.chars) AS BIGINT) AS saved,
+            count(*) FILTER (k.n IS NULL) AS leaves
+        FROM nodes x LEFT JOIN kids k ON k.parent = x.path, unnest(range(0, x.depth + 1)) AS r(d) GROUP BY ALL
+    )
+    SELECT x.conv_id, x.depth, u.conv_id AS parent_conv_id, x.n_convs, coalesce(k.n, 0) AS n_children, b.leaves AS n_leaves,
+        b.saved AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+    FROM nodes x JOIN below b ON b.path = x.path LEFT JOIN nodes u ON u.path = x.parent
+    LEFT JOIN kids k ON k.parent = x.path LEFT JOIN ends e ON e.path = x.path
+    """,
+)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, each with the first turns of its hundred's first one in place of its own."""
+    convs = materialise(prefix_trie.conversations(table(spark, sf_dir, "conversations")), "conversations")
+    first = convs.where("conv_id % 100 = 0").select(
+        F.col("conv_id").alias("base"), F.slice("turns", 1, 5).alias("base_turns"), F.slice("chars", 1, 5).alias("base_chars")
+    )
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6).cast("int")
+    joined = convs.withColumn("base", F.col("conv_id") - F.col("conv_id") % 100).join(first, "base", "left")
+
+    def rebuilt(column: str, kind: str):
+        own = F.slice(column, h + 1, F.greatest(F.size(column) - h, F.lit(0)))
+        return F.concat(F.coalesce(F.slice(f"base_{column}", F.lit(1), h), F.array().cast(kind)), own).alias(column)
+
+    return prefix_trie.trie(joined.select("conv_id", rebuilt("turns", "array<string>"), rebuilt("chars", "array<int>")))
