@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, lm, near_dups, neighbours, prefix_trie, sentencepiece, sharding, token_counts, token_files, toxicity, warc
+from tidemark.llm import chat, decontaminate, hard_negatives, lm, near_dups, neighbours, prefix_trie, sentencepiece, sharding, token_counts, token_files, toxicity, warc
 from tidemark.llm.registry import ORACLES, QUERIES, query
 from tidemark.session import materialise, scratch_path
 from tidemark.sources.tables import table
@@ -256,3 +256,37 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.concat(F.coalesce(F.slice(f"base_{column}", F.lit(1), h), F.array().cast(kind)), own).alias(column)
 
     return prefix_trie.trie(joined.select("conv_id", rebuilt("turns", "array<string>"), rebuilt("chars", "array<int>")))
+
+
+@query(
+    "op12_hard_negatives",
+    """
+    WITH r AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+            AND NOT list_bool_or(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x)))
+    ),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, o.vec_id AS id, a.label = o.label AS same,
+            CAST(list_dot_product(CAST(a.v AS DOUBLE[]), CAST(o.v AS DOUBLE[])) AS BIGINT) AS score
+        FROM r a JOIN r o ON a.vec_id <> o.vec_id AND len(a.v) = len(o.v) WHERE a.vec_id % 100 = 0
+    ),
+    positives AS (
+        SELECT anchor_id, id, score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+    )
+    SELECT p.anchor_id, p.id AS positive_id,
+        CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS INTEGER) AS rank,
+        n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+    FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+        AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+    QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) <= 5
+    """,
+)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five hard negatives of each of the five positives of every hundredth vector, among all vectors."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.hard_negatives(vectors, F.col("id") % 100 == 0)
