@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import token_files, vocabulary
+from tidemark.llm import storage, token_files, vocabulary
 from tidemark.llm.words import Cut, gather
 from tidemark.session import materialise, scratch_path
 
@@ -29,6 +29,8 @@ UNIGRAM, BPE = 1, 2
 _NORMAL, _BYTE = 1, 6
 #: Longer parts do not fit the bit mask of the fold; their texts go through the library.
 MOST_CHARACTERS = 48
+#: Distinct parts that a task holds, and bytes it cuts at a time: the fold's executor needs its memory for the lattice.
+HELD, CHUNK_BYTES = 150_000, 1 << 19
 
 
 @dataclass
@@ -137,11 +139,15 @@ def segment(parts: DataFrame, pieces: Pieces) -> DataFrame:
     lengths = F.sequence(F.lit(1), F.least(F.lit(pieces.longest), F.col("n") - F.col("s")))
     spans = starts.withColumn("l", F.explode(lengths)).withColumn("sub", F.substring("word", F.col("s") + 1, F.col("l")))
     edges = spans.join(table, "sub", "left").where("id IS NOT NULL OR l = 1")
-    code = F.hex(F.encode("sub", "UTF-8"))
-    bytes_ = F.transform(
-        F.sequence(F.lit(0), F.octet_length("sub") - 1),
-        lambda i: F.conv(F.substring(code, i * 2 + 1, F.lit(2)), 16, 10).cast("int") + pieces.first_byte,
-    )
+    # a character without a piece travels as its bytes, in one number below zero
+    raw = -F.conv(F.hex(F.encode("sub", "UTF-8")), 16, 10).cast("long") - 1
+
+    def ids(number: Column) -> Column:
+        plain = -(number + 1)
+        last = F.when(plain < 256, 0).when(plain < 65_536, 1).when(plain < 1 << 24, 2).otherwise(3)
+        byte = lambda i: F.call_function("shiftright", plain, i * 8).bitwiseAND(255).cast("int") + pieces.first_byte
+        return F.when(number >= 0, F.array(number.cast("int"))).otherwise(F.transform(F.sequence(last, F.lit(0), F.lit(-1)), byte))
+
     low, high = _bit(F.col("s")), _bit(F.col("s") + F.col("l"))
     worst = 1e10  # a character without a piece, where scores add up
     edge = F.struct(
@@ -150,7 +156,7 @@ def segment(parts: DataFrame, pieces: Pieces) -> DataFrame:
         "l",
         low.bitwiseOR(high).alias("full"),
         (high - 1).bitwiseAND(F.bitwise_not(low * 2 - 1)).alias("inner"),
-        F.when(F.col("id").isNull(), bytes_).otherwise(F.array("id")).alias("ids"),
+        F.coalesce(F.col("id").cast("long"), raw).alias("id"),
     )
     grouped = edges.groupBy("shard", "key", "n").agg(F.array_sort(F.collect_list(edge)).alias("edges"))
     fold = _viterbi if pieces.kind == UNIGRAM else _merged
@@ -159,8 +165,8 @@ def segment(parts: DataFrame, pieces: Pieces) -> DataFrame:
     chosen = F.filter(
         "edges", lambda e: (mask.bitwiseAND(e["full"]) == e["full"]) & (mask.bitwiseAND(e["inner"]) == 0)
     )
-    placed = F.array_sort(F.transform(chosen, lambda e: F.struct(e["s"].alias("s"), e["ids"].alias("ids"))))
-    return masked.select("shard", "key", F.flatten(F.transform(placed, lambda e: e["ids"])).alias("ids"))
+    placed = F.array_sort(F.transform(chosen, lambda e: F.struct(e["s"].alias("s"), e["id"].alias("id"))))
+    return masked.select("shard", "key", F.flatten(F.transform(placed, lambda e: ids(e["id"]))).alias("ids"))
 
 
 def _prepared(docs: DataFrame, text: str) -> Column:
@@ -173,7 +179,7 @@ def part_ids(texts: DataFrame, pieces: Pieces, cut: Cut) -> tuple[list[tuple[int
     """The lookup table of the texts' distinct parts to their ids: its files and its shard bits."""
     spark: SparkSession = texts.sparkSession
     bits = vocabulary.shard_bits(texts, "text")
-    parts = vocabulary.distinct_spans(texts, "text", cut, bits)
+    parts = vocabulary.distinct_spans(texts, "text", cut, bits, most=HELD, chunk=CHUNK_BYTES)
     words = parts.where("word IS NOT NULL").select(
         "shard", "key", F.replace(F.col("word").cast("string"), F.lit(" "), F.lit(SPACE)).alias("word")
     )
@@ -251,7 +257,7 @@ def encode(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text",
 
     schema = "doc_id long, n_pieces long, ids_crc32 long, decoded boolean" + (", ids array<int>" if with_ids else "")
     names = [part.split()[0] for part in schema.split(", ")]
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(storage.trimmed(run), schema)
 
 
 def decode(encoded: DataFrame, model: str, ids: str = "ids") -> DataFrame:

@@ -6,8 +6,10 @@ and counts only once its name stands in a manifest that Spark has committed.
 
 from __future__ import annotations
 
+import ctypes
 import mmap
 import uuid
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from urllib.parse import unquote, urlparse
 
@@ -23,6 +25,24 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(name, str(rows))
 
 
+Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def trimmed(run: Run) -> Run:
+    """``run``, giving what it has freed back to the system at its end: a worker that waits for its next task, or for the
+    next job, holds no more than it needs."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):  # another C library than glibc
+            pass
+
+    return whole
+
+
 def resolve(uri: str) -> tuple[fs.FileSystem, str]:
     """The file system behind ``uri`` and the path in it; a plain path is a local one."""
     parsed = urlparse(uri)

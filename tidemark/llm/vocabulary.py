@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import storage
-from tidemark.llm.words import Cut, binary_array, gather, spans_of
+from tidemark.llm.words import CHUNK_BYTES, Cut, binary_array, gather, spans_of
 
 #: Distinct spans that a task holds before it merges and sends them.
 HELD = 400_000
@@ -72,8 +72,13 @@ class _Distinct:
 def _checks(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """A second number of each word, by another rule than its key: weighted sums of the bytes by place."""
     total = np.zeros(len(data) + 1, dtype=np.uint64)
-    place = np.arange(len(data), dtype=np.uint64) - np.repeat(start.astype(np.uint64), length)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * (place * place + np.uint64(7919)), out=total[1:])
+    terms = total[1:]
+    terms[:] = np.arange(len(data), dtype=np.uint64)
+    terms -= np.repeat(start.astype(np.uint64), length)
+    terms *= terms
+    terms += np.uint64(7919)
+    terms *= data.astype(np.uint16) + np.uint16(1)
+    np.cumsum(terms, out=terms)
     return total[start + length] - total[start]
 
 
@@ -90,10 +95,12 @@ def _unpack(blob: bytes):
     return *parts, np.frombuffer(plain, "<i4", n, 16 * n).astype(np.int64), np.frombuffer(plain, np.uint8, size, 20 * n)
 
 
-def packed_spans(docs: DataFrame, text: str, cut: Cut, bits: int, lower: bool = False) -> DataFrame:
+def packed_spans(
+    docs: DataFrame, text: str, cut: Cut, bits: int, lower: bool = False, most: int = HELD, chunk: int = CHUNK_BYTES
+) -> DataFrame:
     """The distinct spans of each task, packed, at the shards that hold their keys: one partition a shard.
 
-    Null and empty texts have no spans.
+    Null and empty texts have no spans. A task holds about ``most`` distinct spans and cuts ``chunk`` bytes at a time.
     """
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,23 +118,23 @@ def packed_spans(docs: DataFrame, text: str, cut: Cut, bits: int, lower: bool =
             return pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array(blobs, pa.binary())], ["shard", "data"])
 
         for batch in batches:
-            for spans in spans_of(batch.column(0), cut, lower):
+            for spans in spans_of(batch.column(0), cut, lower, chunk):
                 key, first, count = np.unique(spans.key, return_index=True, return_counts=True)
                 start, end = spans.start[first], spans.end[first]
                 held.add(key, count.astype(np.int64), end - start, gather(spans.raw, start, end - start))
-                if held.rows > HELD:
+                if held.rows > most:
                     held.merged()
-                    if held.rows > HELD // 2:
+                    if held.rows > most // 2:
                         yield send()
         if held.rows:
             held.merged()
             yield send()
 
-    packed = docs.select(docs[text].alias("text")).mapInArrow(local, PACKED)
+    packed = docs.select(docs[text].alias("text")).mapInArrow(storage.trimmed(local), PACKED)
     return packed.repartitionById(1 << bits, F.col("shard"))
 
 
-def merging(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def merging(bits: int, most: int = HELD) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Merges what a shard was sent: rows (shard, key, word, n) in order of the unsigned key.
 
     The word is null for a key that two different words have.
@@ -138,7 +145,7 @@ def merging(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
         for batch in batches:
             for blob in batch.column("data").to_pylist():
                 held.add(*_unpack(blob))
-                if held.rows > 2 * HELD:
+                if held.rows > 2 * most:
                     held.merged()
         key, count, length, data = held.merged()
         ends = np.cumsum(np.maximum(length, 0))
@@ -154,12 +161,14 @@ def merging(bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
                 ["shard", "key", "word", "n"],
             )
 
-    return merge
+    return storage.trimmed(merge)
 
 
-def distinct_spans(docs: DataFrame, text: str, cut: Cut, bits: int, lower: bool = False) -> DataFrame:
+def distinct_spans(
+    docs: DataFrame, text: str, cut: Cut, bits: int, lower: bool = False, most: int = HELD, chunk: int = CHUNK_BYTES
+) -> DataFrame:
     """(shard, key, word, n) of all distinct spans; the word is null for a key that two words have."""
-    return packed_spans(docs, text, cut, bits, lower).mapInArrow(merging(bits), VOCABULARY)
+    return packed_spans(docs, text, cut, bits, lower, most, chunk).mapInArrow(merging(bits, most), VOCABULARY)
 
 
 def write_table(
@@ -205,7 +214,7 @@ def write_table(
                 file.write(value)
         yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "uri": [uri], "n": pa.array([len(key)]), "total": pa.array([total])})
 
-    return rows.mapInArrow(run, "shard int, uri string, n long, total long")
+    return rows.mapInArrow(storage.trimmed(run), "shard int, uri string, n long, total long")
 
 
 class Table:

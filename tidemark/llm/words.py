@@ -61,9 +61,9 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def gather(raw: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """The elements of many ranges of ``raw``, one range after the other."""
-    total = int(length.sum())
-    shift = start - (np.cumsum(length) - length)
-    return raw[np.repeat(shift, length) + np.arange(total)]
+    place = np.repeat(start - (np.cumsum(length) - length), length)
+    place += np.arange(len(place))
+    return raw[place]
 
 
 def binary_array(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
@@ -113,7 +113,10 @@ def keys_of(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit keys of byte ranges; different ranges share one with a probability of about 2**-64."""
     powers, inverse = _powers(len(raw) + 1)
     prefix = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers[: len(raw)], out=prefix[1:])
+    terms = prefix[1:]
+    np.add(raw, np.uint64(1), out=terms, dtype=np.uint64)
+    terms *= powers[: len(raw)]
+    np.cumsum(terms, out=terms)
     length = (end - start).astype(np.uint64)
     return mixed((prefix[end] - prefix[start]) * inverse[start] + length * np.uint64(0xA24BAED4963EE407))
 
@@ -136,15 +139,15 @@ def cut_words(table: np.ndarray) -> Cut:
     return cut
 
 
-def spans_of(column: pa.Array, cut: Cut, lower: bool = False) -> Iterator[Spans]:
-    """The spans of a text column, in chunks of about ``CHUNK_BYTES`` of whole texts.
+def spans_of(column: pa.Array, cut: Cut, lower: bool = False, chunk: int = CHUNK_BYTES) -> Iterator[Spans]:
+    """The spans of a text column, in chunks of about ``chunk`` bytes of whole texts.
 
     With ``lower`` the bytes A to Z are lower-cased first.
     """
     offsets, raw = text_buffer(column)
     n, first = len(offsets) - 1, 0
     while first < n:
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + CHUNK_BYTES, "right")) - 1)
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + chunk, "right")) - 1)
         part = raw[offsets[first] : offsets[last]]
         own = offsets[first : last + 1] - offsets[first]
         if lower:
