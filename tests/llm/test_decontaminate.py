@@ -48,3 +48,19 @@ def test_no_items_no_documents(spark, documents):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.find_windows(documents, none, ["doc_id"]).where("size(found.hit_words) > 0").count() == 0
     assert decontaminate.find_windows(documents.where("false"), none, ["doc_id"]).count() == 0
+
+
+def test_spans_do_not_depend_on_blocks(spark):
+    """Windows that overlap in a document lie in different blocks."""
+    words = [f"w{i}" for i in range(40)]
+    items = [(i, " ".join(words[i : i + 4])) for i in range(0, 30, 2)] * 3 + [(None, "zz yy")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(1, "A " + " ".join(words) + " end"), (1, "A " + " ".join(words) + " end"), (2, "no hit"), (3, None), (None, "x zz, YY!")]
+    docs = spark.createDataFrame([(*r, "t", 5) for r in rows], "doc_id long, text string, _text string, _row int")
+    one = decontaminate.find_windows(docs, benchmark, docs.columns)
+    assert len(decontaminate.item_blocks(benchmark, "item_id", "text", 10)) > 5
+    many = decontaminate.find_windows(docs, benchmark, docs.columns, block_bytes=10)
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, many.collect()))
+    found = {r.doc_id: r.found for r in one.collect()}
+    assert [(s.start, s.end) for s in found[1].spans] == [(2, 2 + len(" ".join(words[:32])))]
+    assert [(s.start, s.end) for s in found[None].spans] == [(2, 8)] and found[None]["items"] == ["None"]

@@ -104,6 +104,16 @@ def test_odd_rows(spark, odd):
     assert near_dups.near_duplicates(rows.where("false")).count() == 0
 
 
+def test_first_of_a_key_is_defined_and_names_may_clash(spark):
+    rows = [(1, "b c", 1, 7), (1, "a c", 2, 7), (1, "a c", 1, 7), (2, None, 1, 7), (2, "x", 1, 7), (3, "x", 1, 7), (None, "x", 1, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _dropped int, _repeated int")
+    kept = near_dups.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted([(1, "a c", 1, 7), (2, None, 1, 7), (None, "x", 1, 7)], key=repr)
+    again = docs.toDF("doc_id", "text", "dropped", "repeated")
+    assert sorted(map(tuple, near_dups.keep_first(again).collect()), key=repr) == sorted(map(tuple, kept.collect()), key=repr)
+
+
 def test_probability_jaccard_against_its_definition():
     rng = np.random.default_rng(3)
     for _ in range(50):

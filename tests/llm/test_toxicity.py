@@ -70,3 +70,18 @@ def test_held_out_labels(spark):
     auc = np.mean(bad[:, None] > good) + np.mean(bad[:, None] == good) / 2
     print("AUC", auc, "found", np.mean(bad >= 0.3), "wrongly", np.mean(good >= 0.3))
     assert auc > 0.95 and np.mean(bad >= 0.3) > 0.85 and np.mean(good >= 0.3) < 0.05
+
+
+def test_repeated_rows_and_labels_teach_what_one_does(spark):
+    rng = random.Random(4)
+    bad = ["gnarlfush", "wobbletrot", "snidgrape"]
+    texts = [(i, invented(rng, 60, rng.sample(bad, 2) if i < 150 else ()).decode()) for i in range(450)]
+    labels = [(i, int(i < 150)) for i in range(450)]
+    frame = lambda rows, schema: spark.createDataFrame(rows, schema)
+    once = toxicity.train_model(frame(texts, "doc_id long, text string"), frame(labels, "doc_id long, toxic int"), F.lit(True))
+    many = frame(texts + [texts[-1]] * 9_701 + [texts[0]] * 500, "doc_id long, text string")
+    again = toxicity.train_model(many, frame(labels + [labels[0]] * 1_200 + [labels[-1]] * 3_000, "doc_id long, toxic int"), F.lit(True))
+    assert once.toxic is not None and (once.ordinary, once.toxic) == (again.ordinary, again.toxic)
+    assert np.array_equal(once.weights, again.weights)
+    kept = toxicity.training_texts(many, frame(labels, "doc_id long, toxic int"), F.lit(True), 1_200, 3_600, 50_000)
+    assert [len(k) for k in kept] == [150, 300]

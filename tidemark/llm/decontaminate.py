@@ -7,19 +7,21 @@ document is scanned once; what is found is mapped back to words and to character
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+import pyarrow.parquet as pq
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import storage
 from tidemark.llm.words import NORMAL, normal_words
-from tidemark.session import materialise
+from tidemark.session import materialise, scratch_path
+
 
 def windows(text: bytes, width: int) -> list[bytes]:
     """All windows of ``width`` words, or the one shorter window of a shorter text; none of no words."""
@@ -82,54 +84,93 @@ _RESULT = T.StructType(
     ]
 )
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-_BUILT: dict[str, ahocorasick.Automaton] = {}
+_BUILT: dict[tuple, ahocorasick.Automaton] = {}
+
+
+def _automaton(uris: tuple[str, ...], width: int) -> ahocorasick.Automaton:
+    """The automaton of one block's files, one per worker process."""
+    if (uris, width) not in _BUILT:
+        _BUILT.clear()
+        items: list[tuple[object, bytes]] = []
+        for uri in uris:
+            system, path = storage.resolve(uri)
+            with system.open_input_file(path) as file:
+                block = pq.read_table(file)
+            items += zip(block.column("item_id").to_pylist(), block.column("text").cast(pa.binary()).to_pylist())
+        _BUILT[uris, width] = automaton(items, width)
+    return _BUILT[uris, width]
+
+
+def _found(counts, hits, items, spans) -> pa.StructArray:
+    return pa.StructArray.from_arrays(
+        [pa.array(counts, pa.int64()), pa.array(hits, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string())), pa.array(spans, _SPANS)],
+        names=_RESULT.names,
+    )
 
 
-def _scanner(pairs, token: str, width: int, text: str):
-    """Adds the scan's result to each row, with one automaton per worker process."""
+def _scanner(uris: tuple[str, ...], width: int, only_hits: bool = False) -> storage.Run:
+    """Adds what one block's windows hit to each row, or, without spans, to the rows that they hit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if token not in _BUILT:
-            _BUILT.clear()
-            _BUILT[token] = automaton(pairs.value, width)
-        found = _BUILT[token]
+        found = _automaton(uris, width)
         for batch in batches:
             counts, hits, items, spans = [], [], [], []
-            for body in storage.strings(batch.column(text)):
+            for body in storage.strings(batch.column("_text")):
                 n, marks, ids = scan(body, found)
                 counts.append(n)
                 hits.append(np.flatnonzero(marks).astype(np.int32))
-                items.append(sorted(str(i) for i in ids))
-                spans.append([{"start": a, "end": b} for a, b in character_spans(body, marks)] if len(marks) else [])
-            kept = [c for c in batch.schema.names if c != text]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(c) for c in kept),
-                    pa.StructArray.from_arrays(
-                        [pa.array(counts, pa.int64()), pa.array(hits, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string())), pa.array(spans, _SPANS)],
-                        names=_RESULT.names,
-                    ),
-                ],
-                names=[*kept, "found"],
-            )
-
-    return run
-
-
-def item_blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> Iterator[list[tuple[object, bytes]]]:
-    """The items in blocks whose automata fit into memory, one block at a time.
-
-    Only the running total of sizes decides where a block ends; an item is never cut.
+                items.append(sorted(ids))
+                spans.append([{"start": a, "end": b} for a, b in character_spans(body, marks)] if len(marks) and not only_hits else [])
+            kept = [c for c in batch.schema.names if c != "_text"]
+            out = pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), _found(counts, hits, items, spans)], names=[*kept, "found"])
+            yield out.filter(pa.array([len(h) > 0 for h in hits])) if only_hits else out
+
+    return storage.trimmed(run)
+
+
+def _spanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The whole result of each row (_text, hit_words, items) from what all blocks hit."""
+    for batch in batches:
+        counts, hits, spans = [], [], []
+        for body, hit in zip(storage.strings(batch.column("_text")), batch.column("hit_words").to_pylist()):
+            counts.append(len(normal_words(body)))
+            marks = np.zeros(counts[-1], dtype=bool)
+            marks[hit or []] = True
+            hits.append(hit or [])
+            spans.append([{"start": a, "end": b} for a, b in character_spans(body, marks)])
+        items = [found or [] for found in batch.column("items").to_pylist()]
+        kept = [c for c in batch.schema.names if c not in ("_text", "hit_words", "items")]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), _found(counts, hits, items, spans)], names=[*kept, "found"])
+
+
+def item_blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> list[tuple[str, ...]]:
+    """The files of each block of distinct items (item_id, text); a block's automaton fits into memory.
+
+    Items are dealt by hash and never cut. They go from the table to files; only the files' names reach the driver.
     """
-    sized = benchmark.select(F.col(item_id).alias("item_id"), F.col(text).alias("text"))
-    total = sized.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
-    dealt = sized if blocks == 1 else materialise(
-        sized.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))), "benchmark"
+    named = benchmark.select(
+        F.coalesce(benchmark[item_id].cast("string"), F.lit("None")).alias("item_id"),
+        F.coalesce(benchmark[text].cast("string"), F.lit("")).alias("text"),
     )
-    for block in range(blocks):
-        rows: list[Row] = (dealt if blocks == 1 else dealt.where(F.col("block") == block)).select("item_id", "text").collect()
-        yield [(row.item_id, (row.text or "").encode()) for row in rows]
+    items = materialise(named.distinct(), "items")
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-total // block_bytes))
+    dealt = items.repartitionById(blocks, F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).cast("int"))
+    folder = scratch_path(benchmark.sparkSession, "benchmark")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId()
+        for batch in batches:
+            uri = storage.fresh(folder, ".parquet")
+            with storage.create(uri) as file:
+                pq.write_table(pa.Table.from_batches([batch]), file)
+            yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "uri": [uri]})
+
+    manifest = materialise(dealt.mapInArrow(write, "block int, uri string"), "blocks")
+    files: dict[int, list[str]] = {}
+    for row in manifest.collect():
+        files.setdefault(row.block, []).append(row.uri)
+    return [tuple(sorted(files[block])) for block in sorted(files)] or [()]
 
 
 def find_windows(
@@ -146,39 +187,28 @@ def find_windows(
 
     A null or empty text has no words and no hits; so has a text without benchmark items. Items of
     fewer words than ``width`` are one window, items without words none; a null item_id reads
-    "None". Repeated items and rows are kept as they are. The benchmark is sent to the executors
-    in blocks of ``block_bytes`` of text (one, if it is smaller), each with an automaton of its
-    own. With several blocks the documents are scanned once for each and the results are united
-    by row.
+    "None". A repeated item counts once, repeated rows are kept as they are, and very long texts are scanned whole. The
+    benchmark lies in blocks of about ``block_bytes`` of distinct text, each with an automaton of its own, which a task reads
+    when it scans with it. With several blocks the documents are scanned once for each; what the blocks hit is united by row,
+    and the spans are those of all hit words together, as with one block.
     """
-    spark = docs.sparkSession
     names = [f"k{i}" for i in range(len(keep))]
     rows = docs.select(*[docs[c].alias(n) for c, n in zip(keep, names)], docs[text].alias("_text"))
     schema = T.StructType([*(T.StructField(n, docs.schema[c].dataType) for n, c in zip(names, keep)), T.StructField("found", _RESULT)])
-    blocks = list(_block_lists(benchmark, item_id, item_text, block_bytes))
+    blocks = item_blocks(benchmark, item_id, item_text, block_bytes)
     if len(blocks) == 1:
-        pairs, token = blocks[0]
-        out = rows.mapInArrow(_scanner(pairs, token, width, "_text"), schema)
+        out = rows.mapInArrow(_scanner(blocks[0], width), schema)
     else:
         numbered = materialise(rows.withColumn("_row", F.monotonically_increasing_id()), "documents")
-        wide = T.StructType([*schema.fields[:-1], T.StructField("_row", T.LongType()), schema.fields[-1]])
-        parts = [numbered.mapInArrow(_scanner(pairs, token, width, "_text"), wide) for pairs, token in blocks]
+        hit = T.StructType([T.StructField("_row", T.LongType()), T.StructField("found", _RESULT)])
+        parts = [numbered.select("_row", "_text").mapInArrow(_scanner(uris, width, only_hits=True), hit) for uris in blocks]
         united = parts[0]
         for part in parts[1:]:
             united = united.unionByName(part)
         merged = united.groupBy("_row").agg(
-            *[F.first(n).alias(n) for n in names],
-            F.max("found.n_words").alias("n_words"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("found.hit_words")))).alias("hit_words"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("found.items")))).alias("items"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("found.spans")))).alias("spans"),
         )
-        out = merged.select(*names, F.struct("n_words", "hit_words", "items", "spans").alias("found"))
+        out = numbered.join(materialise(merged, "hits"), "_row", "left").select(*names, "_text", "hit_words", "items")
+        out = out.mapInArrow(storage.trimmed(_spanned), schema)
     return out.select(*[F.col(n).alias(c) for n, c in zip(names, keep)], "found")
-
-
-def _block_lists(benchmark: DataFrame, item_id: str, text: str, block_bytes: int):
-    context = benchmark.sparkSession.sparkContext
-    for pairs in item_blocks(benchmark, item_id, text, block_bytes):
-        token = hashlib.sha256(repr(sorted(map(repr, pairs))).encode()).hexdigest()
-        yield context.broadcast(pairs), token

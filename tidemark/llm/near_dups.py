@@ -185,7 +185,7 @@ def _sketched(docs: DataFrame, key: str, text: str) -> DataFrame:
             )
 
     schema = "key long, f1 long, f2 long, bands array<long>, short array<long>"
-    return rows.select("key", *_fingerprint("text"), "text").mapInArrow(run, schema)
+    return rows.select("key", *_fingerprint("text"), "text").mapInArrow(storage.trimmed(run), schema)
 
 
 def _weighed(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
@@ -205,7 +205,7 @@ def _weighed(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFra
             columns = [batch.column("node"), pa.array(sizes, pa.int64()), pa.array(masses, pa.float64()), pa.array(blobs, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["node", "n", "mass", "data"])
 
-    return rows.join(wanted, "node", "left_semi").mapInArrow(run, "node long, n long, mass double, data binary")
+    return rows.join(wanted, "node", "left_semi").mapInArrow(storage.trimmed(run), "node long, n long, mass double, data binary")
 
 
 def _unblob(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -229,7 +229,7 @@ def _profiles(weighed: DataFrame, open_rows: DataFrame) -> DataFrame:
                 columns = [np.full(len(keys), node), keys.view(np.int64), weights(counts)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["node", "shingle", "weight"])
 
-    spread = wanted.select("node", "data").mapInArrow(run, "node long, shingle long, weight double")
+    spread = wanted.select("node", "data").mapInArrow(storage.trimmed(run), "node long, shingle long, weight double")
     alone = spread.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("high"), F.max("weight").alias("weight"))
     alone = alone.where("node = high").groupBy("node").agg(F.count("*").alias("own"), F.sum("weight").alias("own_mass"))
     sizes = wanted.groupBy("node").agg(F.count("*").alias("texts"), F.max("n").alias("n"), F.max("mass").alias("mass"))
@@ -279,7 +279,7 @@ def _verified(pairs: DataFrame, weighed: DataFrame, least: float) -> DataFrame:
             yield batch.filter(pa.array(keep)).select(["a", "b"])
 
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    return joined.mapInArrow(run, "a long, b long")
+    return joined.mapInArrow(storage.trimmed(run), "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -384,13 +384,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = 0.8) -> DataFrame:
     """``docs`` without the documents that a class is not named by; rows without a key all stay.
 
-    Of several rows with one key, one stays.
+    Of several rows with one key one stays: that of the smallest text (null first), then of the smallest other columns as JSON.
+    Columns go by place, so those of ``docs`` may have any names.
     """
-    classes = near_duplicates(docs, key, text, least)
-    dropped = classes.where("doc_id != class_id").select(F.col("doc_id").alias("_dropped")).distinct()
-    kept = docs.join(dropped, docs[key] == F.col("_dropped"), "left_anti")
-    repeated = docs.groupBy(docs[key].alias("_repeated")).count().where("count > 1 AND _repeated IS NOT NULL").drop("count")
-    if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, kept[key] == F.col("_repeated"), "left_semi").dropDuplicates([key])
-    return kept.join(repeated, kept[key] == F.col("_repeated"), "left_anti").unionByName(once)
+    places = [f"c{i}" for i in range(len(docs.columns))]
+    own, body = (places[docs.columns.index(c)] for c in (key, text))
+    rows = docs.toDF(*places)
+    classes = near_duplicates(rows.select(F.col(own).alias("doc_id"), F.col(body).alias("text")), least=least)
+    dropped = classes.where("doc_id != class_id").select(F.col("doc_id").alias("dropped")).distinct()
+    kept = rows.join(dropped, F.col(own) == F.col("dropped"), "left_anti")
+    repeated = rows.groupBy(F.col(own).alias("repeated")).count().where("count > 1 AND repeated IS NOT NULL").drop("count")
+    if not repeated.isEmpty():
+        whole = F.struct(*places)
+        several = kept.join(repeated, F.col(own) == F.col("repeated"), "left_semi")
+        once = several.groupBy(own).agg(F.min_by(whole, F.struct(body, F.to_json(whole))).alias("row")).select("row.*")
+        kept = kept.join(repeated, F.col(own) == F.col("repeated"), "left_anti").unionByName(once)
+    return kept.select(*[F.col(p).alias(c) for p, c in zip(places, docs.columns)])

@@ -31,6 +31,8 @@ from tidemark.llm.words import normal_words
 #: Words of a window; windows start at every half of one, so each word lies in two.
 WINDOW_WORDS = 8
 DICTIONARY_BYTES = 1 << 15
+#: Marking words of the toxic dictionary, and windows that the ordinary one is trained on, at most.
+MOST_MARKS, MOST_WINDOWS = 2_048, 100_000
 LEVEL = 3
 #: Likelihood-ratio statistic and ratio of rates from which a word marks toxic text.
 LEAST_EVIDENCE, LEAST_RATIO = 20.0, 3.0
@@ -142,7 +144,7 @@ def marking_words(toxic: list[bytes], ordinary: list[bytes]) -> list[tuple[bytes
         evidence = 2 * (n * math.log(n / (na * share)) + (m * math.log(m / (nb * share)) if m else 0.0))
         if evidence > LEAST_EVIDENCE:
             found.append((evidence, mark))
-    return [mark for _, mark in sorted(found)][-DICTIONARY_BYTES // 16 :]
+    return [mark for _, mark in sorted(found)][-MOST_MARKS:]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -167,7 +169,8 @@ def fit(toxic: list[bytes], ordinary: list[bytes]) -> Model:
     halves = [half for text in learn[1] for half in half_windows(text, wide)]
     try:
         windows = [a + b for a, b in zip(halves[::2], halves[1::2])]
-        plain = zstandard.train_dictionary(DICTIONARY_BYTES, windows[:100_000]).as_bytes()
+        # every n-th window, so that all texts of the sample have their share
+        plain = zstandard.train_dictionary(DICTIONARY_BYTES, windows[:: -(-len(windows) // MOST_WINDOWS) or 1]).as_bytes()
     except zstandard.ZstdError:  # too little text to train on
         return Model(share=share)
     # what stands last in a dictionary is nearest to the text, and thus cheapest to refer to
@@ -186,19 +189,19 @@ def training_texts(
 ) -> tuple[list[bytes], list[bytes]]:
     """Texts of a bounded sample: the labelled ids with the smallest hashes that ``train`` admits.
 
-    Of a document with several texts, and of texts over ``most_bytes`` (none of which are taken), no
-    order matters; the result is sorted, so the model does not depend on the order of rows.
+    A label row counts once however often it is stored, and so does a document: of its texts of at most ``most_bytes``,
+    the smallest is taken. The result is sorted, so the model does not depend on the order of rows.
     """
     order = F.xxhash64(F.col("doc_id"))
-    known = labels.where(train & F.col("doc_id").isNotNull()).select("doc_id", "toxic")
+    known = labels.where(train & F.col("doc_id").isNotNull()).select("doc_id", "toxic").distinct()
     parts = []
     for label, most in ((1, most_toxic), (0, most_ordinary)):
         own = known.where(F.col("toxic") == label).orderBy(order, "doc_id").limit(most)
         parts.append(own.select("doc_id", F.lit(label).alias("label")))
     ids = F.broadcast(parts[0].unionByName(parts[1]))
     texts = docs.select("doc_id", "text").where(F.octet_length("text") <= most_bytes)
-    rows = texts.join(ids, "doc_id").orderBy("label", F.xxhash64("doc_id"), "doc_id", "text")
-    found = rows.limit(2 * (most_toxic + most_ordinary)).select("label", "text").collect()
+    rows = texts.join(ids, "doc_id").groupBy("label", "doc_id").agg(F.min("text").alias("text"))  # no more rows than ids
+    found = rows.orderBy("label", F.xxhash64("doc_id"), "doc_id").select("label", "text").collect()
     return [r.text.encode() for r in found if r.label == 1], [r.text.encode() for r in found if r.label == 0]
 
 
@@ -213,14 +216,19 @@ def train_model(
     """A model of the labelled documents that ``train`` (over ``labels``) admits.
 
     The sample is bounded by the three parameters, so at most 240 MB of text and 17 MB as a rule reach
-    the driver, whatever the data. Null labels and ids teach nothing. Without examples of both
+    the driver, whatever the data. From it, at most ``MOST_MARKS`` words and ``MOST_WINDOWS`` windows, dealt evenly over the
+    texts, make the dictionaries. Repeated rows and labels teach what one does; null labels and ids teach nothing. Without examples of both
     classes, or without words that tell them apart, every score is the toxic share of the sample.
     """
     return fit(*training_texts(docs, labels, train, most_toxic, most_ordinary, most_bytes))
 
 
 def add_scores(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
-    """The ``keep`` columns and ``score``, 0 to 1, from the whole text alone; null is an empty text."""
+    """The ``keep`` columns and ``score``, 0 to 1, from the whole text alone; null is an empty text.
+
+    Repeated rows are scored each, and very long texts whole. Columns that are not kept are not read, and kept ones may have
+    any names; an empty table gives no rows.
+    """
     held = docs.sparkSession.sparkContext.broadcast(model)
     names = [f"k{i}" for i in range(len(keep))]
     rows = docs.select(*[docs[c].alias(n) for c, n in zip(keep, names)], docs[text].alias("_text"))
@@ -233,5 +241,5 @@ def add_scores(docs: DataFrame, model: Model, keep: list[str], text: str = "text
                 [*(batch.column(n) for n in names), pa.array(scores, pa.float64())], [*names, "score"]
             )
 
-    scored = rows.mapInArrow(run, rows.drop("_text").schema.add("score", "double"))
+    scored = rows.mapInArrow(storage.trimmed(run), rows.drop("_text").schema.add("score", "double"))
     return scored.select(*[F.col(n).alias(c) for n, c in zip(names, keep)], "score")
