@@ -181,13 +181,37 @@ def test_start_drops_early_targets(spark):
     assert set(got) == {r["event_id"] for r in rows if r["event_name"] == "target" and r["event_time"] >= at(40_000)}
 
 
-def test_too_short_decay_time_raises(spark):
-    rows = one_key(("pay", at(0)), ("pay", at(10_000)), ("target", at(20_000)))
+@pytest.mark.parametrize("rows_per_block", [20, 100_000])
+@pytest.mark.parametrize("options", [{}, {"decay_to_read": True}, {"whole_seconds": True}])
+def test_any_span(spark, options, rows_per_block):
+    """Decay times from far below to above a 600th of the span: bursts, gaps of many anchor blocks, and one common origin."""
+    rows, rnd = skewed_rows(500, seed=3), random.Random(4)
+    for r in rows:
+        r["event_time"] = at(rnd.choice([0, 25, 290, 310, 900, 7_000, 200_000]) + rnd.random() * 40)
+    taus = [timedelta(milliseconds=200), timedelta(seconds=1), timedelta(seconds=90), TAU]
+    counters = [Counter(f"{c.name}{t}", c.event, c.value, tau) for t, tau in enumerate(taus) for c in COUNTERS]
+    gaps = [timedelta(0), timedelta(seconds=20)]
+    df = frame(spark, rows)
+    out = decayed_counters(
+        df, df.where("event_name = 'target'"), key_sets=KEY_SETS, counters=counters, gaps=gaps,
+        policy=HotKeys(rows_per_block=rows_per_block), **options,
+    )
+    got = {r["event_id"]: r.asDict() for r in out.collect()}
+    for keys in KEY_SETS:
+        for gap in gaps:
+            for c in counters:
+                value = (lambda r: r["x"]) if c.event == "pay" else (lambda r: 1.0)
+                for event_id, expected in recursion(rows, keys, gap, c.event, value, c.tau, **options).items():
+                    assert got[event_id][feature_name(keys, gap, c.name)] == pytest.approx(expected, rel=1e-9, abs=1e-12)
+
+
+def test_a_value_lasts_over_empty_anchor_blocks(spark):
+    rows = one_key(("pay", at(0)), ("pay", at(1)), ("target", at(10**7)), ("pay", at(2 * 10**7)), ("target", at(3 * 10**7)))
     df = frame(spark, rows)
     counters = [Counter("amount", "pay", "x", timedelta(seconds=1))]
     out = decayed_counters(df, df.where("event_name = 'target'"), key_sets=[["host"]], counters=counters, gaps=GAPS)
-    with pytest.raises(Exception, match="larger tau"):
-        out.collect()
+    got = {r["event_id"]: r["feature_host_1h0m0s_amount"] for r in out.collect()}
+    assert got == {2: pytest.approx(1 + math.exp(-1)), 4: pytest.approx(1.0)}
 
 
 def test_no_rows_at_all(spark):

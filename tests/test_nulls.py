@@ -60,5 +60,5 @@ def test_null_sequences_keep_their_rows(spark):
 def test_event_names_may_hold_quotes(spark):
     df = spark.createDataFrame([("a", "it's", START)], "k STRING, event_name STRING, event_time TIMESTAMP")
     counters = [Counter("n", "it's", "1.0", DAY)]
-    state = online.online_counters(df, ["k"], counters, START)
-    assert online.counter_values(state, ["k"], counters, START).first()["n"] == 1.0
+    state = online.online_counters(df, ["k"], counters)
+    assert online.counter_values(state, ["k"], counters).first()["n"] == 1.0

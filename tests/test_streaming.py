@@ -78,17 +78,73 @@ def test_late_events_count(spark, tmp_path):
         row = {"k": "a", "event_name": "pay", "event_time": (start + timedelta(hours=hours)).isoformat(), "x": 1.0}
         (tmp_path / "in" / f"{i}.json").write_text(json.dumps(row) + "\n")
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
-    state = online.online_counters(stream, ["k"], counters, datetime(2024, 1, 1))
+    state = online.online_counters(stream, ["k"], counters)
     out = str(tmp_path / "out")
     online.drain(state, out, str(tmp_path / "progress"))
     ddl = ", ".join(f"{n} {t}" for n, t in state.dtypes)
-    latest = online.latest_state(spark, out, ddl, ["k"])
-    got = online.counter_values(latest, ["k"], counters, datetime(2024, 1, 1)).first()["amount"]
+    latest = online.latest_state(spark, out, ddl, ["k", "anchor"])
+    got = online.counter_values(latest, ["k"], counters).first()["amount"]
     assert got == pytest.approx(1 + math.exp(-10 / 24) + math.exp(-20 / 24))
 
     # a restart goes on where the last run stopped
     row = {"k": "a", "event_name": "pay", "event_time": (start + timedelta(hours=30)).isoformat(), "x": 5.0}
     (tmp_path / "in" / "3.json").write_text(json.dumps(row) + "\n")
     online.drain(state, out, str(tmp_path / "progress"))
-    got = online.counter_values(online.latest_state(spark, out, ddl, ["k"]), ["k"], counters, datetime(2024, 1, 1))
+    got = online.counter_values(online.latest_state(spark, out, ddl, ["k", "anchor"]), ["k"], counters)
     assert got.first()["amount"] == pytest.approx(6 + math.exp(-10 / 24) + math.exp(-20 / 24))
+
+
+def test_any_span_online(spark):
+    """A decay time of a second over months, beside one of a month."""
+    start = datetime(2024, 1, 1, tzinfo=UTC)
+    taus = {"second": timedelta(seconds=1), "month": timedelta(days=30)}
+    counters = [Counter(name, "pay", "x", tau) for name, tau in taus.items()]
+    seconds = [0.0, 0.5, 299.9, 300.1, 301.0, 5e6, 5e6 + 2]
+    rows = [("a", "pay", start + timedelta(seconds=t), 1.0 + i) for i, t in enumerate(seconds)]
+    events = spark.createDataFrame(rows, "k STRING, event_name STRING, event_time TIMESTAMP, x DOUBLE")
+    got = online.counter_values(online.online_counters(events, ["k"], counters), ["k"], counters).first()
+    for name, tau in taus.items():
+        want = sum((1 + i) * math.exp((t - seconds[-1]) / tau.total_seconds()) for i, t in enumerate(seconds))
+        assert got[name] == pytest.approx(want, rel=1e-9)
+
+
+def test_the_log_stays_bounded(spark, tmp_path):
+    """Many batches of updates of few keys: what is read does not grow with the batches, and nothing is lost."""
+    out, log = str(tmp_path / "out"), tmp_path / "out"
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema("k STRING, x INT").option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
+    counted = stream.groupBy("k").agg({"x": "sum"}).toDF("k", "total")
+
+    def totals():
+        return {r["k"]: r["total"] for r in online.latest_state(spark, out, "k STRING, total BIGINT", ["k"]).collect()}
+
+    want = {}
+    for i in range(11):
+        (tmp_path / "in" / f"{i:02}.json").write_text(json.dumps({"k": f"k{i % 4}", "x": i}) + "\n")
+        want[f"k{i % 4}"] = want.get(f"k{i % 4}", 0) + i
+        if i in (5, 10):  # a restart in between
+            online.drain(counted, out, str(tmp_path / "progress"), keys=["k"], compact_every=3)
+            assert totals() == want
+    assert len(list(log.glob("batch=*"))) <= 2 * 3 and len(list(log.glob("_snapshots/upto=*"))) <= 2
+    # a snapshot that was not committed does not count
+    broken = log / "_snapshots" / "upto=99"
+    broken.mkdir()
+    assert totals() == want
+
+
+def test_a_watermark_forgets_old_blocks(spark, tmp_path):
+    start = datetime(2024, 1, 1, tzinfo=UTC)
+    counters = [Counter("amount", "pay", "x", timedelta(seconds=1))]
+    (tmp_path / "in").mkdir()
+    schema = "k STRING, event_name STRING, event_time TIMESTAMP, x DOUBLE"
+    for i, seconds in enumerate([0, 10_000, 20_000, 30_000]):
+        row = {"k": "a", "event_name": "pay", "event_time": (start + timedelta(seconds=seconds)).isoformat(), "x": 1.0 + i}
+        (tmp_path / "in" / f"{i}.json").write_text(json.dumps(row) + "\n")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
+    state = online.online_counters(stream, ["k"], counters, watermark="60 seconds")
+    query = state.writeStream.format("memory").queryName("forgets").outputMode("update").trigger(availableNow=True)
+    running = query.option("checkpointLocation", str(tmp_path / "progress")).start()
+    running.awaitTermination()
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in running.recentProgress if p["stateOperators"]) <= 2
+    got = online.counter_values(spark.table("forgets"), ["k"], counters).first()["amount"]
+    assert got == pytest.approx(4.0)

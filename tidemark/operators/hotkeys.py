@@ -47,12 +47,13 @@ class HotKeys:
 class Blocked:
     """``rows`` is the whole input with its block; ``hot`` the rows of hot keys only, None if there are none.
 
-    ``origin`` is the earliest instant of the input.
+    ``origin`` is the earliest instant of the input, ``latest`` the last one.
     """
 
     rows: DataFrame
     hot: DataFrame | None
     origin: int
+    latest: int
 
     def with_carry(self, carried: DataFrame | None) -> DataFrame:
         return self.rows if carried is None else self.rows.unionByName(carried, allowMissingColumns=True)
@@ -67,22 +68,24 @@ def split_hot_keys(rows: DataFrame, keys: list[str], us: str, policy: HotKeys) -
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.min(us).alias("lo"),
+            F.max(us).alias("hi"),
             F.call_function("approx_top_k_accumulate", "_key_hash", tracked).alias("sketch"),
         )
         .groupBy(F.lit("all"))  # no row at all for empty input
         .agg(
             F.sum("n").alias("n"),
             F.min("lo").alias("lo"),
+            F.max("hi").alias("hi"),
             F.call_function("approx_top_k_combine", "sketch", tracked).alias("sketch"),
         )
-        .select("n", "lo", F.call_function("approx_top_k_estimate", "sketch", F.lit(policy.max_hot)).alias("top"))
+        .select("n", "lo", "hi", F.call_function("approx_top_k_estimate", "sketch", F.lit(policy.max_hot)).alias("top"))
         .first()
     )
-    n, origin, top = (seen["n"], seen["lo"] or 0, seen["top"]) if seen else (0, 0, [])
+    n, origin, latest, top = (seen["n"], seen["lo"] or 0, seen["hi"] or 0, seen["top"]) if seen else (0, 0, 0, [])
     limit = max(policy.rows_per_block, n / policy.max_hot)
     parts = {item["item"]: -int(-item["count"] // limit) for item in top if item["count"] > limit}
     if not parts:
-        return Blocked(rows.withColumn(BLOCK, F.lit(0)), None, origin)
+        return Blocked(rows.withColumn(BLOCK, F.lit(0)), None, origin, latest)
 
     spark = rows.sparkSession
     listed = spark.createDataFrame([(h,) for h in parts], "_key_hash BIGINT")
@@ -102,4 +105,4 @@ def split_hot_keys(rows: DataFrame, keys: list[str], us: str, policy: HotKeys) -
     def blocked(how: str) -> DataFrame:
         return bisect(hashed.join(layout, "_key_hash", how), us, "_bounds", BLOCK).drop("_key_hash", "_bounds")
 
-    return Blocked(blocked("left"), blocked("inner"), origin)
+    return Blocked(blocked("left"), blocked("inner"), origin, latest)

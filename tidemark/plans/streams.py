@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from dataclasses import replace
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import whitespace_tokens
 from tidemark.functions.times import gap_micros
-from tidemark.operators.counters import STANDARD_TAU
+from tidemark.operators.counters import STANDARD_TAU, Counter
 from tidemark.operators.wordcount import count_words
 from tidemark.plans.registry import ORACLES, query
 from tidemark.plans.sources_yield import rounded
@@ -21,7 +22,6 @@ from tidemark.sources.tables import interactions, spread
 from tidemark.streaming import events as ev
 from tidemark.streaming import online
 
-ORIGIN = datetime(2024, 1, 1)
 MICRO_BATCHES = 4
 
 
@@ -122,28 +122,32 @@ def stream_wordcount(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = replay(document_lines(spark, sf_dir), "lines")
     counted = count_words(lines, whitespace_tokens(F.col("value")))
     out = scratch_path(spark, "words")
-    online.drain(counted, out, scratch_path(spark, "words-progress"))
+    online.drain(counted, out, scratch_path(spark, "words-progress"), keys=["word"], compact_every=2)
     return online.latest_state(spark, out, ddl(counted), ["word"])
 
 
-def online_oracle() -> str:
-    tau = float(gap_micros(STANDARD_TAU))
+def online_oracle(tau: timedelta = STANDARD_TAU) -> str:
     cells = []
     for c in COUNTERS:
-        weighted = f"CASE WHEN event_type = '{c.event}' THEN ({c.value}) * exp((us - o) / {tau}) END"
-        last = f"max(CASE WHEN event_type = '{c.event}' THEN us END)"
-        cells.append(f"round(coalesce(sum({weighted}) * exp((any_value(o) - {last}) / {tau}), 0.0), 4) AS {c.name}")
+        last = f"max(us) FILTER (event_type = '{c.event}') OVER (PARTITION BY user_id)"
+        cells.append(f"CASE WHEN event_type = '{c.event}' THEN ({c.value}) * exp((us - {last}) / {float(gap_micros(tau))}) END AS {c.name}")
+    sums = ", ".join(f"round(coalesce(sum({c.name}), 0.0), 4) AS {c.name}" for c in COUNTERS)
     return f"""
-WITH e AS (SELECT *, epoch_us(TIMESTAMP '2024-01-01') AS o FROM ({INTERACTIONS_SQL}))
-SELECT user_id, {', '.join(cells)} FROM e WHERE event_type <> 'purchase' GROUP BY user_id"""
+WITH e AS ({INTERACTIONS_SQL}), w AS (SELECT user_id, {', '.join(cells)} FROM e WHERE event_type <> 'purchase')
+SELECT user_id, {sums} FROM w GROUP BY user_id"""
 
 
-def finish(state: DataFrame) -> DataFrame:
-    return rounded(online.counter_values(state, ["user_id"], COUNTERS, ORIGIN), 4)
+#: The counters with a decay time that the events' span holds many hundred times.
+HOURLY = [replace(c, tau=timedelta(hours=1)) for c in COUNTERS]
+STATE_KEYS = ["user_id", "anchor"]
 
 
-def online_state(rows: DataFrame) -> DataFrame:
-    return online.online_counters(rows, ["user_id"], COUNTERS, ORIGIN, time="ts", event_name="event_type")
+def finish(state: DataFrame, counters: list[Counter] = COUNTERS) -> DataFrame:
+    return rounded(online.counter_values(state, ["user_id"], counters), 4)
+
+
+def online_state(rows: DataFrame, counters: list[Counter] = COUNTERS) -> DataFrame:
+    return online.online_counters(rows, ["user_id"], counters, time="ts", event_name="event_type")
 
 
 @query("online_counters_batch", online_oracle())
@@ -151,10 +155,25 @@ def online_counters_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return finish(online_state(interactions(spark, sf_dir)))
 
 
+@query("online_counters_hour", online_oracle(timedelta(hours=1)))
+def online_counters_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decay within an hour over all of the events' time."""
+    return finish(online_state(interactions(spark, sf_dir), HOURLY), HOURLY)
+
+
+def streamed(spark: SparkSession, sf_dir: str, counters: list[Counter]) -> DataFrame:
+    """The values from micro-batches whose rows arrive out of order; the log of updates is compacted on the way."""
+    state = online_state(replay(interactions(spark, sf_dir), "events"), counters)
+    out = scratch_path(spark, "counters")
+    online.drain(state, out, scratch_path(spark, "counters-progress"), keys=STATE_KEYS, compact_every=2)
+    return finish(online.latest_state(spark, out, ddl(state), STATE_KEYS), counters)
+
+
 @query("stream_decayed_counters", online_oracle())
 def stream_decayed_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same from micro-batches whose rows arrive out of order."""
-    state = online_state(replay(interactions(spark, sf_dir), "events"))
-    out = scratch_path(spark, "counters")
-    online.drain(state, out, scratch_path(spark, "counters-progress"))
-    return finish(online.latest_state(spark, out, ddl(state), ["user_id"]))
+    return streamed(spark, sf_dir, COUNTERS)
+
+
+@query("stream_decayed_counters_hour", online_oracle(timedelta(hours=1)))
+def stream_decayed_counters_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streamed(spark, sf_dir, HOURLY)

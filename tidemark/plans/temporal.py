@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime, timedelta
 from functools import partial
 
@@ -58,15 +59,41 @@ f AS (SELECT event_id, user_id, k, segment, event_type, {', '.join(cells)} FROM
 SELECT * EXCLUDE (event_type) FROM f WHERE event_type = 'purchase'"""
 
 
+def short_oracle(keys: str, tau: timedelta) -> str:
+    """Every visible event of every target, as of the counter's last one: nothing overflows, over any span."""
+    parts = []
+    for gap in STANDARD_GAPS:
+        for c in COUNTERS:
+            last = "max(e.us) OVER (PARTITION BY t.event_id)"
+            parts.append(
+                f"SELECT t.event_id, '{feature_name([keys], gap, c.name)}' AS name, "
+                f"e.x * exp((e.us - {last}) / {float(gap_micros(tau))}) AS x "
+                f"FROM t JOIN (SELECT {keys}, us, {c.value} AS x FROM e WHERE event_type = '{c.event}') e "
+                f"ON e.{keys} = t.{keys} AND e.us <= t.us - {gap_micros(gap)}"
+            )
+    names = [feature_name([keys], gap, c.name) for gap in STANDARD_GAPS for c in COUNTERS]
+    cells = ", ".join(f"round(coalesce(sum(x) FILTER (name = '{n}'), 0.0), {DIGITS}) AS {n}" for n in names)
+    return f"""
+WITH e AS ({INTERACTIONS_SQL}), t AS (SELECT event_id, us, user_id, k, segment FROM e WHERE event_type = 'purchase'),
+x AS ({' UNION ALL '.join(parts)}),
+f AS (SELECT event_id, {cells} FROM x GROUP BY event_id)
+SELECT t.event_id, t.user_id, t.k, t.segment, {', '.join(f'coalesce(f.{n}, 0.0) AS {n}' for n in names)}
+FROM t LEFT JOIN f ON f.event_id = t.event_id"""
+
+
 def run_counters(
-    spark: SparkSession, sf_dir: str, key_sets: list[list[str]], policy: HotKeys = HotKeys()
+    spark: SparkSession,
+    sf_dir: str,
+    key_sets: list[list[str]],
+    policy: HotKeys = HotKeys(),
+    counters: list[Counter] = COUNTERS,
 ) -> DataFrame:
     rows = interactions(spark, sf_dir)
     out = decayed_counters(
         rows,
         rows.where(F.col("event_type") == "purchase"),
         key_sets=key_sets,
-        counters=COUNTERS,
+        counters=counters,
         time="ts",
         event_name="event_type",
         policy=policy,
@@ -90,6 +117,14 @@ query("decayed_counters_blocked", counters_oracle([["segment"], ["k"]]))(
 )
 
 
+# a decay time that the events' span holds many hundred times, with plain and with blocked keys
+HOURLY = [replace(c, tau=timedelta(hours=1)) for c in COUNTERS]
+for _name, _policy in {"decayed_counters_hour": HotKeys(), "decayed_counters_hour_blocked": HotKeys(rows_per_block=100)}.items():
+    query(_name, short_oracle("segment", timedelta(hours=1)))(
+        partial(run_counters, key_sets=[["segment"]], policy=_policy, counters=HOURLY)
+    )
+
+
 HISTORY_START = datetime(2024, 1, 3)
 
 
