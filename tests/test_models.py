@@ -51,12 +51,6 @@ def test_factor_model_prefers_what_was_used(spark):
     assert min(dot(u[a], v[b]) for a, b, _ in rows) > max(dot(u[a], v[b]) for a in u for b in v if a % 2 != b % 2)
 
 
-def test_bias_model(spark):
-    rows = [(f"u{i % 10}", f"c{i % 7}", int(i % 10 < 5)) for i in range(700)]
-    df = spark.createDataFrame(rows, "u STRING, c STRING, label INT")
-    assert roc_auc(models.score(models.bias_model(df, ["u", "c"], "label"), df), "score", "label").first()["roc_auc"] > 0.95
-
-
 def test_text_classifier(spark):
     rows = [(f"good kind word{i % 5}" if i % 2 else f"bad rude word{i % 5}", i % 2) for i in range(100)]
     df = spark.createDataFrame(rows, "text STRING, label INT")

@@ -1,4 +1,4 @@
-"""Spark ML baselines behind the ranking jobs: training, scoring, importances, factors."""
+"""Spark ML baselines behind the ranking jobs: training, scoring, importances, factors. Weights per id are in ``bias``."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, SQLTransformer, VectorAssembler
+from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, SparkSession
@@ -94,17 +94,6 @@ def factor_model(
     )
 
 
-def bias_model(rows: DataFrame, ids: Sequence[str], label: str, buckets: int = 1 << 18) -> PipelineModel:
-    """One weight per id: logistic regression over hashed ids, so no id table is ever collected."""
-    tokens = ", ".join(f"concat('{c}=', `{c}`)" for c in ids)
-    stages = [
-        SQLTransformer(statement=f"SELECT *, array({tokens}) AS ids FROM __THIS__"),
-        HashingTF(inputCol="ids", outputCol="features", numFeatures=buckets, binary=True),
-        LogisticRegression(labelCol=label, maxIter=20),
-    ]
-    return _without_summary(Pipeline(stages=stages).fit(rows))
-
-
 def text_classifier(rows: DataFrame, text: str, label: str, buckets: int = 1 << 16) -> PipelineModel:
     """Hashed words, weighted by rarity, into a logistic regression."""
     stages = [

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import models
+from tidemark.operators.bias import fit_biases
 from tidemark.operators.indexing import index_interactions
 from tidemark.operators.metrics import f1_sweep, training_report
 from tidemark.operators.sampling import balanced_weights, exact_sample
@@ -78,12 +79,36 @@ def als_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return users.withColumn("side", F.lit("user")).unionByName(items.withColumn("side", F.lit("creator")))
 
 
+def bias_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions(spark, sf_dir).selectExpr("event_id", "user_id", "k", "CAST(value > 50 AS INT) AS label")
+
+
 @query("bias_lr")
 def bias_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = interactions(spark, sf_dir).selectExpr(
-        "event_id", "user_id", "k", "CAST(value > 50 AS INT) AS label"
-    )
-    return models.score(models.bias_model(rows, ["user_id", "k"], "label"), rows).select("event_id", "label", "score")
+    """One weight per user and per creator."""
+    rows = bias_rows(spark, sf_dir)
+    return fit_biases(rows, ["user_id", "k"], "label").score(rows).select("event_id", "label", "score")
+
+
+@query(
+    "bias_balance",
+    """
+WITH e AS (SELECT user_id, CAST(props->>'$.k' AS INTEGER) AS k, CAST(value > 50 AS INTEGER) AS label FROM events)
+SELECT 'user' AS side, CAST(user_id AS BIGINT) AS id, CAST(sum(label) AS BIGINT) AS positives FROM e GROUP BY user_id
+UNION ALL
+SELECT 'creator', CAST(k AS BIGINT), CAST(sum(label) AS BIGINT) FROM e GROUP BY k""",
+)
+def bias_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds at the minimum alone: an id's scores and its ridge times its weight add up to its positives."""
+    rows, ridge = bias_rows(spark, sf_dir), 1.0
+    model = fit_biases(rows, ["user_id", "k"], "label", ridge)
+    scored = rows.join(model.score(rows).select("event_id", "score"), "event_id")
+    sides = []
+    for side, field, weights in zip(("user", "creator"), model.fields, model.weights):
+        sums = scored.groupBy(F.col(field).cast("bigint").alias("id")).agg(F.sum("score").alias("total"))
+        held = sums.join(weights.select(F.col("id").cast("bigint").alias("id"), "weight"), "id")
+        sides.append(held.selectExpr(f"'{side}' AS side", "id", f"CAST(round(total + {ridge} * weight) AS BIGINT) AS positives"))
+    return sides[0].unionByName(sides[1])
 
 
 @query("text_lr")
