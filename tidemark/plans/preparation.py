@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from tidemark.functions import vectors as V
 from tidemark.functions.sequences import padded_sequence
 from tidemark.operators import embeddings as E
+from tidemark.operators import factors as FA
 from tidemark.operators.features import Config, transform_features
+from tidemark.operators.running import dense_index
 from tidemark.plans.registry import query
 from tidemark.plans.sources_yield import rounded
 from tidemark.plans.temporal import INTERACTIONS_SQL, history_oracle, run_history
+from tidemark.session import materialise, scratch_path
 from tidemark.sources.tables import interactions, spread, table
 
 VOCAB_SIZE, OOV_BUCKETS, SEQ_LEN, DIM = 80, 3, 16, 64
@@ -283,17 +286,75 @@ def embedding_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.withColumn("exported", F.col("timestamp").cast("string")).drop("timestamp")
 
 
+def elements(column: str, names: str, count: int = DIM) -> str:
+    """SQL for every element of an array as a column of its own."""
+    return ", ".join(f"{column.format(i + 1)} AS {names}{i}" for i in range(count))
+
+
 @query(
     "factor_refresh",
-    """
-SELECT vec_id, CASE WHEN vec_id % 3 = 0 THEN -CAST(embedding[1] AS DOUBLE) ELSE CAST(embedding[1] AS DOUBLE) END AS first
+    f"""
+SELECT vec_id, {elements("CASE WHEN vec_id % 3 = 0 THEN -CAST(embedding[{0}] AS DOUBLE) ELSE CAST(embedding[{0}] AS DOUBLE) END", "f")}
 FROM embeddings""",
 )
 def factor_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     pretrained = table(spark, sf_dir, "embeddings").selectExpr("vec_id", "CAST(embedding AS ARRAY<DOUBLE>) AS factors")
     refit = pretrained.where("vec_id % 3 = 0").selectExpr("vec_id", "transform(factors, x -> -x) AS factors")
     out = E.refresh_factors(pretrained, refit, "vec_id", "factors")
-    return out.select("vec_id", F.col("factors")[0].alias("first"))
+    return out.select("vec_id", *V.to_wide("factors", "f", DIM))
+
+
+STRENGTHS_SQL = f"""
+WITH e AS ({INTERACTIONS_SQL}), p AS (SELECT user_id, k, sum(value) / 100 AS s FROM e GROUP BY ALL)"""
+
+
+def strengths(spark: SparkSession, sf_dir: str) -> FA.Strengths:
+    rows = interactions(spark, sf_dir).selectExpr("user_id", "CAST(k AS BIGINT) AS k", "value / 100 AS s")
+    return FA.Strengths(rows, "user_id", "k", "s", alpha=0.5, reg=0.1)
+
+
+@query(
+    "factor_refit",
+    f"""{STRENGTHS_SQL}
+SELECT p.user_id, {elements("round(sum(CASE WHEN s > 0 THEN 1 + 0.5 * s ELSE 0 END * CAST(embedding[{0}] AS DOUBLE)), 5)", "b")}
+FROM p JOIN embeddings ON p.k = vec_id GROUP BY p.user_id""",
+)
+def factor_refit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A half-step for the users from pretrained creators: factors put into their equations give the right-hand sides.
+
+    The left-hand sides are summed anew, by joins and vector functions, from the factors that the half-step returns.
+    """
+    given = strengths(spark, sf_dir)
+    creators = table(spark, sf_dir, "embeddings").selectExpr("vec_id AS id", "CAST(embedding AS ARRAY<DOUBLE>) AS features")
+    users = materialise(FA.half_step(given, "user_id", "k", creators), "users").withColumnsRenamed({"id": "own", "features": "x"})
+    outer = F.transform("features", lambda a: F.transform("features", lambda b: a * b))
+    cells = creators.select(F.posexplode(F.flatten(outer)).alias("at", "cell")).groupBy("at").agg(F.sum("cell").alias("cell"))
+    gram = cells.agg(F.array_sort(F.collect_list(F.struct("at", "cell"))).getField("cell").alias("g")).scalar()
+    met = given.pairs("user_id", "k").join(users, "own").join(creators, F.col("other") == creators["id"])
+    weight = given.alpha * F.abs("s") * V.dot(F.col("x"), F.col("features"))
+    seen = met.select("own", F.posexplode(F.transform("features", lambda y: y * weight)).alias("at", "part"))
+    seen = seen.groupBy("own", "at").agg(F.sum("part").alias("part"))
+    row = F.slice(F.col("g"), F.col("at") * DIM + 1, DIM)
+    whole = users.withColumn("g", gram).select("own", F.explode(F.sequence(F.lit(0), F.lit(DIM - 1))).alias("at"), "x", "g")
+    left = whole.select("own", "at", (V.dot(row, F.col("x")) + given.reg * F.get("x", F.col("at"))).alias("part"))
+    both = left.unionByName(seen).groupBy("own", "at").agg(F.round(F.sum("part"), 5).alias("part"))
+    sides = both.groupBy("own").agg(F.array_sort(F.collect_list(F.struct("at", "part"))).getField("part").alias("b"))
+    return sides.select(F.col("own").alias("user_id"), *V.to_wide("b", "b", DIM))
+
+
+@query(
+    "factor_export",
+    f"""
+SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS position, {elements("CAST(embedding[{0}] AS DOUBLE)", "f")} FROM embeddings""",
+)
+def factor_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Factors written in the order of their dense index and read back by place."""
+    rows = table(spark, sf_dir, "embeddings").selectExpr("vec_id", "CAST(embedding AS ARRAY<DOUBLE>) AS features")
+    numbered = rows.join(dense_index(rows, "vec_id", "index"), "vec_id")
+    path = scratch_path(spark, "factors")
+    FA.export_in_order(numbered, "index", path, rows_per_file=100)
+    back = FA.read_in_order(spark, path, "vec_id BIGINT, features ARRAY<DOUBLE>")
+    return back.select("vec_id", "position", *V.to_wide("features", "f", DIM))
 
 
 @query("embedding_wide", "SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS ue0, CAST(embedding[64] AS DOUBLE) AS ue63 FROM embeddings")
