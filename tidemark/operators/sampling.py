@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import HASH_BITS, portable_hash
 from tidemark.operators.small import hint_if_small
+from tidemark.session import materialise
 
 BUCKET_BITS = 12
+#: Rows that one task ranks at most.
+RANKED_ROWS = 1_000_000
 
 
 def date_split(rows: DataFrame, day: str, validation: date, gap: date) -> DataFrame:
@@ -32,28 +35,44 @@ def timespent_label(minutes: Column) -> Column:
     return F.when(minutes * 60 >= 60, 1).otherwise(0)
 
 
-def _exact_cut(rows: DataFrame, key: str, seed: int, quota: str, by: list[str]) -> DataFrame:
-    """Per group the (hash, key) of its ``quota``-th smallest row; ``quota`` is SQL over the group size ``total``.
+def _cut_bucket(hashed: DataFrame, quota: str, by: list[str], most: int) -> tuple[DataFrame, int]:
+    """(by, _bucket, _rest, n) and the bits of a bucket: the bucket that holds each group's cut, and how far into it.
 
-    Rows are counted per hash bucket first; only the one bucket that holds the
-    cut, 1/4096 of a group, is ranked.
+    Rows are counted per bucket of the first hash bits. While a bucket that holds a cut has more than ``most`` rows, its
+    rows alone are counted again by the next bits; so no task ranks more rows, but for those of one hash.
     """
-    hashed = rows.select(*by, F.col(key).alias("_key"), portable_hash(F.col(key), seed).alias("_h")).withColumn(
-        "_bucket", F.shiftright("_h", HASH_BITS - BUCKET_BITS)
-    )
     group = f"PARTITION BY {', '.join(by)} " if by else ""
-    upto = f"sum(n) OVER ({group}ORDER BY _bucket)"
-    cut_bucket = (
-        hashed.groupBy(*by, "_bucket")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .selectExpr("*", f"{upto} AS _upto", f"sum(n) OVER ({group}) AS total")
-        .selectExpr(*by, "_bucket", "_upto - n AS _before", "_upto", f"least(total, CAST({quota} AS BIGINT)) AS _quota")
-        .where("_before < _quota AND _quota <= _upto")
-        .selectExpr(*by, "_bucket", "_quota - _before AS _rest")
-    )
+    inside, bits, wanted = hashed, BUCKET_BITS, quota
+    while True:
+        bucket = F.shiftright("_h", HASH_BITS - bits).alias("_bucket")
+        rest = ["_wanted"] if bits > BUCKET_BITS else []
+        counted = inside.groupBy(*by, *rest, bucket).agg(F.count(F.lit(1)).alias("n"))
+        cut = (
+            counted.selectExpr("*", f"sum(n) OVER ({group}ORDER BY _bucket) AS _upto", f"sum(n) OVER ({group}) AS total")
+            .selectExpr(*by, "_bucket", "n", "_upto - n AS _before", f"least(total, CAST({wanted} AS BIGINT)) AS _quota")
+            .where("_before < _quota AND _quota <= _before + n")
+            .selectExpr(*by, "_bucket", "_quota - _before AS _rest", "n")
+        )
+        cut = materialise(cut, "cut")
+        if bits == HASH_BITS or cut.where(F.col("n") > most).isEmpty():
+            return cut, bits
+        side = cut.select(*by, F.col("_bucket").alias("_above"), F.col("_rest").alias("_wanted"))
+        above = hashed.withColumn("_above", F.shiftright("_h", HASH_BITS - bits))
+        inside = above.join(hint_if_small(side, "cut"), [*by, "_above"])
+        bits, wanted = min(HASH_BITS, bits + BUCKET_BITS), "_wanted"
+
+
+def _exact_cut(rows: DataFrame, key: str, seed: int, quota: str, by: list[str], most: int) -> DataFrame:
+    """Per group the (hash, key) of its ``quota``-th smallest row; ``quota`` is SQL over the group size ``total``.
+
+    Rows are counted per hash bucket first; only the one bucket that holds the cut is ranked.
+    """
+    hashed = rows.select(*by, F.col(key).alias("_key"), portable_hash(F.col(key), seed).alias("_h"))
+    cut, bits = _cut_bucket(hashed, quota, by, most)
     ranked = f"row_number() OVER (PARTITION BY {', '.join([*by, '_bucket'])} ORDER BY _h, _key)"
     return (
-        hashed.join(F.broadcast(cut_bucket) if not by else hint_if_small(cut_bucket, "cut"), [*by, "_bucket"])
+        hashed.withColumn("_bucket", F.shiftright("_h", HASH_BITS - bits))
+        .join(hint_if_small(cut.drop("n"), "cut") if by else F.broadcast(cut.drop("n")), [*by, "_bucket"])
         .selectExpr("*", f"{ranked} AS _rank")
         .where("_rank = _rest")
         .selectExpr(*by, "struct(_h, _key) AS _cut")
@@ -69,6 +88,7 @@ def exact_sample(
     by: str | None = None,
     seed: int = 42,
     flag: str = "in_sample",
+    ranked_rows: int = RANKED_ROWS,
 ) -> DataFrame:
     """``rows`` plus a flag that marks exactly ceil(fraction * size) or ``n`` rows, without replacement.
 
@@ -86,8 +106,8 @@ def exact_sample(
         return F.coalesce(F.col(key).isNotNull() & (mark <= cut), F.lit(False))
 
     if by is None:
-        return rows.withColumn(flag, chosen(_exact_cut(whole, key, seed, quota, []).scalar()))
-    cuts = hint_if_small(_exact_cut(whole, key, seed, quota, [by]), "cuts")
+        return rows.withColumn(flag, chosen(_exact_cut(whole, key, seed, quota, [], ranked_rows).scalar()))
+    cuts = hint_if_small(_exact_cut(whole, key, seed, quota, [by], ranked_rows), "cuts")
     return rows.join(cuts, by, "left").withColumn(flag, chosen(F.col("_cut"))).drop("_cut")
 
 
