@@ -168,6 +168,24 @@ def test_a_burst_is_cut_too(spark):
     assert max(sizes) < 4000
 
 
+@pytest.mark.parametrize("max_hot", [2, 4])
+def test_blocks_do_not_grow_where_a_level_has_few_parts(spark, max_hot):
+    """More hot keys than a sketch may name, and more blocks than one level has parts."""
+    rows = spark.range(30_000).selectExpr("CAST(IF(id % 2 = 0, 0, id % 14) AS STRING) AS host", "id * id AS us")
+    blocked = split_hot_keys(rows, ["host"], "us", HotKeys(rows_per_block=500, max_hot=max_hot))
+    cut = blocked.rows.groupBy("host", "_block")
+    found = cut.agg({"us": "min"}).join(cut.count(), ["host", "_block"]).toDF("host", "block", "low", "n").collect()
+    assert len(found) > 45 and max(r["n"] for r in found) < 2_000
+    for host in {r["host"] for r in found}:
+        lows = [r["low"] for r in sorted(found, key=lambda r: r["block"]) if r["host"] == host]
+        assert lows == sorted(lows) and len(lows) > 1
+    assert blocked.hot.count() == 30_000
+
+
+def test_counters_of_many_levels(spark):
+    check(spark, skewed_rows(), KEY_SETS, policy=HotKeys(rows_per_block=10, max_hot=2))
+
+
 def test_no_hot_key_no_blocks(spark):
     rows = frame(spark, skewed_rows()).selectExpr("host", "unix_micros(event_time) AS us")
     blocked = split_hot_keys(rows, ["host"], "us", HotKeys())

@@ -8,17 +8,19 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tidemark.functions.hashing import portable_hash
 from tidemark.operators import metrics as M
+from tidemark.operators import sampling
 from tidemark.operators.indexing import index_interactions
-from tidemark.operators.running import Ranges, dense_index, exact_quantiles, running_totals
+from tidemark.operators.running import Ranges, dense_index, exact_quantiles, ranged, running_totals
 from tidemark.operators.sampling import balanced_weights, downsample_negatives, exact_sample
 
 NARROW = Ranges(rows_per_range=7)
 
 
-@pytest.mark.parametrize("ranges", [Ranges(), NARROW, Ranges(rows_per_range=1)])
+@pytest.mark.parametrize("ranges", [Ranges(), NARROW, Ranges(rows_per_range=1), Ranges(rows_per_range=7, fan=4)])
 def test_running_totals(spark, ranges):
     rnd = random.Random(4)
     # a third of the values lies in a tiny interval
@@ -33,10 +35,21 @@ def test_running_totals(spark, ranges):
         assert got[v] == (total, whole)
 
 
-def test_running_totals_by_group(spark):
+@pytest.mark.parametrize("fan", [2, 4])
+def test_no_range_grows_where_a_level_has_few_parts(spark, fan):
+    """20 000 rows in ranges of 100 from levels of few parts: as even as from one level, and in order."""
+    rows = spark.range(20_000).selectExpr("IF(id < 100, id * 1D, 1000 + id / 1e6) AS v")
+    cut = ranged(rows, 20_000, "v", Ranges(rows_per_range=100, fan=fan)).groupBy("_range")
+    found = cut.agg({"v": "min"}).join(cut.count(), "_range").orderBy("_range").toDF("range", "low", "n").collect()
+    assert len(found) > 150 and max(r["n"] for r in found) < 400
+    assert [r["low"] for r in found] == sorted(r["low"] for r in found)
+
+
+@pytest.mark.parametrize("ranges", [NARROW, Ranges(rows_per_range=3, fan=2)])
+def test_running_totals_by_group(spark, ranges):
     rows = [(g, v, 1) for g in "ab" for v in range(100 if g == "a" else 30)]
     df = spark.createDataFrame(rows, "g STRING, v INT, n INT")
-    got = running_totals(df, "v", ["n"], by=["g"], ranges=NARROW).collect()
+    got = running_totals(df, "v", ["n"], by=["g"], ranges=ranges).collect()
     assert {(r["g"], r["v"]): (r["cum_n"], r["total_n"]) for r in got} == {
         (g, v): (v + 1, 100 if g == "a" else 30) for g, v, _ in rows
     }
@@ -147,3 +160,21 @@ def test_portable_hash(spark):
 
     got = spark.range(3).select(portable_hash(F.col("id"), 42).alias("h")).collect()
     assert [r["h"] for r in got] == [int(hashlib.md5(f"42:{i}".encode()).hexdigest()[:8], 16) for i in range(3)]
+
+
+@pytest.mark.parametrize("bits", [2, 5])
+def test_the_cut_bucket_is_refined_until_it_is_small(spark, monkeypatch, bits):
+    monkeypatch.setattr(sampling, "BUCKET_BITS", bits)
+    df = spark.range(5_000).selectExpr("id", "IF(id % 10 = 0, 'few', 'many') AS c")
+    hashed = df.selectExpr("c", "id AS _key").withColumn("_h", portable_hash(F.col("_key"), 42))
+    cut, used = sampling._cut_bucket(hashed, "100", ["c"], 20)
+    assert used > bits and {r["c"]: r["n"] <= 20 for r in cut.collect()} == {"few": True, "many": True}
+    for kind in ({"n": 100}, {"fraction": 0.3}):
+        small = exact_sample(df, "id", by="c", ranked_rows=20, **kind)
+        whole = exact_sample(df, "id", by="c", **kind)
+        assert small.exceptAll(whole).isEmpty()
+        sizes = {r["c"]: r["count"] for r in small.where("in_sample").groupBy("c").count().collect()}
+        assert sizes == ({"few": 100, "many": 100} if "n" in kind else {"few": 150, "many": 1350})
+    assert exact_sample(df, "id", n=777, ranked_rows=3).where("in_sample").count() == 777
+    assert exact_sample(df, "id", n=9_999, ranked_rows=3).where("in_sample").count() == 5_000
+    assert exact_sample(df, "id", n=0, ranked_rows=3).where("in_sample").count() == 0

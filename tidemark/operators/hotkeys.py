@@ -6,10 +6,9 @@ each of them is cut into blocks of about equal row count. Windows then run per
 (key, block), and each operator adds one *carry* row per block holding what the
 earlier blocks of the key add up to. All other keys stay in block 0.
 
-The sketch, and for hot keys a sample of their times, are read before the main
-plan is built, so both halves of that plan see one fixed layout. What reaches the
-driver is bounded by ``HotKeys``, not by the data. The layout only balances work:
-results do not depend on it.
+The sketch, and for hot keys the layout of their blocks from a sample of their times, are made
+before the main plan is built, so both halves of that plan see one fixed layout. Where a sketch of bounded size
+cannot name all keys above the limit, they are counted. The layout only balances work: results do not depend on it.
 """
 
 from __future__ import annotations
@@ -19,7 +18,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.ranges import MAX_RANGES, bisect
+from tidemark.operators.ranges import MAX_RANGES, lay_out, levels, split
+from tidemark.operators.small import hint_if_small
+from tidemark.session import materialise
 
 BLOCK = "_block"
 BEFORE_ALL = -(1 << 62)  # sorts ahead of every instant
@@ -28,10 +29,9 @@ SKETCH_FAN_IN = 256
 
 @dataclass(frozen=True)
 class HotKeys:
-    """A key with more than ``rows_per_block`` rows, or 1/``max_hot`` of all rows, whichever is more, is hot.
+    """A key with more than ``rows_per_block`` rows is hot, and cut into blocks of about as many.
 
-    So there are at most ``max_hot`` hot keys and twice as many blocks, whatever
-    the data: that is what makes broadcasting their table safe.
+    Up to ``max_hot`` hot keys come from a sketch; ranges of blocks are cut into at most ``max_hot`` parts at a time.
     """
 
     rows_per_block: int = 2_000_000
@@ -39,8 +39,8 @@ class HotKeys:
     sample_per_block: int = 16
 
     def __post_init__(self):
-        if not 1 <= self.max_hot <= MAX_RANGES:
-            raise ValueError(f"max_hot must lie in 1..{MAX_RANGES}: the hot-key table is broadcast")
+        if not 2 <= self.max_hot <= MAX_RANGES or self.rows_per_block < 1:
+            raise ValueError(f"max_hot must lie in 2..{MAX_RANGES}, rows_per_block above 0")
 
 
 @dataclass(frozen=True)
@@ -82,27 +82,28 @@ def split_hot_keys(rows: DataFrame, keys: list[str], us: str, policy: HotKeys) -
         .first()
     )
     n, origin, latest, top = (seen["n"], seen["lo"] or 0, seen["hi"] or 0, seen["top"]) if seen else (0, 0, 0, [])
-    limit = max(policy.rows_per_block, n / policy.max_hot)
-    parts = {item["item"]: -int(-item["count"] // limit) for item in top if item["count"] > limit}
-    if not parts:
-        return Blocked(rows.withColumn(BLOCK, F.lit(0)), None, origin, latest)
-
-    spark = rows.sparkSession
-    listed = spark.createDataFrame([(h,) for h in parts], "_key_hash BIGINT")
-    sampled = (
+    spark, limit = rows.sparkSession, policy.rows_per_block
+    if n <= limit * policy.max_hot:
+        # a sketch that tracks 4 * max_hot keys holds every key with more than one in max_hot rows
+        parts = [(item["item"], -int(-item["count"] // limit)) for item in top if item["count"] > limit]
+        sizes = spark.createDataFrame(parts, "_key_hash BIGINT, _left BIGINT") if parts else None
+    else:
+        counted = hashed.groupBy("_key_hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
+        sizes = materialise(counted.select("_key_hash", F.ceil(F.col("n") / limit).alias("_left")), "hot")
+    most = sizes.agg(F.max("_left")).first()[0] if sizes else None
+    if not most:
+        return Blocked(rows.withColumn(BLOCK, F.lit(0).cast("bigint")), None, origin, latest)
+
+    listed = hint_if_small(sizes, "hot")
+    drawn = (
         hashed.select("_key_hash", us)
-        .join(F.broadcast(listed), "_key_hash")
+        .join(listed, "_key_hash")
         .where((F.rand(0) < policy.sample_per_block / limit) & F.col(us).isNotNull())
-        .groupBy("_key_hash")
-        .agg(F.array_sort(F.collect_list(us)).alias("times"))
     )
-    bounds = {h: [] for h in parts}
-    for row in sampled.collect():
-        times, n = row["times"], parts[row["_key_hash"]]
-        bounds[row["_key_hash"]] = sorted({times[len(times) * i // n] for i in range(1, n)})
-    layout = F.broadcast(spark.createDataFrame(list(bounds.items()), "_key_hash BIGINT, _bounds ARRAY<BIGINT>"))
+    layouts = lay_out(materialise(drawn, "times"), ["_key_hash"], us, levels(most, policy.max_hot), policy.sample_per_block, policy.max_hot)
+    hot = hashed.join(listed.select("_key_hash"), "_key_hash")
 
-    def blocked(how: str) -> DataFrame:
-        return bisect(hashed.join(layout, "_key_hash", how), us, "_bounds", BLOCK).drop("_key_hash", "_bounds")
+    def blocked(part: DataFrame) -> DataFrame:
+        return split(part, layouts, ["_key_hash"], us, policy.max_hot, BLOCK).drop("_key_hash")
 
-    return Blocked(blocked("left"), blocked("inner"), origin, latest)
+    return Blocked(blocked(hashed), blocked(hot), origin, latest)

@@ -5,47 +5,43 @@ It is written to the scratch folder once, so the source is read once however
 often the rows are used below. A table of up to ``rows_per_range`` rows goes
 through one plain window. A larger one would overload a single task: it is cut
 into ranges of about equal row count, each range is summed, and every range
-starts from a carry row holding the totals of the ranges before it. The range
-bounds come from a hash sample of bounded expected size; they balance the work
-and do not affect results.
+starts from a carry row holding the totals of the ranges before it. Those totals
+are running totals themselves, over a row per range, and get the same treatment.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.ranges import MAX_RANGES, bisect
+from tidemark.operators.ranges import MAX_RANGES, lay_out, levels, split
 from tidemark.session import materialise
 
-HASH_SPAN = 1 << 30
-
 
 @dataclass(frozen=True)
 class Ranges:
-    """How many rows a range should hold; beyond ``MAX_RANGES`` of them ranges grow instead."""
+    """How many rows a range should hold, and into how many parts a range is cut at a time."""
 
     rows_per_range: int = 1_000_000
     sample_per_range: int = 16
+    fan: int = MAX_RANGES
 
+    def __post_init__(self):
+        if not 2 <= self.fan <= MAX_RANGES or self.rows_per_range < 1:
+            raise ValueError(f"fan must lie in 2..{MAX_RANGES}, rows_per_range above 0")
 
-def _bounds(rows: DataFrame, n: int, by: Sequence[str], order: str, ranges: Ranges) -> Column:
-    """Sorted lower bounds of all ranges but the first, as a scalar subquery."""
-    parts = min(MAX_RANGES, -(-n // ranges.rows_per_range))
-    rate = min(1.0, MAX_RANGES * ranges.sample_per_range / n)
-    drawn = F.pmod(F.xxhash64(*by, order), F.lit(HASH_SPAN)) < F.lit(rate * HASH_SPAN)
-    return (
-        rows.where(drawn)
-        .agg(F.array_sort(F.collect_list(order)).alias("s"))
-        .selectExpr(
-            f"transform(sequence(1, {parts - 1}), i -> get(s, CAST(CAST(size(s) AS BIGINT) * i DIV {parts} AS INT)))"
-            " AS bounds"
-        )
-        .scalar()
-    )
+
+def ranged(rows: DataFrame, n: int, order: str, ranges: Ranges) -> DataFrame:
+    """``rows``, ``n`` of them, plus ``_range``: consecutive ranges by ``order`` of about ``rows_per_range`` rows."""
+    parts = -(-n // ranges.rows_per_range)
+    rate = min(1.0, parts * ranges.sample_per_range / n)
+    drawn = rows.where(F.rand(0) < rate).select(order, F.lit(parts).cast("bigint").alias("_left"))
+    # the sample has sample_per_range rows for each range, as a table of its own
+    layouts = lay_out(materialise(drawn, "sample"), [], order, levels(parts, ranges.fan), ranges.sample_per_range, ranges.fan)
+    return split(rows, layouts, [], order, ranges.fan, "_range")
 
 
 def running_totals(
@@ -73,26 +69,22 @@ def running_totals(
             *[f"sum({c}) {upto} AS cum_{c}" for c in sums],
             *[f"sum({c}) OVER ({group}) AS total_{c}" for c in sums],
         )
-    bounded = rows.withColumn("_bounds", _bounds(rows, n, by, order, ranges))
-    ranged = bisect(bounded, order, "_bounds", "_range").drop("_bounds")
-    before = f"OVER ({group}ORDER BY _range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-    carried = (
-        ranged.groupBy(*by, "_range")
-        .agg(*[F.sum(c).alias(c) for c in sums])
-        .selectExpr(
-            *by,
-            "_range",
-            "true AS _carry",
-            *[f"sum({c}) {before} AS {c}" for c in sums],
-            *[f"sum({c}) OVER ({group}) AS total_{c}" for c in sums],
-        )
+    cut = ranged(rows, n, order, ranges)
+    per_range = cut.groupBy(*by, F.col("_range").alias("_at")).agg(*[F.sum(c).alias(c) for c in sums])
+    wider = replace(ranges, rows_per_range=4 * ranges.rows_per_range)  # each step leaves at most about a quarter
+    carried = running_totals(per_range, "_at", sums, by, wider).selectExpr(
+        *by,
+        "_at AS _range",
+        "true AS _carry",
+        *[f"cum_{c} - {c} AS {c}" for c in sums],
+        *[f"total_{c}" for c in sums],
     )
     so_far = (
         f"OVER (PARTITION BY {', '.join([*by, '_range'])} ORDER BY _carry IS NULL, {order} "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     )
     return (
-        ranged.unionByName(carried, allowMissingColumns=True)
+        cut.unionByName(carried, allowMissingColumns=True)
         .selectExpr(
             *rows.columns,
             "_carry",
