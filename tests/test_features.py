@@ -136,3 +136,63 @@ def test_pooling_and_refresh(spark):
     new = spark.createDataFrame([(2, [5.0, 5.0]), (3, [7.0, 7.0])], "k INT, v ARRAY<DOUBLE>")
     got = {r["k"]: r["v"] for r in E.refresh_factors(table, new, "k", "v").collect()}
     assert got == {1: [1.0, 2.0], 2: [5.0, 5.0], 3: [7.0, 7.0]}
+
+
+def test_stored_vocabularies_are_joined_without_a_shuffle_of_them(spark, tmp_path):
+    from tidemark.operators.features import store_vocabularies
+
+    spark.range(50).selectExpr("id AS token", "49 - id AS index").write.csv(str(tmp_path / "v"), compression="gzip")
+    spark.range(50).selectExpr("id AS token", "100 + id AS index").write.csv(str(tmp_path / "v"), compression="gzip", mode="append")
+    feature = {"vocab_path": str(tmp_path / "v"), "vocab_size": 50, "num_oov_buckets": 2, "embedding_dim": 4, "belongs_to": "x"}
+    own = Config.parse(
+        {
+            "format": "parquet",
+            "label": "label",
+            "dataset_features": {"id": {"type": "int"}, "a": {"type": "int"}, "label": {"type": "int"}},
+            "model": {"features": {"a": feature}},
+        }
+    )
+    stored = store_vocabularies(spark, own, "stored_vocabulary", str(tmp_path / "stored"))
+    rows = spark.range(100).selectExpr("id", "id % 60 AS a", "1 AS label")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = transform_features(rows, own, stored, "id")
+        got = {r["id"]: r["a"] for r in out.collect()}
+        plan = out._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert all(got[i] == 49 - i % 60 if i % 60 < 50 else got[i] >= 50 for i in got) and len(got) == 100
+    lines = plan.splitlines()
+    indent = [len(line) - len(line.lstrip(" :+-*")) for line in lines]
+
+    def above(i):
+        """The operators over line ``i`` up to the next join."""
+        found, depth = [], indent[i]
+        for j in range(i - 1, -1, -1):
+            if indent[j] < depth:
+                found.append(lines[j])
+                depth = indent[j]
+                if "Join" in lines[j]:
+                    break
+        return found
+
+    scans = [above(i) for i, line in enumerate(lines) if "stored_vocabulary" in line]
+    joined = [chain for chain in scans if chain and "Join" in chain[-1]]
+    assert joined and not any("Exchange" in line for chain in joined for line in chain)
+    spark.sql("DROP TABLE stored_vocabulary")
+
+
+def test_parts_share_out_the_rows(spark, tmp_path):
+    spark.range(300).selectExpr("id", "id % 40 AS u", "1 AS label").write.parquet(str(tmp_path / "rows"))
+    doc = {
+        "format": "parquet",
+        "label": "label",
+        "dataset_features": {"id": {"type": "int"}, "u": {"type": "int", "use_for_sampling": True}, "label": {"type": "int"}},
+        "model": {"features": {}},
+    }
+    parts = [{tuple(r)[:2] for r in read_input(spark, Config.parse(doc), str(tmp_path / "rows"), part=(i, 3)).collect()} for i in range(3)]
+    assert sum(map(len, parts)) == len(set.union(*parts)) == 300
+    assert not {u for _, u in parts[0]} & {u for _, u in parts[1]}
+    doc["dataset_features"]["id"]["use_for_sampling"] = True
+    with pytest.raises(ValueError, match="use_for_sampling"):
+        read_input(spark, Config.parse(doc), str(tmp_path / "rows"), part=(0, 3))

@@ -94,15 +94,46 @@ def test_daily_append(spark, tmp_path):
     assert spark.read.parquet(path).count() == 4
 
 
-def test_replace_table(spark, tmp_path):
-    spark.conf.set("spark.sql.sources.default", "parquet")
+@pytest.fixture
+def sinks(spark, tmp_path):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS sinks LOCATION '{tmp_path}'")
+    yield tmp_path
+    spark.sql("DROP DATABASE sinks CASCADE")
+
+
+def test_replace_table(spark, sinks):
     writers.replace_table(spark.range(3), "sinks.result")
     writers.replace_table(spark.range(2), "sinks.result")
     assert readers.warehouse(spark, "sinks.result").count() == 2
     assert readers.warehouse(spark, "sinks.result", limit=1).count() == 1
-    spark.sql("DROP TABLE sinks.result")
-    spark.sql("DROP DATABASE sinks")
+    with pytest.raises(ValueError, match="columns"):
+        writers.replace_table(spark.range(2).toDF("other"), "sinks.result")
+    # a table may be made from its own rows
+    writers.replace_table(spark.table("sinks.result").unionByName(spark.range(5)), "sinks.result")
+    assert spark.table("sinks.result").count() == 7
+
+
+def test_a_failed_replacement_leaves_the_table(spark, sinks):
+    """The write dies half-way: some of its tasks have written, one fails."""
+    writers.replace_table(spark.range(100), "sinks.result")
+    broken = spark.range(0, 1000, 1, 8).selectExpr("IF(id = 999, CAST(raise_error('killed') AS BIGINT), id) AS id")
+    with pytest.raises(Exception, match="killed"):
+        writers.replace_table(broken, "sinks.result")
+    assert spark.table("sinks.result").agg({"id": "sum"}).first()[0] == 4950
+    writers.replace_table(spark.range(10), "sinks.result")
+    assert spark.table("sinks.result").count() == 10
+
+
+def test_readers_see_the_old_or_the_new_table(spark, sinks):
+    writers.replace_table(spark.range(100), "sinks.result")
+    before = spark.table("sinks.result")
+    before.count()
+    writers.replace_table(spark.range(10), "sinks.result")
+    assert spark.table("sinks.result").count() == 10
+    assert before.agg({"id": "max"}).first()[0] in (9, 99)
+    for n in (20, 30, 40):
+        writers.replace_table(spark.range(n), "sinks.result")
+    assert len(list(sinks.glob("**/version-*"))) == 2
 
 
 def test_report(spark, tmp_path):

@@ -42,11 +42,17 @@ def pretrained_indexes(rows: DataFrame, table: DataFrame, key: str, index: str)
 def pool_sequence(
     rows: DataFrame, embeddings: DataFrame, *, row_id: str, sequence: str, key: str, vector: str, dim: int, name: str
 ) -> DataFrame:
-    """(row_id, sum of the vectors of the sequence's ids); ids without a vector add nothing."""
-    ids = rows.select(row_id, F.explode_outer(sequence).alias("_id"))
+    """(row_id, sum of the vectors of the sequence's ids); ids without a vector add nothing.
+
+    An id that a sequence repeats is joined once, with its count: counting needs no shuffle.
+    """
+    counts = F.transform(
+        F.array_distinct(sequence), lambda x: F.struct(x.alias("_id"), F.size(F.filter(sequence, lambda y: y.eqNullSafe(x))).alias("_n"))
+    )
+    ids = rows.select(row_id, F.explode_outer(counts).alias("_c")).select(row_id, "_c.*")
     side = embeddings.select(F.col(key).alias("_id"), F.col(vector).alias("_vector"))
     summed = ids.join(side, "_id", "left").groupBy(row_id).agg(
-        *[F.sum(F.col("_vector")[i].cast("double")).alias(f"_d{i}") for i in range(dim)]
+        *[F.sum(F.col("_n") * F.col("_vector")[i].cast("double")).alias(f"_d{i}") for i in range(dim)]
     )
     return summed.select(row_id, F.array(*[F.coalesce(f"_d{i}", F.lit(0.0)) for i in range(dim)]).alias(name))
 

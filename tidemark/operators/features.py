@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.hashing import hash_bucket
+from tidemark.functions.hashing import hash_bucket, shard
 from tidemark.functions.sequences import PAD, pad, sequence_tokens
 
 # Column types of a config and what a missing CSV field becomes
@@ -95,21 +95,36 @@ class Config:
         with open(path) as text:
             return Config.parse(yaml.safe_load(text))
 
+    @property
+    def sampling_column(self) -> str:
+        """The one column whose hash deals rows to parts."""
+        marked = [c.name for c in self.columns if c.use_for_sampling]
+        if len(marked) != 1:
+            raise ValueError(f"one column must be marked use_for_sampling, not {len(marked)}")
+        return marked[0]
+
     @property
     def schema(self) -> str:
         return ", ".join(f"`{c.name}` {TYPES[c.type]}" for c in self.columns)
 
 
-def read_input(spark: SparkSession, config: Config, path: str, where: str | None = None) -> DataFrame:
-    """The configured columns; CSV is positional and its missing fields get the type's default."""
-    names = [c.name for c in config.columns]
+def read_input(
+    spark: SparkSession, config: Config, path: str, where: str | None = None, part: tuple[int, int] | None = None
+) -> DataFrame:
+    """The configured columns; CSV is positional and its missing fields get the type's default.
+
+    With ``part`` (index, parts) only rows whose value in the column marked ``use_for_sampling`` hashes to that part; the
+    parts share out the rows.
+    """
     if config.format == "csv":
         rows = spark.read.schema(config.schema).option("mode", "FAILFAST").csv(path)
-        return rows.select(*[F.coalesce(c.name, F.lit(DEFAULTS[c.type])).alias(c.name) for c in config.columns])
-    rows = spark.read.parquet(path) if config.format == "parquet" else spark.table(path)
-    if where:
-        rows = rows.where(where)
-    return rows.select(*[F.col(c.name).cast(TYPES[c.type]).alias(c.name) for c in config.columns])
+        rows = rows.select(*[F.coalesce(c.name, F.lit(DEFAULTS[c.type])).alias(c.name) for c in config.columns])
+    else:
+        rows = spark.read.parquet(path) if config.format == "parquet" else spark.table(path)
+        if where:
+            rows = rows.where(where)
+        rows = rows.select(*[F.col(c.name).cast(TYPES[c.type]).alias(c.name) for c in config.columns])
+    return rows.where(shard(F.col(config.sampling_column), *part)) if part else rows
 
 
 def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
@@ -117,6 +132,33 @@ def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("token BIGINT, index BIGINT").option("mode", "FAILFAST").csv(path)
 
 
+@dataclass(frozen=True)
+class StoredVocabularies:
+    """Vocabularies in one table (voc, token, index), bucketed and sorted by voc and token; voc numbers ``names``."""
+
+    names: tuple[str, ...]
+    table: DataFrame
+
+
+def store_vocabularies(spark: SparkSession, config: Config, table: str, path: str, buckets: int | None = None) -> StoredVocabularies:
+    """The files that the features' ``vocab_path`` name, as one catalog table below ``path``, for any number of jobs.
+
+    A token that a vocabulary holds more than once has its smallest index. A join to the table shuffles only the
+    tokens looked up, if ``buckets`` is not below the session's shuffle partitions, which it is set to by default.
+    """
+    paths = {f.name: f.vocab_path for f in config.features if f.vocab_path}
+    names = tuple(sorted(paths))
+    rows = spark.createDataFrame([], "voc INT, token BIGINT, index BIGINT")
+    for number, name in enumerate(names):
+        part = read_vocabulary(spark, paths[name]).dropna(subset=["token"])
+        rows = rows.unionByName(part.select(F.lit(number).alias("voc"), "token", "index"))
+    count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    least = rows.groupBy("voc", "token").agg(F.min("index").alias("index")).repartition(count, "voc", "token")
+    written = least.write.mode("overwrite").format("parquet").option("path", path).bucketBy(count, "voc", "token")
+    written.sortBy("voc", "token").saveAsTable(table)
+    return StoredVocabularies(names, spark.table(table))
+
+
 def _prepared(feature: Feature, keep: str) -> tuple[Column, bool]:
     """The feature before padding and lookup, and whether it is a sequence."""
     value = F.col(feature.name)
@@ -149,8 +191,22 @@ def out_of_vocabulary(token: Column, vocab_size: int, buckets: int) -> Column:
     return F.lit(vocab_size).cast("bigint") + hash_bucket(token, buckets)
 
 
+def _united(vocabularies: Mapping[str, DataFrame]) -> StoredVocabularies:
+    """Vocabularies at hand in the shape of stored ones."""
+    names, united = tuple(sorted(vocabularies)), None
+    for v, name in enumerate(names):
+        part = vocabularies[name].select(F.lit(v).alias("voc"), F.col("token").cast("bigint").alias("token"), "index")
+        part = part.groupBy("voc", "token").agg(F.min("index").alias("index"))
+        united = part if united is None else united.unionByName(part)
+    return StoredVocabularies(names, united)
+
+
 def transform_features(
-    rows: DataFrame, config: Config, vocabularies: Mapping[str, DataFrame], row_id: str, keep: str = "oldest"
+    rows: DataFrame,
+    config: Config,
+    vocabularies: Mapping[str, DataFrame] | StoredVocabularies,
+    row_id: str,
+    keep: str = "oldest",
 ) -> DataFrame:
     """(row_id, features, kept columns, label) as the config asks.
 
@@ -161,8 +217,11 @@ def transform_features(
     that a vocabulary holds more than once has its smallest index.
     """
     sizes = {f.name: (f.vocab_size, f.num_oov_buckets) for f in config.features}
-    looked_up = [f for f in config.features if f.vocabulary in vocabularies]
-    used = sorted({f.vocabulary for f in looked_up})
+    known = vocabularies.names if isinstance(vocabularies, StoredVocabularies) else tuple(vocabularies)
+    looked_up = [f for f in config.features if f.vocabulary in known]
+    if not isinstance(vocabularies, StoredVocabularies):
+        vocabularies = _united({f.vocabulary: vocabularies[f.vocabulary] for f in looked_up})
+    used = vocabularies.names
     taken = {row_id, *(f.name for f in config.features)}
     kept = [c.name for c in config.columns if c.keep and c.name not in taken]
 
@@ -190,19 +249,14 @@ def transform_features(
         entry = f"struct({i} AS feature, {voc} AS voc, p AS pos, CAST(t AS BIGINT) AS token, {blank} AS rest)"
         entries.append(f"coalesce(transform({col}, (t, p) -> {entry}), array())")
     long = base.selectExpr(f"`{row_id}`", f"inline(concat({', '.join(entries)}))")
-    vocabulary = None
-    for v, name in enumerate(used):
-        part = vocabularies[name].select(F.lit(v).alias("voc"), F.col("token").cast("bigint").alias("token"), "index")
-        part = part.groupBy("voc", "token").agg(F.min("index").alias("index"))
-        vocabulary = part if vocabulary is None else vocabulary.unionByName(part)
-
     def unknown(token: Column, voc: Column) -> Column:
         out = F.lit(None).cast("bigint")
         for v, name in enumerate(used):
-            out = F.when(voc == v, out_of_vocabulary(token, *sizes[name])).otherwise(out)
+            if name in sizes and all(sizes[name]):
+                out = F.when(voc == v, out_of_vocabulary(token, *sizes[name])).otherwise(out)
         return out
 
-    indexed = long.join(vocabulary, ["voc", "token"], "left").select(
+    indexed = long.join(vocabularies.table, ["voc", "token"], "left").select(
         row_id, "feature", "pos", "rest", F.coalesce("index", unknown(F.col("token"), F.col("voc"))).alias("index")
     )
     cells = [F.first("rest", ignorenulls=True).alias("_rest")]
@@ -216,7 +270,7 @@ def transform_features(
     for f in looked_up:
         if f.name in sequences:
             filler = _filler(f).cast("bigint")
-            known = vocabularies[f.vocabulary].where(F.col("token") == filler).agg(F.min("index")).scalar()
-            padding = F.coalesce(known, out_of_vocabulary(filler, *sizes[f.vocabulary]))
+            held = vocabularies.table.where((F.col("voc") == used.index(f.vocabulary)) & (F.col("token") == filler))
+            padding = F.coalesce(held.agg(F.min("index")).scalar(), out_of_vocabulary(filler, *sizes[f.vocabulary]))
             found = found.withColumn(f.name, pad(F.col(f.name), f.seq_len, padding))
     return found.select("*", "_rest.*").select(row_id, *[f.name for f in config.features], *kept, "label")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as T
+from tidemark.functions.times import parse_iso_seconds
 from tidemark.operators.counters import decayed_counters, livestream_counters
 from tidemark.operators.embeddings import embedding_export
 from tidemark.operators.features import Config, read_input, read_vocabulary
@@ -246,6 +247,32 @@ def sink_daily_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("sink_replaced_table", "SELECT event_id, user_id, value FROM events WHERE event_id % 2 = 1")
+def sink_replaced_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog table of all events, replaced by those of odd number."""
+    rows = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    path = scratch_path(spark, "replaced")
+    name = f"replaced_{path.rpartition('-')[2]}"
+    writers.replace_table(rows, name, path)
+    writers.replace_table(rows.where("event_id % 2 = 1"), name, path)
+    return spark.table(name)
+
+
+@query(
+    "iso_times",
+    """
+SELECT event_id, CAST(epoch_us(date_trunc('second', ts)) // 1000000 AS BIGINT) AS seconds,
+       CAST(floor((epoch_us(TIMESTAMP '2024-03-01') - epoch_us(date_trunc('second', ts))) / 1e6) AS BIGINT) AS age
+FROM events""",
+)
+def iso_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times as ISO text, parsed back, and their distance from a fixed instant."""
+    texts = table(spark, sf_dir, "events").select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("text"))
+    seconds = F.unix_micros(parse_iso_seconds(F.col("text"))) / 1_000_000
+    instant = F.unix_micros(parse_iso_seconds(F.lit("2024-03-01T00:00:00"))) / 1_000_000
+    return texts.select("event_id", seconds.cast("bigint").alias("seconds"), (instant - seconds).cast("bigint").alias("age"))
+
+
 @query(
     "sink_report",
     f"""

@@ -11,7 +11,7 @@ from tidemark.functions import vectors as V
 from tidemark.functions.sequences import padded_sequence
 from tidemark.operators import embeddings as E
 from tidemark.operators import factors as FA
-from tidemark.operators.features import Config, transform_features
+from tidemark.operators.features import Config, read_input, store_vocabularies, transform_features
 from tidemark.operators.running import dense_index
 from tidemark.plans.registry import query
 from tidemark.plans.sources_yield import rounded
@@ -81,6 +81,41 @@ def vocab_lookup_oov(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transform_features(rows, config({"host": HOST}), {"host": host_vocabulary(spark, sf_dir)}, "event_id")
 
 
+@query(
+    "stored_vocabularies",
+    f"""
+WITH e AS ({INTERACTIONS_SQL})
+SELECT event_id, {index_sql('k')} AS host, {index_sql('(event_id % 100)')} AS post, segment, CAST(value > 50 AS INTEGER) AS label
+FROM e WHERE ({portable('user_id')} + 1) % 3 = 0""",
+)
+def stored_vocabularies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One of three parts of a table, by its users; two vocabularies from the files that the config names; a kept column."""
+    folder = scratch_path(spark, "config")
+    host_vocabulary(spark, sf_dir).write.csv(f"{folder}/vocabulary", compression="gzip")
+    rows = interactions(spark, sf_dir)
+    rows.selectExpr("event_id", "k AS host", "event_id % 100 AS post", "user_id", "segment", "CAST(value > 50 AS INT) AS label").write.parquet(
+        f"{folder}/rows"
+    )
+    listed = {"vocab_path": f"{folder}/vocabulary/*.gz"}
+    own = Config.parse(
+        {
+            "format": "parquet",
+            "label": "label",
+            "dataset_features": {
+                "event_id": {"type": "int"},
+                "host": {"type": "int"},
+                "post": {"type": "int"},
+                "user_id": {"type": "int", "use_for_sampling": True},
+                "segment": {"type": "int", "keep": True},
+                "label": {"type": "int"},
+            },
+            "model": {"features": {"host": HOST | listed, "post": HOST | listed}},
+        }
+    )
+    stored = store_vocabularies(spark, own, f"vocabularies_{folder.rpartition('-')[2]}", f"{folder}/stored")
+    return transform_features(read_input(spark, own, f"{folder}/rows", part=(1, 3)), own, stored, "event_id")
+
+
 SEQUENCE_SQL = f"""
     SELECT event_id, string_agg(CAST((k * n) % 100 AS VARCHAR), ' ' ORDER BY n) AS tokens
     FROM ({INTERACTIONS_SQL}), range(1, 24) r(n) WHERE n <= 1 + event_id % 23 GROUP BY event_id"""
@@ -189,12 +224,16 @@ def embedding_json_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def elements(column: str, names: str, count: int = DIM) -> str:
+    """SQL for every element of an array as a column of its own."""
+    return ", ".join(f"{column.format(i + 1)} AS {names}{i}" for i in range(count))
+
+
 @query(
     "embedding_pool",
     f"""
 WITH s AS ({SEQUENCE_SQL}), t AS (SELECT event_id, CAST(unnest(string_split(tokens, ' ')) AS BIGINT) AS id FROM s)
-SELECT event_id, round(sum(CAST(embedding[1] AS DOUBLE)), 7) AS pooled_first,
-       round(sum(list_sum(CAST(embedding AS DOUBLE[]))), 7) AS pooled_total
+SELECT event_id, {elements("round(sum(CAST(embedding[{0}] AS DOUBLE)), 7)", "p")}
 FROM t JOIN embeddings ON id = vec_id GROUP BY event_id""",
 )
 def embedding_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,10 +248,7 @@ def embedding_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
         dim=DIM,
         name="pooled",
     )
-    total = F.aggregate("pooled", F.lit(0.0), lambda a, x: a + x)
-    return pooled.select(
-        "event_id", F.round(F.col("pooled")[0], 7).alias("pooled_first"), F.round(total, 7).alias("pooled_total")
-    )
+    return pooled.select("event_id", *[F.round(F.col("pooled")[i], 7).alias(f"p{i}") for i in range(DIM)])
 
 
 @query(
@@ -286,11 +322,6 @@ def embedding_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.withColumn("exported", F.col("timestamp").cast("string")).drop("timestamp")
 
 
-def elements(column: str, names: str, count: int = DIM) -> str:
-    """SQL for every element of an array as a column of its own."""
-    return ", ".join(f"{column.format(i + 1)} AS {names}{i}" for i in range(count))
-
-
 @query(
     "factor_refresh",
     f"""

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -61,8 +62,55 @@ def append_daily(rows: DataFrame, time: str, path: str) -> None:
     rows.withColumn("date", F.to_date(time)).write.partitionBy("date").mode("append").parquet(path)
 
 
-def replace_table(rows: DataFrame, name: str) -> None:
-    rows.write.mode("overwrite").saveAsTable(name)
+def replace_table(rows: DataFrame, name: str, path: str | None = None) -> None:
+    """Replace all rows of the catalog table ``name``, which is made if there is none, in folders below ``path``.
+
+    The rows are written to a fresh folder first; then one change of the catalog points the table there. Readers see the old
+    rows or the new ones, never a part; a write that fails leaves the table as it was. The folder that is replaced
+    stays until the next replacement, for readers that began before. Columns must be those of the table. Without ``path``
+    the folders lie beside the table's, or where the catalog puts a table of that name.
+    """
+    spark = rows.sparkSession
+    known = spark.catalog.tableExists(name)
+    if known:
+        old, new = spark.table(name).schema, rows.schema
+        if [(f.name, f.dataType) for f in old] != [(f.name, f.dataType) for f in new]:
+            raise ValueError(f"table {name} has the columns {old.simpleString()}, not {new.simpleString()}")
+    described = _location(spark, name) if known else None
+    root = path or (described.rsplit("/", 1)[0] if described and VERSION in described else f"{described or _default(spark, name)}-versions")
+    fresh = f"{root}/{VERSION}{uuid.uuid4().hex}"
+    rows.write.mode("errorifexists").parquet(fresh)
+    quoted = "`.`".join(name.split("."))
+    if known:
+        spark.sql(f"ALTER TABLE `{quoted}` SET LOCATION '{fresh}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.catalog.createTable(name, fresh, "parquet", rows.schema)
+    _keep(spark, root, {fresh, described})
+
+
+VERSION = "version-"
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED `{'`.`'.join(name.split('.'))}`")
+    return rows.where("col_name = 'Location'").first()["data_type"]
+
+
+def _default(spark: SparkSession, name: str) -> str:
+    database, _, table = name.rpartition(".")
+    rows = spark.sql(f"DESCRIBE DATABASE `{database or spark.catalog.currentDatabase()}`").where("info_name = 'Location'")
+    return f"{rows.first()['info_value']}/{table}"
+
+
+def _keep(spark: SparkSession, root: str, folders: set[str | None]) -> None:
+    """Delete the versions below ``root`` other than ``folders``."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{VERSION}*")
+    system = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    kept = {folder.rsplit("/", 1)[-1] for folder in folders if folder}
+    for status in system.globStatus(place) or []:
+        if status.getPath().getName() not in kept:
+            system.delete(status.getPath(), True)
 
 
 def report(metrics: DataFrame, path: str, **context: str) -> None:
