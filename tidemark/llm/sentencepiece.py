@@ -31,6 +31,8 @@ _NORMAL, _BYTE = 1, 6
 MOST_CHARACTERS = 48
 #: Distinct parts that a task holds, and bytes it cuts at a time: the fold's executor needs its memory for the lattice.
 HELD, CHUNK_BYTES = 150_000, 1 << 19
+#: Tasks that fold the parts of one shard.
+FOLD_TASKS = 8
 
 
 @dataclass
@@ -183,7 +185,8 @@ def part_ids(texts: DataFrame, pieces: Pieces, cut: Cut) -> tuple[list[tuple[int
     words = parts.where("word IS NOT NULL").select(
         "shard", "key", F.replace(F.col("word").cast("string"), F.lit(" "), F.lit(SPACE)).alias("word")
     )
-    partitions = max(1 << bits, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # edges are many times the parts, and are sorted by part: a task gets few
+    partitions = max(FOLD_TASKS << bits, int(spark.conf.get("spark.sql.shuffle.partitions")))
     short = words.where(F.char_length("word") <= MOST_CHARACTERS).repartition(partitions, "shard", "key")
     ids = segment(short, pieces).repartitionById(1 << bits, F.col("shard"))
 
