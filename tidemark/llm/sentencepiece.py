@@ -30,9 +30,9 @@ _NORMAL, _BYTE = 1, 6
 #: Longer parts do not fit the bit mask of the fold; their texts go through the library.
 MOST_CHARACTERS = 48
 #: Distinct parts that a task holds, and bytes it cuts at a time: the fold's executor needs its memory for the lattice.
-HELD, CHUNK_BYTES = 150_000, 1 << 19
+HELD, CHUNK_BYTES = 400_000, 1 << 19
 #: Tasks that fold the parts of one shard.
-FOLD_TASKS = 8
+FOLD_TASKS = 4
 
 
 @dataclass
