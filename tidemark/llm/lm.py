@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import elias_fano, storage, vocabulary
-from tidemark.llm.words import NOT_SPACE, cut_words, spans_of
+from tidemark.llm.words import NOT_SPACE, cut_words, distinct, spans_of
 from tidemark.session import materialise, scratch_path
 
 DISCOUNT = 0.75
@@ -71,7 +71,7 @@ class _Vocabulary:
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ranks, training counts) of word keys; unknown words have the rank -1 and the count 0."""
-        unique, inverse = np.unique(keys, return_inverse=True)
+        unique, inverse = distinct(keys)
         found, _, counts = self.table.find(unique, np.dtype("<i8"))
         count, rank = np.zeros(len(unique), np.int64), np.full(len(unique), -1, np.int64)
         count[found] = counts

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, rans, storage, vocabulary
-from tidemark.llm.words import Cut, gather, spans_of
+from tidemark.llm.words import Cut, distinct, gather, spans_of
 from tidemark.session import materialise
 
 SEGMENT_IDS = 1 << 21
@@ -63,7 +63,7 @@ def encode_column(column: pa.Array, cut: Cut, units: vocabulary.Table, whole, en
     Texts with a span that the table lacks go to ``whole``, which gives the ids of texts as bytes.
     """
     for spans in spans_of(column, cut):
-        keys, inverse = np.unique(spans.key, return_inverse=True)
+        keys, inverse = distinct(spans.key)
         found, length, values = units.find(keys, np.dtype("<u4"))
         start, bounds = np.cumsum(length) - length, spans.bounds()
         own = length[inverse]

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import storage
-from tidemark.llm.words import CHUNK_BYTES, Cut, binary_array, gather, spans_of
+from tidemark.llm.words import CHUNK_BYTES, Cut, binary_array, distinct, gather, spans_of
 
 #: Distinct spans that a task holds before it merges and sends them.
 HELD = 400_000
@@ -119,7 +119,9 @@ def packed_spans(
 
         for batch in batches:
             for spans in spans_of(batch.column(0), cut, lower, chunk):
-                key, first, count = np.unique(spans.key, return_index=True, return_counts=True)
+                key, inverse = distinct(spans.key)
+                first, count = np.empty(len(key), dtype=np.int64), np.bincount(inverse, minlength=len(key))
+                first[inverse] = np.arange(len(inverse))
                 start, end = spans.start[first], spans.end[first]
                 held.add(key, count.astype(np.int64), end - start, gather(spans.raw, start, end - start))
                 if held.rows > most:

@@ -121,6 +121,16 @@ def keys_of(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mixed((prefix[end] - prefix[start]) * inverse[start] + length * np.uint64(0xA24BAED4963EE407))
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and where among them each key stands; by a hash table, since most keys repeat."""
+    found = pa.array(keys).dictionary_encode()
+    unordered = found.dictionary.to_numpy()
+    order = np.argsort(unordered)
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.arange(len(order))
+    return unordered[order], place[found.indices.to_numpy()]
+
+
 def cut_words(table: np.ndarray) -> Cut:
     """Maximal runs of the bytes that ``table`` marks."""
 
