@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pytest
 from oracle import SF_DIR
@@ -83,3 +85,50 @@ def test_repeated_queries(spark):
 def test_quantile():
     assert neighbours.chi_square_quantile(0.95, 2) == pytest.approx(5.991464547)
     assert neighbours.chi_square_quantile(0.95, 10) == pytest.approx(18.30703805)
+
+
+def test_walk_meets_points_in_order():
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=(3_000, 8))
+    tree, order = neighbours.Tree.grown(points)
+    assert sorted(order.tolist()) == list(range(3_000)) and (tree.points == points[order]).all()
+    place = rng.normal(size=8)
+    near = ((tree.points - place) ** 2).sum(axis=1)
+    walk, met, distance = neighbours.Walk(tree, place), [], 0.0
+    while (left := walk.least()) < math.inf:
+        distance = max(distance * 1.1, left)
+        shell = walk.shell(distance)
+        assert sorted(shell.tolist()) == np.flatnonzero((near <= distance) & ~np.isin(np.arange(3_000), met)).tolist()
+        met += shell.tolist()
+    assert len(met) == 3_000
+
+
+@pytest.mark.parametrize("noise, spread, share", [(0.02, 0, 0.2), (0.3, 0, 0.2), (0.02, 1, 0.7), (0.3, 1, 0.7)])
+def test_share_verified_and_recall(noise, spread, share):
+    """On vectors that lie in groups, a small share is verified; a larger one where their lengths differ by far."""
+    rng = np.random.default_rng(6)
+    lengths = np.exp(spread * rng.normal(size=30_000))
+    middles = rng.normal(size=(1_500, 64)) / 8
+    vectors = (np.repeat(middles, 20, axis=0) + noise * rng.normal(size=(30_000, 64)) / 8) * lengths[:, None]
+    block = neighbours.Block(np.arange(30_000), vectors, neighbours.projections(64, 16, 11), 20)
+    quantile = neighbours.chi_square_quantile(0.95, 16)
+    hits, asked = 0, range(0, 30_000, 600)
+    for i in asked:
+        scores = vectors @ vectors[i]
+        scores[i] = -math.inf
+        found = {j for _, j in block.search(vectors[i], i, 20, quantile)}
+        hits += len(found & set(np.argsort(-scores)[:20].tolist()))
+    print(noise, len(block.trees), block.verified / block.asked / 30_000, hits / 20 / len(asked))
+    assert hits / 20 / len(asked) >= 0.9
+    assert block.verified / block.asked / 30_000 <= share
+
+
+def test_block_files(tmp_path):
+    rng = np.random.default_rng(8)
+    ids, vectors = rng.integers(0, 400, 500), rng.normal(size=(500, 5)) * np.exp(rng.normal(size=(500, 1)))
+    block = neighbours.Block(ids, vectors, neighbours.projections(5, 4, 1), 3)
+    with open(tmp_path / "b.trees", "wb") as out:
+        block.write(out)
+    again = neighbours.Block.read(str(tmp_path / "b.trees"))
+    for query in rng.normal(size=(20, 5)):
+        assert again.search(query, 7, 3, 9.5) == block.search(query, 7, 3, 9.5)
