@@ -196,28 +196,28 @@ class Block:
         length = math.sqrt(float(query @ query))
         held: list[tuple[float, int]] = []  # (-score, id), sorted
         self.asked += 1
-        for tree, norm, offset in zip(self.trees, self.norms, self.offsets):
+        walks = []
+        for tree, norm, offset in zip(self.trees, self.norms, self.offsets):  # the nearest points of each band first
+            walk = Walk(tree, query * (norm / length) @ self.matrix[:-1])
+            distance = walk.reach(k)
+            walks.append((walk, distance, norm, offset))
+            held = self._verify(offset + walk.shell(distance), query, own_id, k, held)
+        for walk, distance, norm, offset in walks:
             if len(held) == k and -held[-1][0] > norm * length * (1 + 1e-9):
                 break  # no vector as short as this reaches the k-th best score
-            walk = Walk(tree, query * (norm / length) @ self.matrix[:-1])
-            distance = walk.reach(2 * k)
-            while True:
-                found = offset + walk.shell(distance)
-                self.verified += len(found)
-                held = self._verify(found, query, own_id, k, held)
-                left = walk.least()
-                if left == math.inf:
-                    break
+            while (left := walk.least()) < math.inf:
                 # the squared distance of the k-th best so far, and the projected one that a better one hardly exceeds
                 worst = max(0.0, 2 * norm**2 + 2 * norm / length * held[-1][0]) if len(held) == k else math.inf
                 end = quantile * (worst + 1e-9 * norm**2)
                 if left > end:
                     break
                 distance = min(max(distance * GROWTH, left), end)
+                held = self._verify(offset + walk.shell(distance), query, own_id, k, held)
         return [(-s, i) for s, i in held]
 
     def _verify(self, at: np.ndarray, query: np.ndarray, own_id: int, k: int, held: list[tuple[float, int]]) -> list[tuple[float, int]]:
         """``held`` with the exact scores of the vectors ``at``."""
+        self.verified += len(at)
         at = at[(self.first[at] != own_id) | (self.last[at] != own_id)]  # the rest are its own rows
         rough = self.vectors[at] @ query
         least = -held[-1][0] if len(held) == k else -math.inf
