@@ -93,7 +93,8 @@ def test_walk_meets_points_in_order():
     tree, order = neighbours.Tree.grown(points)
     assert sorted(order.tolist()) == list(range(3_000)) and (tree.points == points[order]).all()
     place = rng.normal(size=8)
-    near = ((tree.points - place) ** 2).sum(axis=1)
+    gap = tree.points - place
+    near = np.einsum("ij,ij->i", gap, gap)
     walk, met, distance = neighbours.Walk(tree, place), [], 0.0
     while (left := walk.least()) < math.inf:
         distance = max(distance * 1.1, left)

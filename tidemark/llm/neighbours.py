@@ -24,11 +24,13 @@ from pyspark.sql import functions as F
 from tidemark.llm import storage
 from tidemark.session import materialise, scratch_path
 
-LEAF = 64
+LEAF = 256
 #: a shell reaches this much farther than the one before, in squared distance
-GROWTH = 1.15
+GROWTH = 1.3
 #: a band holds vectors whose lengths differ by this factor at most; the last holds all shorter ones
 BAND, BANDS = 1.25, 12
+#: more than the error of a product of unit vectors in single precision
+SLACK = 1e-4
 
 
 def chi_square_quantile(p: float, freedom: int) -> float:
@@ -93,7 +95,7 @@ class Walk:
     """The points of a tree in order of their squared distance from a place."""
 
     def __init__(self, tree: Tree, place: np.ndarray):
-        self.tree, self.place = tree, place
+        self.tree, self.place = tree, place.astype(tree.points.dtype)
         self.boxes = [(0.0, 0)]  # a heap of (least distance, node)
         self.near, self.at = np.empty(0), np.empty(0, np.int64)  # met, in no shell so far
         self.opened: list[tuple[int, int]] = []
@@ -113,7 +115,8 @@ class Walk:
     def _measure(self) -> None:
         if self.opened:
             points = np.concatenate([self.tree.points[a:b] for a, b in self.opened])
-            near = ((points - self.place) ** 2).sum(axis=1)
+            points -= self.place
+            near = np.einsum("ij,ij->i", points, points)
             self.near = np.concatenate([self.near, near])
             self.at = np.concatenate([self.at, *[np.arange(a, b) for a, b in self.opened]])
             self.opened = []
@@ -162,20 +165,21 @@ class Block:
             at = np.flatnonzero(bands == band)
             norm = float(lengths[at].max())
             rest = np.sqrt(np.maximum(0.0, norm**2 - lengths[at] ** 2))
-            tree, own = Tree.grown(np.column_stack([vectors[at], rest]) @ matrix)
+            tree, own = Tree.grown((np.column_stack([vectors[at], rest]) @ matrix / lengths.max()).astype(np.float32))
             self.trees.append(tree)
             self.norms.append(norm)
             self.offsets.append(self.offsets[-1] + len(at))
             places.append(at[own])
         at = np.concatenate(places)
         self.vectors, self.first, self.last, self.matrix = vectors[at], first[at], last[at], matrix
+        self.rough = (self.vectors / lengths.max()).astype(np.float32)
         self.ends = np.cumsum([0, *[len(kept[i]) for i in at]])
         self.ids = np.concatenate([kept[i] for i in at])
         self.verified = self.asked = 0
 
     def write(self, out) -> None:
         """The block as consecutive arrays."""
-        plain = (self.vectors, self.first, self.last, self.matrix, self.ends, self.ids, np.array(self.norms), np.array(self.offsets))
+        plain = (self.vectors, self.rough, self.first, self.last, self.matrix, self.ends, self.ids, np.array(self.norms), np.array(self.offsets))
         for array in (*plain, *[np.asarray(getattr(tree, name)) for tree in self.trees for name in Tree.FIELDS]):
             held = io.BytesIO()
             np.save(held, array, allow_pickle=False)
@@ -185,7 +189,7 @@ class Block:
     def read(cls, uri: str) -> Block:
         file, block = io.BytesIO(storage.mapped(uri)), cls.__new__(cls)
         load = lambda: np.load(file, allow_pickle=False)
-        block.vectors, block.first, block.last, block.matrix, block.ends, block.ids = (load() for _ in range(6))
+        block.vectors, block.rough, block.first, block.last, block.matrix, block.ends, block.ids = (load() for _ in range(7))
         block.norms, block.offsets = load().tolist(), load().tolist()
         block.trees = [Tree(*(load() for _ in Tree.FIELDS)) for _ in block.norms]
         block.verified = block.asked = 0
@@ -193,37 +197,39 @@ class Block:
 
     def search(self, query: np.ndarray, own_id: int, k: int, quantile: float) -> list[tuple[float, int]]:
         """Up to ``k`` (score, id), best first, ties to the smaller id; ``own_id`` is no candidate."""
-        length = math.sqrt(float(query @ query))
+        length, longest = math.sqrt(float(query @ query)), self.norms[0]  # trees are in units of the longest vector
+        small = (query / length).astype(np.float32)
         held: list[tuple[float, int]] = []  # (-score, id), sorted
         self.asked += 1
         walks = []
         for tree, norm, offset in zip(self.trees, self.norms, self.offsets):  # the nearest points of each band first
-            walk = Walk(tree, query * (norm / length) @ self.matrix[:-1])
+            walk = Walk(tree, (query * (norm / length / longest)) @ self.matrix[:-1])
             distance = walk.reach(k)
             walks.append((walk, distance, norm, offset))
-            held = self._verify(offset + walk.shell(distance), query, own_id, k, held)
+            held = self._verify(offset + walk.shell(distance), query, small, own_id, k, held)
         for walk, distance, norm, offset in walks:
             if len(held) == k and -held[-1][0] > norm * length * (1 + 1e-9):
                 break  # no vector as short as this reaches the k-th best score
             while (left := walk.least()) < math.inf:
                 # the squared distance of the k-th best so far, and the projected one that a better one hardly exceeds
                 worst = max(0.0, 2 * norm**2 + 2 * norm / length * held[-1][0]) if len(held) == k else math.inf
-                end = quantile * (worst + 1e-9 * norm**2)
+                end = quantile * (worst / longest**2 + 1e-6)
                 if left > end:
                     break
                 distance = min(max(distance * GROWTH, left), end)
-                held = self._verify(offset + walk.shell(distance), query, own_id, k, held)
+                held = self._verify(offset + walk.shell(distance), query, small, own_id, k, held)
         return [(-s, i) for s, i in held]
 
-    def _verify(self, at: np.ndarray, query: np.ndarray, own_id: int, k: int, held: list[tuple[float, int]]) -> list[tuple[float, int]]:
-        """``held`` with the exact scores of the vectors ``at``."""
+    def _verify(self, at: np.ndarray, query: np.ndarray, small: np.ndarray, own_id: int, k: int, held: list) -> list[tuple[float, int]]:
+        """``held`` with the exact scores of the vectors ``at``; single precision rules most of them out."""
         self.verified += len(at)
         at = at[(self.first[at] != own_id) | (self.last[at] != own_id)]  # the rest are its own rows
-        rough = self.vectors[at] @ query
-        least = -held[-1][0] if len(held) == k else -math.inf
+        rough = self.rough[at] @ small
+        unit = self.norms[0] * math.sqrt(float(query @ query))
+        least = -held[-1][0] / unit if len(held) == k else -math.inf
         if len(rough) > 2 * k:
-            least = max(least, np.partition(rough, len(rough) - k)[len(rough) - k])
-        at = at[rough >= least - 1e-9 * (1 + abs(least))] if least > -math.inf else at
+            least = max(least, float(np.partition(rough, len(rough) - k)[len(rough) - k]) - SLACK)
+        at = at[rough >= least - SLACK]
         if not len(at):
             return held
         found = list(held)
@@ -263,7 +269,7 @@ def nearest(
     projected: int = 16,
     probability: float = 0.95,
     block_rows: int = 65_536,
-    query_rows: int = 512,
+    query_rows: int = 256,
     seed: int = 11,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of each query among all other rows.
