@@ -77,6 +77,29 @@ def test_classes_are_those_of_all_pairs(spark, corpus):
     assert len(set(want.values())) > 60 and {i: got[i] for i in want} == want
 
 
+def test_hot_keys_are_split(spark, corpus, monkeypatch):
+    """Classes do not depend on how many tasks join the rows of one key."""
+    monkeypatch.setattr(near_dups, "HOT", 3)
+    df = spark.createDataFrame(corpus, "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in near_dups.near_duplicates(df).collect()} == brute_classes(corpus)
+
+
+def test_split_join(spark, monkeypatch):
+    monkeypatch.setattr(near_dups, "HOT", 10)
+    rows = spark.createDataFrame([(1 if i % 3 else i, i) for i in range(300)], "k long, v long").unionByName(
+        spark.createDataFrame([(None, 1000)], "k long, v long")
+    )
+    side = spark.createDataFrame([(i, -i) for i in range(200)], "k long, w long")
+    hot = near_dups._hot(rows, "k")
+    assert hot == [(1, 20)]
+    for how in ("inner", "left"):
+        joined = near_dups._split_join(rows, side, "k", "v", hot, how)
+        assert joined.columns == ["k", "v", "w"]
+        assert sorted(joined.collect(), key=str) == sorted(rows.join(side, "k", how).collect(), key=str)
+    dealt = near_dups._split_join(rows, side, "k", "v", hot)
+    assert "_part" in dealt._jdf.queryExecution().toString()
+
+
 def test_real_documents(spark, documents):
     rows = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
     got = {r.doc_id: r.class_id for r in near_dups.near_duplicates(documents).collect()}

@@ -34,6 +34,8 @@ BANDS, BAND_ROWS = 32, 5
 #: Bands take the first registers; all serve to estimate similarity before it is computed.
 REGISTERS = 512
 GROWTH = 8
+#: rows of one key that a join leaves in one task; it decides where rows are joined, never which
+HOT = 10_000
 _ODD = np.array([mixed(np.array([i + 1], np.uint64))[0] | np.uint64(1) for i in range(REGISTERS)], np.uint64)
 
 
@@ -263,6 +265,23 @@ def _meet_here():
     return F.col("homes").isNull() | F.col("other_homes").isNull() | (shared == F.col("bucket"))
 
 
+def _hot(rows: DataFrame, key: str) -> list[tuple[int, int]]:
+    """(key, parts) of the keys that hold over ``HOT`` rows and over a thousandth of all: less than a thousand."""
+    most = max(HOT, rows.count() // 1000)
+    return [(k, -(-n // most)) for k, n in rows.groupBy(key).count().where(F.col("count") > most).collect() if k is not None]
+
+
+def _split_join(rows: DataFrame, side: DataFrame, key: str, by: str, hot: list[tuple[int, int]], how: str = "inner") -> DataFrame:
+    """``rows`` joined to ``side`` on ``key``; rows of ``hot`` keys are dealt to several tasks by the hash of ``by``."""
+    if not hot:
+        return rows.join(side, key, how)
+    parts = F.broadcast(rows.sparkSession.createDataFrame(hot, f"{key} long, _parts int"))
+    count = F.coalesce("_parts", F.lit(1))
+    dealt = rows.join(parts, key, "left").withColumn("_part", F.pmod(F.xxhash64(by), count).cast("int")).drop("_parts")
+    copies = side.join(parts, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), count - 1))).drop("_parts")
+    return dealt.join(copies, [key, "_part"], how).drop("_part")
+
+
 def _verified(pairs: DataFrame, weighed: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) whose probability Jaccard, or plain Jaccard, similarity is at least ``least``."""
     left = weighed.select(F.col("node").alias("a"), F.col("data").alias("left"))
@@ -278,7 +297,8 @@ def _verified(pairs: DataFrame, weighed: DataFrame, least: float) -> DataFrame:
                 keep.append(plain >= least or probability_jaccard(ka, weights(ca), kb, weights(cb)) >= least)
             yield batch.filter(pa.array(keep)).select(["a", "b"])
 
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+    pairs = materialise(pairs, "pairs")
+    joined = _split_join(_split_join(pairs, left, "a", "b", _hot(pairs, "a")), right, "b", "a", _hot(pairs, "b")).select("a", "b", "left", "right")
     return joined.mapInArrow(storage.trimmed(run), "a long, b long")
 
 
@@ -291,11 +311,13 @@ def components(edges: DataFrame) -> DataFrame:
     both = materialise(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
     nearest = both.groupBy("a").agg(F.min("b").alias("b"))
     labels = materialise(nearest.select(F.col("a").alias("node"), F.least("a", "b").alias("label")), "labels")
+    hubs = _hot(both, "b")
     while True:
-        reach = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))
+        near = _split_join(both, labels.select(F.col("node").alias("b"), F.col("label").alias("near")), "b", "a", hubs)
+        reach = near.groupBy("a").agg(F.min("near").alias("near"))
         spread = labels.join(reach, labels.node == reach.a).select("node", F.least("label", "near").alias("label"), F.col("label").alias("was"))
-        of = labels.select(F.col("node").alias("via"), F.col("label").alias("far"))
-        jumped = spread.join(of, spread.label == of.via, "left")
+        of = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))
+        jumped = _split_join(spread, of, "label", "node", _hot(labels, "label"), "left")
         stepped = jumped.select("node", F.least("label", F.coalesce("far", "label")).alias("label"), "was")
         written = materialise(stepped, "labels")
         labels = written.drop("was")
@@ -336,14 +358,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     # the text that others vary shares large buckets with them in most bands
     weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
     heavy = materialise(members.join(weight, "node"), "members")
-    heads = heavy.groupBy("bucket").agg(F.max(F.struct("weight", -F.col("node"))).getField("col2").alias("head"))
-    heads = heavy.join(heads.select("bucket", (-F.col("head")).alias("head")), "bucket")
+    crowds = _hot(members, "bucket")
+    heads = heavy.groupBy("bucket").agg(F.max(F.struct("weight", -F.col("node"))).alias("head"))
+    heads = heads.select("bucket", (-F.col("head.col2")).alias("head"), F.col("head.weight").alias("head_weight"))
+    heads = _split_join(heavy, heads, "bucket", "node", crowds)
     place = (F.pmod(F.xxhash64("bucket", "node"), F.lit(1 << 30)) + 1) / F.lit(float(1 << 30))
     heads = heads.withColumn("place", F.when(F.col("node") == F.col("head"), 0.5).otherwise(place * F.col("size")))
-    ranked = materialise(heads.select("bucket", "node", "head", "size", "place"), "ranked")
+    ranked = materialise(heads.select("bucket", "node", "head", "head_weight", "size", "place"), "ranked")
     # at first, each document meets the weightiest of all that head a bucket of its own
-    best = ranked.join(weight.select(F.col("node").alias("head"), "weight"), "head").groupBy("node")
-    best = best.agg(F.max(F.struct("weight", -F.col("head"))).getField("col2").alias("head")).select("node", (-F.col("head")).alias("head"))
+    best = ranked.groupBy("node").agg(F.max(F.struct("head_weight", -F.col("head"))).getField("col2").alias("head"))
+    best = best.select("node", (-F.col("head")).alias("head"))
     pairs = best.where("node != head").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
     labels = components(materialise(_verified(pairs, weighed, least), "links"))
     before, now, profiles = 0, GROWTH, None
@@ -351,7 +375,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
         labelled = ranked.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         kinds = labelled.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("h"))
         # buckets that links do not connect, and whose documents have not all been pivots
-        left = labelled.where(F.col("size") > before).join(kinds.where("l < h").select("bucket"), "bucket")
+        left = _split_join(labelled.where(F.col("size") > before), kinds.where("l < h").select("bucket"), "bucket", "node", crowds)
         left = materialise(left.join(shorts, "node").select("bucket", "node", "short", "label", "place"), "open")
         if left.isEmpty():
             break
@@ -365,7 +389,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
             "bucket", F.col("node").alias("pivot"), *[F.col(c).alias(f"other_{c}") for c in ["label", "short", *extra]]
         )
         once = (F.col("place") > now) | (F.col("node") < F.col("pivot"))  # of two pivots, one meets the other
-        met = rest.join(pivots, "bucket").where((F.col("other_label") != F.col("label")) & once & worth & _alike("short", "other_short", least))
+        met = _split_join(rest, pivots, "bucket", "node", crowds).where((F.col("other_label") != F.col("label")) & once & worth & _alike("short", "other_short", least))
         if extra:
             met = met.where(_meet_here())
         pairs = met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
