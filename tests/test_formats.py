@@ -34,6 +34,13 @@ def test_counter_events(spark):
     assert rows.select(F.unix_millis("event_time")).first()[0] == 1683116230123
 
 
+@pytest.mark.parametrize("other", [7, 7.5, True, ["l"], {"l": 1}])
+def test_ids_that_are_no_strings_are_left_out(spark, other):
+    rows = readers.counter_events(lines(spark, event(), event(livestreamId=other), event(livestreamId="7"), event(livestreamId="")))
+    assert rows.schema["livestreamId"].dataType.simpleString() == "string"
+    assert sorted(r.livestreamId for r in rows.collect()) == ["", "7", "l"]
+
+
 @pytest.mark.parametrize("bad", [event(duration_ms="five"), "{not json"])
 def test_malformed_counter_events_raise(spark, bad):
     with pytest.raises(Exception):

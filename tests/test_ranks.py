@@ -83,3 +83,14 @@ def test_fixed_histogram_bins_cover_negatives(spark):
 def test_missing_counts_as_nonzero(spark):
     rows = spark.createDataFrame([(0.0,), (1.0,), (None,), (0.0,)], "x DOUBLE")
     assert D.coverage(rows, {"s": ("x <> 0", "true")}).first()["s"] == 0.5
+
+
+def test_rank_pair_is_two_groupings(spark):
+    rows = spark.createDataFrame(
+        [("a", 0, 4, True), ("a", 0, 2, False), ("a", 1, 5, None), ("b", 0, 7, True), (None, 2, None, True)],
+        "cg_name string, cg_rank int, cnt long, front boolean",
+    )
+    pool, front = ranks.per_rank_pair(rows, "front")
+    for pair, plain in ((pool, ranks.per_rank(rows)), (front, ranks.per_rank(rows.where("front")))):
+        assert pair.columns == plain.columns
+        assert sorted(pair.collect(), key=str) == sorted(plain.collect(), key=str)

@@ -34,9 +34,12 @@ def dot_feature(rows: DataFrame, left: str, right: str, name: str) -> DataFrame:
     return rows.withColumn(name, dot(F.col(left), F.col(right)))
 
 
-def pretrained_indexes(rows: DataFrame, table: DataFrame, key: str, index: str) -> DataFrame:
-    """Inner join to a table of known ids whose ``index`` counts from 1; rows with unseen ids drop out."""
-    return rows.join(table.select(key, (F.col(index) - 1).alias(index)), key)
+def pretrained_indexes(rows: DataFrame, table: DataFrame, key: str, index: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Inner join to a table of known ids whose ``index`` counts from 1; rows with unseen ids drop out.
+
+    The table's columns ``keep`` come along, so that its vectors and biases need no join of their own.
+    """
+    return rows.join(table.select(key, (F.col(index) - 1).alias(index), *keep), key)
 
 
 def pool_sequence(

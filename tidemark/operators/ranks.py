@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import simplify_source, strict_bool
@@ -85,6 +85,16 @@ def per_rank(rows: DataFrame) -> DataFrame:
     return materialise(rows.groupBy("cg_name", "cg_rank").agg(F.sum("cnt").alias("cnt")), "ranks")
 
 
+def per_rank_pair(rows: DataFrame, front: Column | str) -> tuple[DataFrame, DataFrame]:
+    """``per_rank`` of all rows and of those that meet ``front``, from one grouping that is written once."""
+    front = F.expr(front) if isinstance(front, str) else front
+    both = rows.groupBy("cg_name", "cg_rank").agg(
+        F.sum("cnt").alias("cnt"), F.sum(F.when(front, F.col("cnt"))).alias("_sum"), F.count_if(front).alias("_rows")
+    )
+    both = materialise(both, "ranks")
+    return both.select("cg_name", "cg_rank", "cnt"), both.where("_rows > 0").select("cg_name", "cg_rank", F.col("_sum").alias("cnt"))
+
+
 def overall_yield(pool: DataFrame, front: DataFrame) -> DataFrame:
     """Per source, from ``per_rank`` counts of the pool and of front events: shares and events per slot."""
     pools = pool.groupBy("cg_name").agg(F.sum("cnt").alias("cg_pool_cnt"))

@@ -275,8 +275,7 @@ def affinity_sigmoid(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"embedding AS {side}_vector",
             f"label / 10D AS {side}_bias",
         )
-        rows = E.pretrained_indexes(rows, known, side, f"{side}_index")
-        rows = rows.join(known.drop(f"{side}_index"), side)
+        rows = E.pretrained_indexes(rows, known, side, f"{side}_index", keep=[f"{side}_vector", f"{side}_bias"])
     biases = F.col("user_bias") + F.col("creator_bias")
     return rows.select(
         "event_id",

@@ -131,7 +131,7 @@ def yield_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     rows = items.join(parts, "l_partkey").selectExpr(
         "cg_name", "l_linenumber - 1 AS cg_rank", "CAST(l_quantity AS BIGINT) AS cnt", "l_returnflag"
     )
-    return ranks.per_rank(rows), ranks.per_rank(rows.where("l_returnflag = 'R'"))
+    return ranks.per_rank_pair(rows, "l_returnflag = 'R'")
 
 
 OVERALL_SQL = """

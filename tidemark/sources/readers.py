@@ -14,7 +14,7 @@ FAIL = {"mode": "FAILFAST"}
 # Field lists of the input formats
 COUNTER_EVENT_INTS = ("event_time", "duration_ms", "like_counter", "gift_cheers_value", "gift_quantity")
 COUNTER_EVENT = (
-    "hostId STRING, memberId STRING, livestreamId STRING, event_name STRING, event_time STRING, "
+    "hostId STRING, memberId STRING, livestreamId VARIANT, event_name STRING, event_time STRING, "
     "duration_ms STRING, like_counter STRING, gift_cheers_value STRING, gift_quantity STRING"
 )
 INTERACTION = (
@@ -67,12 +67,13 @@ def warehouse(
 def counter_events(lines: DataFrame) -> DataFrame:
     """JSON lines of counter events: integers arrive as text, time as epoch milliseconds.
 
-    Rows whose ``livestreamId`` is missing are left out; a malformed number raises.
+    Rows whose ``livestreamId`` is missing or no string are left out; a malformed number raises.
     """
     rows = lines.select(F.from_json("value", COUNTER_EVENT, FAIL).alias("e")).select("e.*")
     numbers = {c: F.col(c).cast("bigint") for c in COUNTER_EVENT_INTS}
     numbers["event_time"] = times.from_epoch_millis(numbers["event_time"])
-    return rows.where(F.col("livestreamId").isNotNull()).withColumns(numbers)
+    named = rows.where(F.schema_of_variant("livestreamId") == "STRING")
+    return named.withColumn("livestreamId", F.col("livestreamId").cast("string")).withColumns(numbers)
 
 
 def interactions_csv(lines: DataFrame) -> DataFrame:
