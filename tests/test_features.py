@@ -138,6 +138,31 @@ def test_pooling_and_refresh(spark):
     assert got == {1: [1.0, 2.0], 2: [5.0, 5.0], 3: [7.0, 7.0]}
 
 
+def test_pooling_in_blocks(spark, monkeypatch):
+    """A frequent id, a frequent row id, and no row id at all: no wide aggregate but for the crowded, and no task that grows."""
+    held = {i: [float(i), i / 8] for i in range(40)}
+    table = [(i, v) for i, v in held.items()] + [(7, [0.5, None]), (8, None), (None, [9.0, 9.0])]
+    embeddings = spark.createDataFrame(table, "k INT, v ARRAY<FLOAT>")
+    held[7] = [7.5, 7 / 8]
+    rows = [(i, [0, *(j % 50 for j in range(i, i + i % 5)), 0, 7]) for i in range(400)] + [(5, None), (6, []), (None, [3]), (None, [3, None])]
+    crowd = [(1, [j % 50] * 3) for j in range(3000)] + [(None, [1, 2])] * 2000
+    schema = "id INT, seq ARRAY<INT>"
+    for found, size in ((rows, 64), (rows + crowd, 64), (rows + crowd, 10**6)):
+        monkeypatch.setattr(E, "ITEMS_PER_BLOCK", size)
+        want = {}
+        for r, seq in found:
+            total = want.setdefault(r, [0.0, 0.0])
+            for x in seq or []:
+                total[:] = [a + b for a, b in zip(total, held.get(x, [0.0, 0.0]))]
+        frame = spark.createDataFrame(found, schema).repartition(3)
+        pooled = E.pool_sequence(frame, embeddings, row_id="id", sequence="seq", key="k", vector="v", dim=2, name="p")
+        got = pooled.collect()
+        assert pooled.columns == ["id", "p"] and len(got) == len(want)
+        assert {r["id"]: r["p"] for r in got} == {r: pytest.approx(v) for r, v in want.items()}
+        plan = pooled._jdf.queryExecution().optimizedPlan().toString()
+        assert ("sum(" in plan) == (len(found) > len(rows) and size == 64)
+
+
 def test_stored_vocabularies_are_joined_without_a_shuffle_of_them(spark, tmp_path):
     from tidemark.operators.features import store_vocabularies
 
