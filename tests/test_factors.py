@@ -89,3 +89,23 @@ def test_export_is_in_index_order(spark, tmp_path, rows_per_file):
     back = fa.read_in_order(spark, str(tmp_path), "index BIGINT, v ARRAY<DOUBLE>").collect()
     assert len(back) == 100 and all(r.position == r["index"] and r.v == [99.0 - r["index"]] for r in back)
     assert fa.export_in_order(rows.limit(0), "index", str(tmp_path / "none")).count() == 0
+
+
+def test_refit_query_sums_vectors_not_cells(spark, tmp_path):
+    """The left-hand sides are the right-hand ones, and no pair is taken apart into a row for each of its products."""
+    from tidemark.plans.preparation import DIM, factor_refit
+
+    r = np.random.default_rng(5)
+    y = {i: r.normal(size=DIM).astype("float32").tolist() for i in range(30)}
+    events = [(e, e % 7, float(v), f'{{"k": {k}}}') for e, (v, k) in enumerate(zip(r.normal(50, 60, 400), r.integers(0, 35, 400)))]
+    rows = spark.createDataFrame(events, "event_id BIGINT, user_id BIGINT, value DOUBLE, props STRING")
+    rows.selectExpr("*", "TIMESTAMP_NTZ '2024-01-01' AS ts", "'view' AS event_type").write.parquet(f"{tmp_path}/events.parquet")
+    vectors = spark.createDataFrame(list(y.items()), "vec_id BIGINT, embedding ARRAY<FLOAT>")
+    vectors.write.parquet(f"{tmp_path}/embeddings.parquet")
+    sides = factor_refit(spark, str(tmp_path))
+    want = {u: np.zeros(DIM) for u in range(7)}
+    for (u, k), s in summed([(e[1], int(e[3][6:-1]), e[2] / 100) for e in events]).items():
+        want[u] += (s > 0) * (1 + 0.5 * s) * np.array(y.get(k, [0.0] * DIM))
+    got = {row["user_id"]: [row[f"b{i}"] for i in range(DIM)] for row in sides.collect()}
+    assert got.keys() == want.keys() and all(got[u] == pytest.approx(want[u].tolist(), abs=2e-5) for u in want)
+    assert "posexplode(transform(" not in sides._jdf.queryExecution().optimizedPlan().toString()

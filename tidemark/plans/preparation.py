@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import vectors as V
@@ -13,6 +14,7 @@ from tidemark.operators import embeddings as E
 from tidemark.operators import factors as FA
 from tidemark.operators.features import Config, read_input, store_vocabularies, transform_features
 from tidemark.operators.running import dense_index
+from tidemark.operators.small import hint_if_small
 from tidemark.plans.registry import query
 from tidemark.plans.sources_yield import rounded
 from tidemark.plans.temporal import INTERACTIONS_SQL, history_oracle, run_history
@@ -355,21 +357,24 @@ def factor_refit(spark: SparkSession, sf_dir: str) -> DataFrame:
     The left-hand sides are summed anew, by joins and vector functions, from the factors that the half-step returns.
     """
     given = strengths(spark, sf_dir)
+    pairs = materialise(given.pairs("user_id", "k"), "pairs")
+    given = replace(given, rows=pairs, user="own", item="other", strength="s")
     creators = table(spark, sf_dir, "embeddings").selectExpr("vec_id AS id", "CAST(embedding AS ARRAY<DOUBLE>) AS features")
-    users = materialise(FA.half_step(given, "user_id", "k", creators), "users").withColumnsRenamed({"id": "own", "features": "x"})
-    outer = F.transform("features", lambda a: F.transform("features", lambda b: a * b))
-    cells = creators.select(F.posexplode(F.flatten(outer)).alias("at", "cell")).groupBy("at").agg(F.sum("cell").alias("cell"))
-    gram = cells.agg(F.array_sort(F.collect_list(F.struct("at", "cell"))).getField("cell").alias("g")).scalar()
-    met = given.pairs("user_id", "k").join(users, "own").join(creators, F.col("other") == creators["id"])
+    users = materialise(FA.half_step(given, "own", "other", creators), "users").withColumnsRenamed({"id": "own", "features": "x"})
+
+    def weighted(vector: str) -> list[Column]:
+        return [F.sum(F.col("c") * F.col(vector)[i]).alias(f"b{i}") for i in range(DIM)]
+
+    # a left-hand side is a sum of weighted vectors: of the rows of G + reg, and of the creators met
+    axes = creators.select(F.posexplode("features").alias("at", "c"), "features").groupBy("at").agg(*weighted("features"))
+    ridge = [F.col(f"b{i}") + F.when(F.col("at") == i, given.reg).otherwise(0.0) for i in range(DIM)]
+    axes = F.broadcast(axes.select("at", F.array(*ridge).alias("v")))  # one row a dimension
+    whole = users.select("own", F.posexplode("x").alias("at", "c")).join(axes, "at").select("own", "c", "v")
+    named = hint_if_small(creators.join(pairs.select("other").distinct(), F.col("id") == F.col("other"), "leftsemi"), "named")
+    met = pairs.join(users, "own").join(named, F.col("other") == named["id"])
     weight = given.alpha * F.abs("s") * V.dot(F.col("x"), F.col("features"))
-    seen = met.select("own", F.posexplode(F.transform("features", lambda y: y * weight)).alias("at", "part"))
-    seen = seen.groupBy("own", "at").agg(F.sum("part").alias("part"))
-    row = F.slice(F.col("g"), F.col("at") * DIM + 1, DIM)
-    whole = users.withColumn("g", gram).select("own", F.explode(F.sequence(F.lit(0), F.lit(DIM - 1))).alias("at"), "x", "g")
-    left = whole.select("own", "at", (V.dot(row, F.col("x")) + given.reg * F.get("x", F.col("at"))).alias("part"))
-    both = left.unionByName(seen).groupBy("own", "at").agg(F.round(F.sum("part"), 5).alias("part"))
-    sides = both.groupBy("own").agg(F.array_sort(F.collect_list(F.struct("at", "part"))).getField("part").alias("b"))
-    return sides.select(F.col("own").alias("user_id"), *V.to_wide("b", "b", DIM))
+    left = whole.unionByName(met.select("own", weight.alias("c"), F.col("features").alias("v"))).groupBy("own").agg(*weighted("v"))
+    return left.select(F.col("own").alias("user_id"), *[F.round(f"b{i}", 5).alias(f"b{i}") for i in range(DIM)])
 
 
 @query(
