@@ -5,7 +5,9 @@ from __future__ import annotations
 import json
 import math
 from datetime import UTC, datetime, timedelta
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 
 from tidemark.operators.counters import Counter
@@ -148,3 +150,30 @@ def test_a_watermark_forgets_old_blocks(spark, tmp_path):
     assert max(p["stateOperators"][0]["numRowsTotal"] for p in running.recentProgress if p["stateOperators"]) <= 2
     got = online.counter_values(spark.table("forgets"), ["k"], counters).first()["amount"]
     assert got == pytest.approx(4.0)
+
+
+def test_replayed_files_can_be_shared_out(spark, monkeypatch):
+    """A micro-batch of a single file has work for more than one task."""
+    from tidemark.plans import streams
+
+    monkeypatch.setattr(streams, "ROW_GROUP", 1 << 16)
+    rows = spark.range(40_000).selectExpr("id", "md5(CAST(id AS STRING)) AS value").repartition(spark.sparkContext.defaultParallelism)
+    path, _ = streams.written(rows, "lines")
+    files = list(Path(path.removeprefix("file://")).glob("*.parquet"))
+    assert files and all(pq.ParquetFile(f).num_row_groups > 1 for f in files)
+    assert spark.read.parquet(path).count() == 40_000
+
+
+def test_the_log_is_read_without_sorting(spark, tmp_path):
+    """Batches are aggregated by hash; a snapshot with nothing after it is read as it is."""
+    out, schema = str(tmp_path / "out"), "k STRING, n BIGINT, m DOUBLE"
+    for number, rows in enumerate([[("a", 1, 1.0), ("b", 1, 2.0), (None, 1, None)], [("a", 2, None), (None, 2, 0.5)]]):
+        spark.createDataFrame(rows, schema).write.parquet(f"{out}/batch={number}")
+    want = {("a", 2, None), ("b", 1, 2.0), (None, 2, 0.5)}
+    for needed in (["HashAggregate"], []):
+        latest = online.latest_state(spark, out, schema, ["k"])
+        assert {tuple(r) for r in latest.collect()} == want and latest.columns == ["k", "n", "m"]
+        plan = latest._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and ("Exchange" in plan) == bool(needed) and all(x in plan for x in needed)
+        online.compact(spark, out, schema, ["k"], 1)
+    assert online.latest_state(spark, str(tmp_path / "none"), schema, ["k"]).count() == 0

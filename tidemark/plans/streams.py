@@ -23,6 +23,8 @@ from tidemark.streaming import events as ev
 from tidemark.streaming import online
 
 MICRO_BATCHES = 4
+#: Bytes of a row group: a micro-batch has few files, which its tasks share by row groups.
+ROW_GROUP = 8 << 20
 
 
 def replay(rows: DataFrame, name: str) -> DataFrame:
@@ -39,7 +41,7 @@ def written(rows: DataFrame, name: str, json: bool = False) -> tuple[str, int]:
     if json:
         writers.text(rows, writers.json_line(), path)
     else:
-        rows.write.parquet(path)
+        rows.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return path, max(1, rows.rdd.getNumPartitions() // MICRO_BATCHES)
 
 

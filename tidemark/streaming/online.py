@@ -8,6 +8,7 @@ over any span. Reading rescales a key's blocks to its last event.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -137,20 +138,19 @@ def latest_state(spark: SparkSession, path: str, schema: str, keys: Sequence[str
     Reads the newest snapshot and the batches after it: with compaction, at most a row per key and ``COMPACT_EVERY`` batches.
     """
     known = [n for n in _folders(spark, f"{path}/{SNAPSHOTS}", UPTO, complete=True) if upto is None or n < upto]
-    numbered = f"{schema}, {BATCH} BIGINT"
-    parts = [spark.createDataFrame([], numbered)]
-    if known:
-        rows = spark.read.schema(schema).parquet(f"{path}/{SNAPSHOTS}/{UPTO}={known[-1]}")
-        parts.append(rows.withColumn(BATCH, F.lit(known[-1]).cast("bigint")))
     batches = [n for n in _folders(spark, path, BATCH) if (not known or n > known[-1]) and (upto is None or n <= upto)]
+    numbered, parts = f"{schema}, {BATCH} BIGINT", []
+    if known:
+        snapshot = spark.read.schema(schema).parquet(f"{path}/{SNAPSHOTS}/{UPTO}={known[-1]}")
+        if not batches:  # it has one row per key
+            return snapshot
+        parts.append(snapshot.withColumn(BATCH, F.lit(known[-1]).cast("bigint")))
     if batches:
         reader = spark.read.schema(numbered).option("basePath", path)
         parts.append(reader.parquet(*[f"{path}/{BATCH}={n}" for n in batches]))
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
-    newest = F.max_by(F.struct(*[c for c in rows.columns if c not in (*keys, BATCH)]), BATCH).alias("_s")
-    return rows.groupBy(*keys).agg(newest).select(*keys, "_s.*")
+    rows = reduce(DataFrame.unionByName, parts or [spark.createDataFrame([], numbered)])
+    # column by column: numbers are then aggregated by hash, a struct only by sorting
+    return rows.groupBy(*keys).agg(*[F.max_by(c, BATCH).alias(c) for c in rows.columns if c not in (*keys, BATCH)])
 
 
 def appended(spark: SparkSession, path: str, schema: str) -> DataFrame:
