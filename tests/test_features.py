@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -138,8 +139,8 @@ def test_pooling_and_refresh(spark):
     assert got == {1: [1.0, 2.0], 2: [5.0, 5.0], 3: [7.0, 7.0]}
 
 
-def test_pooling_in_blocks(spark, monkeypatch):
-    """A frequent id, a frequent row id, and no row id at all: no wide aggregate but for the crowded, and no task that grows."""
+def test_pooling_in_parts(spark, monkeypatch):
+    """A frequent id, a frequent row id, and no row id at all: no shuffle of sums but of crowded row ids, more parts for more rows."""
     held = {i: [float(i), i / 8] for i in range(40)}
     table = [(i, v) for i, v in held.items()] + [(7, [0.5, None]), (8, None), (None, [9.0, 9.0])]
     embeddings = spark.createDataFrame(table, "k INT, v ARRAY<FLOAT>")
@@ -148,7 +149,7 @@ def test_pooling_in_blocks(spark, monkeypatch):
     crowd = [(1, [j % 50] * 3) for j in range(3000)] + [(None, [1, 2])] * 2000
     schema = "id INT, seq ARRAY<INT>"
     for found, size in ((rows, 64), (rows + crowd, 64), (rows + crowd, 10**6)):
-        monkeypatch.setattr(E, "ITEMS_PER_BLOCK", size)
+        monkeypatch.setattr(E, "ITEMS_PER_PART", size)
         want = {}
         for r, seq in found:
             total = want.setdefault(r, [0.0, 0.0])
@@ -159,8 +160,11 @@ def test_pooling_in_blocks(spark, monkeypatch):
         got = pooled.collect()
         assert pooled.columns == ["id", "p"] and len(got) == len(want)
         assert {r["id"]: r["p"] for r in got} == {r: pytest.approx(v) for r, v in want.items()}
-        plan = pooled._jdf.queryExecution().optimizedPlan().toString()
-        assert ("sum(" in plan) == (len(found) > len(rows) and size == 64)
+        plan = pooled._jdf.queryExecution().executedPlan().toString().splitlines()
+        sums = [line for line in plan if "hashpartitioning(_row" in line and "ENSURE_REQUIREMENTS" in line]
+        assert bool(sums) == (len(found) > len(rows) and size == 64)
+        parts = [int(n) for n in re.findall(r"hashpartitioning\(_row\S* (\d+)\), REPARTITION_BY_NUM", "\n".join(plan))]
+        assert parts and (size > 64 or max(parts) > 8)
 
 
 def test_stored_vocabularies_are_joined_without_a_shuffle_of_them(spark, tmp_path):

@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from datetime import datetime
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from tidemark.functions.vectors import dot, or_zeros
+from tidemark.operators.small import hint_if_small
 from tidemark.session import materialise
 
-#: Of pooled sequences: parts of the row ids that are weighed, items of a block, blocks of a task.
-SLOTS, ITEMS_PER_BLOCK, BLOCKS_PER_PART = 1024, 65_536, 16
+#: Of pooled sequences: slots in which row ids are weighed, items that a task sums.
+SLOTS, ITEMS_PER_PART = 1024, 1 << 19
 
 
 def latest_per_id(rows: DataFrame, key: str, order: str) -> DataFrame:
@@ -55,95 +52,36 @@ def pool_sequence(
 ) -> DataFrame:
     """(row_id, sum of the vectors of the sequence's ids); ids without a vector add nothing.
 
-    Rows are dealt into blocks by their id, and a block gets each vector that it names once: neither a frequent id nor the
-    number of rows makes a task larger. Row ids with very many items are dealt row by row and their sums added up.
+    An id that a sequence repeats is joined once, with its count: counting needs no shuffle. Rows are dealt by their id into parts
+    that do not grow with the table, and are summed where they lie if the vectors that they name are few enough to go to
+    each part. Row ids that share a slot with very many items are dealt row by row; their sums are added up.
     """
     held = materialise(rows.select(F.col(row_id).alias("_row"), F.col(sequence).alias("_ids")), "sequences")
     items = F.greatest(F.coalesce(F.size("_ids"), F.lit(0)), F.lit(1)).cast("bigint")
     slot = F.pmod(F.xxhash64("_row"), F.lit(SLOTS)).cast("int")
     sizes = dict(held.groupBy(slot).agg(F.sum(items)).collect())
-    usual = 2 * sum(sizes.values()) // SLOTS + ITEMS_PER_BLOCK
+    usual = 2 * sum(sizes.values()) // SLOTS + ITEMS_PER_PART
     crowded = {s: n for s, n in sizes.items() if n > usual}
+    many = sum(crowded.values())
+    named = held.select(F.explode(F.array_distinct("_ids")).alias("_named")).distinct()
     side = embeddings.select(F.col(key).alias("_id"), F.col(vector).alias("_vector"))
+    side = hint_if_small(side.join(named, F.col("_id") == F.col("_named"), "leftsemi"), "named")
+    counts = F.transform(
+        F.array_distinct("_ids"), lambda x: F.struct(x.alias("_id"), F.size(F.filter("_ids", lambda y: y.eqNullSafe(x))).alias("_n"))
+    )
+    sums = [F.sum(F.col("_n") * F.col("_vector")[i].cast("double")).alias(f"_d{i}") for i in range(dim)]
 
-    def dealt(part: DataFrame, by: list[str], size: int) -> DataFrame:
-        blocks = max(1, -(-size // ITEMS_PER_BLOCK))
-        return _pooled(part.withColumn("_block", F.pmod(F.xxhash64(*by), F.lit(blocks))), side, dim, blocks)
+    def summed(part: DataFrame, by: list[str], size: int) -> DataFrame:
+        parts = max(part.sparkSession.sparkContext.defaultParallelism, -(-size // ITEMS_PER_PART))
+        ids = part.repartition(parts, *by).select(*by, F.explode_outer(counts).alias("_c")).select(*by, "_c.*")
+        return ids.join(side, "_id", "left").groupBy(*by).agg(*sums)
 
-    inside = slot.isin(*crowded)
-    pooled = dealt(held.where(~inside) if crowded else held, ["_row"], sum(sizes.values()) - sum(crowded.values()))
+    found = summed(held.where(~slot.isin(*crowded)) if crowded else held, ["_row"], sum(sizes.values()) - many)
     if crowded:
-        places = ["_metadata.file_name", "_metadata.row_index"]
-        parts = dealt(held.where(inside), places, sum(crowded.values())).groupBy("_row")
-        sums = parts.agg(*[F.sum(F.col("_sum")[i]).alias(f"_d{i}") for i in range(dim)])
-        pooled = pooled.unionByName(sums.select("_row", F.array(*[F.col(f"_d{i}") for i in range(dim)]).alias("_sum")))
-    return pooled.select(F.col("_row").alias(row_id), F.col("_sum").alias(name))
-
-
-def _pooled(rows: DataFrame, side: DataFrame, dim: int, blocks: int) -> DataFrame:
-    """(_row, _sum) of rows (_row, _ids, _block): a row for each run of a row id in a block."""
-    parts = max(rows.sparkSession.sparkContext.defaultParallelism, -(-blocks // BLOCKS_PER_PART))
-    # a block's rows come together before its ids are made distinct
-    named = rows.select("_block", "_ids").repartition(parts, "_block")
-    named = named.select("_block", F.explode(F.array_distinct("_ids")).alias("_id")).dropna().distinct()
-    numbers = F.array(*[F.coalesce(F.col("_vector")[i].cast("double"), F.lit(0.0)) for i in range(dim)])
-    vectors = named.join(side.withColumnRenamed("_id", "_key"), F.col("_id") == F.col("_key")).select("_block", "_id", numbers.alias("_vector"))
-    both = rows.select("_block", "_row", "_ids").unionByName(vectors, allowMissingColumns=True).repartition(parts, "_block")
-    ordered = both.sortWithinPartitions("_block", F.col("_id").isNull(), "_row")
-
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, ids, vectors, known, table = None, [], [], None, None
-        last = None
-
-        def out(keys: pa.Array, found: np.ndarray) -> pa.RecordBatch:
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1) * dim, pa.int32()), pa.array(found.ravel() + 0.0))
-            return pa.RecordBatch.from_arrays([keys, lists], ["_row", "_sum"])
-
-        for batch in batches:
-            numbers = batch.column("_block").to_numpy()
-            heads = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)] if len(numbers) else [0]
-            for start, end in zip(heads, heads[1:]):
-                part = batch.slice(start, end - start)
-                if numbers[start] != block:
-                    if last:
-                        yield out(*last)
-                    block, ids, vectors, known, last = numbers[start], [], [], None, None
-                n_vectors = part.num_rows - part.column("_id").null_count
-                if n_vectors:
-                    ids.append(part.column("_id").slice(0, n_vectors))
-                    vectors.append(part.column("_vector").slice(0, n_vectors).flatten().to_numpy().reshape(n_vectors, dim))
-                if n_vectors == part.num_rows:
-                    continue
-                if known is None:
-                    coded = pc.dictionary_encode(pa.concat_arrays([*ids, part.column("_id").slice(0, 0)]))
-                    known, table = coded.dictionary, np.zeros((len(coded.dictionary) + 1, dim))
-                    if ids:  # an id may have several vectors
-                        np.add.at(table, coded.indices.to_numpy(), np.concatenate(vectors))
-                    table = np.ascontiguousarray(table.T)
-                keys, lists = part.column("_row").slice(n_vectors), part.column("_ids").slice(n_vectors)
-                places = pc.fill_null(pc.index_in(lists.flatten(), value_set=known, skip_nulls=True), len(known)).to_numpy()
-                lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
-                full = np.flatnonzero(lengths)
-                found = np.zeros((len(lengths), dim))
-                if len(full):
-                    starts = (np.cumsum(lengths) - lengths)[full]
-                    for i in range(dim):
-                        found[full, i] = np.add.reduceat(table[i][places], starts)
-                values = keys.to_pylist()
-                runs = [0, *(i for i in range(1, len(values)) if values[i] != values[i - 1])]
-                if len(runs) < len(values):
-                    found, keys = np.add.reduceat(found, runs), keys.take(pa.array(runs))
-                if last and last[0][0].as_py() == values[0]:
-                    found[0] += last[1][0]
-                elif last:
-                    yield out(*last)
-                if len(keys) > 1:
-                    yield out(keys.slice(0, len(keys) - 1), found[:-1])
-                last = keys.slice(len(keys) - 1), found[-1:]
-        if last:
-            yield out(*last)
-
-    return ordered.mapInArrow(sums, StructType([rows.schema["_row"], StructField("_sum", ArrayType(DoubleType()))]))
+        salt = F.pmod(F.xxhash64("_metadata.file_name", "_metadata.row_index"), F.lit(-(-many // ITEMS_PER_PART)))
+        partial = summed(held.withColumn("_salt", salt).where(slot.isin(*crowded)), ["_row", "_salt"], many)
+        found = found.unionByName(partial.groupBy("_row").agg(*[F.sum(f"_d{i}").alias(f"_d{i}") for i in range(dim)]))
+    return found.select(F.col("_row").alias(row_id), F.array(*[F.coalesce(f"_d{i}", F.lit(0.0)) for i in range(dim)]).alias(name))
 
 
 def concat_blocks(rows: DataFrame, vectors: Sequence[str], dense: Sequence[str], name: str) -> DataFrame:
